@@ -23,9 +23,15 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def _load() -> None:
+    from lodestone.plans import sampling_queries, text_queries, verdict_queries  # noqa: F401  each registers its own
+
+
 def queries() -> dict[str, Query]:
+    _load()
     return dict(_FOUND)
 
 
 def oracles() -> dict[str, str]:
+    _load()
     return dict(_SQL)
