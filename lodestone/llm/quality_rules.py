@@ -30,6 +30,7 @@ CONSISTENCY = 1.41
 CUTOFF = 45.0  # squared distance; chi2 with 5 degrees exceeds it with p < 2e-8
 SHORT = 20  # words: the statistics of a text of n words count as n / (n + SHORT) certain
 MIN_GROUP = 40
+SALTS = 32  # parts in which a group's rows meet its fit
 
 
 def text_statistics(text: Column) -> Column:
@@ -114,6 +115,11 @@ def _moments(rows: DataFrame, factor: float) -> DataFrame:
     return _factored(fit.withColumns(cov))
 
 
+def _salted(table: DataFrame) -> DataFrame:
+    """A copy of each group's row for every salt: the group of all rows isn't joined in one task."""
+    return table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def fit_mcd(rows: DataFrame) -> DataFrame:
     """Fits by group ``g`` of rows (g, f_*): concentration steps, then the factors of the last fit (cut)."""
     p = len(FEATURES)
@@ -123,9 +129,10 @@ def fit_mcd(rows: DataFrame) -> DataFrame:
         {f"c_{i}_{j}": F.pow((F.col(f"q_{i}")[2] - F.col(f"q_{i}")[0]) / 1.349, 2) + FLOOR[i] ** 2 if i == j else F.lit(0.0) for i in range(p) for j in range(i + 1)}
     )
     fit = cut(_factored(start), "mcd")
+    rows = rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
     for _ in range(STEPS):
         # a fine logarithmic histogram of distances gives each group's quantile by partial counts
-        at = rows.join(fit, "g").withColumn("bin", F.floor(F.log(_squared_distance() + 1e-6) * 50))
+        at = rows.join(_salted(fit), ["g", "salt"]).withColumn("bin", F.floor(F.log(_squared_distance() + 1e-6) * 50))
         counts = at.groupBy("g", "bin").agg(F.count("*").alias("k"))
         up = Window.partitionBy("g").orderBy("bin")
         limit = (
@@ -135,7 +142,8 @@ def fit_mcd(rows: DataFrame) -> DataFrame:
             .groupBy("g")
             .agg(F.max("bin").alias("most"))
         )
-        near = at.join(limit, "g").where("bin <= most").select("g", *FEATURES)
+        limit = cut(limit, "limits")  # as a table it has a size, by which Spark may broadcast it
+        near = at.join(_salted(limit), ["g", "salt"]).where("bin <= most").select("g", *FEATURES)
         fit = cut(_moments(near, CONSISTENCY), "mcd")
     return fit
 
