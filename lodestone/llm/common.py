@@ -73,6 +73,12 @@ def cut(df: DataFrame, name: str = "stage") -> DataFrame:
     return out
 
 
+def bounded(df: DataFrame, most: int) -> DataFrame:
+    """``df``, written and counted: marked for broadcast with up to ``most`` rows, left to a shuffled join beyond."""
+    out = cut(df, "bounded")
+    return F.broadcast(out) if out.count() <= most else out
+
+
 def drop_cut(df: DataFrame) -> None:
     """Delete the table of a former ``cut``; only for tables that no later plan reads."""
     if path := getattr(df, "_lodestone_path", None):

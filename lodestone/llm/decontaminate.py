@@ -6,8 +6,8 @@ value must stand for the same document value all along, so a re-parameterised qu
 chance meeting of templates isn't. A document is contaminated where an alignment's matching windows
 cover enough of the item.
 
-The window table of the benchmark is broadcast only where its counted rows are under ``MOST_BROADCAST``; above, both
-sides are joined by hash. Document windows never meet one another, so a passage that many documents share costs what
+The window table of the benchmark, and the ids of documents that a step looks up, are broadcast only where their counted
+rows are under ``MOST_BROADCAST``; above, both sides are joined by hash. Document windows never meet one another, so a passage that many documents share costs what
 it is long.
 
 Defined cases: null and empty texts, and items of fewer than ``LEAST`` words, match nothing; items shorter than a
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RE, cut, window_hashes
+from .common import SPACE_RE, bounded, cut, window_hashes
 
 WINDOW = 8
 LEAST = 5
@@ -78,7 +78,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     hits = cut(hits.select("doc_id", "item_id", "doc_pos", "item_pos", "n_windows", "slots", (F.col("doc_pos") - F.col("item_pos")).alias("shift")).dropDuplicates(["doc_id", "item_id", "doc_pos", "item_pos"]), "hits")
     # slots: item value against document value at the same place of the alignment
     slotted = hits.where(F.size("slots") > 0)
-    ids = slotted.select(F.col("doc_id").alias("_id")).distinct()
+    ids = bounded(slotted.select(F.col("doc_id").alias("_id")).distinct(), MOST_BROADCAST)  # else the texts would be shuffled to meet them
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi").select(F.col("doc_id").alias("_id"), plain_words(F.col("text")).alias("p"), F.xxhash64("text").alias("copy"))
     pairs = slotted.select("doc_id", "item_id", "shift", F.explode("slots").alias("s")).distinct()
     pairs = pairs.join(texts, pairs["doc_id"].eqNullSafe(texts["_id"])).select("doc_id", "item_id", "shift", "copy", F.col("s.value").alias("value"), F.get("p", F.col("shift") + F.col("s.at")).alias("other"))
@@ -104,5 +104,5 @@ def _of_sizes(t: str, sizes: list[int]) -> Column:
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
-    bad = find_leaks(docs, items).select(F.col("doc_id").alias("_leak")).distinct()
+    bad = bounded(find_leaks(docs, items).select(F.col("doc_id").alias("_leak")).distinct(), MOST_BROADCAST)
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_leak"]), "left_anti")
