@@ -5,8 +5,8 @@ before the shuffle). A line's signature is made of minima of hashes of its shing
 with the first ``NEXT`` characters of the next (strings of twice ``NEXT`` in lines of few and long words). ``SIDE`` squared minima make 20 bands of four, the buckets.
 
 A bucket is searched by stars: in each round the lines of a bucket that spans components meet one pivot, in the next
-round another, so a bucket of near copies costs what it is long; in the last round buckets of up to ``SMALL`` lines are
-searched whole. Pairs count when the exact Jaccard similarity of
+round another, so a bucket of near copies costs what it is long. When a round no longer halves the pairs that are left,
+all pairs of different components are met, in blocks, so no bucket is left unsearched by its size. Pairs count when the exact Jaccard similarity of
 their full sets of ``SHINGLE``-character shingles is 0.8 or more. Distributed union-find makes components; of each, the
 occurrence in the smallest doc_id (then by line hash, then by place) stays.
 
@@ -17,6 +17,8 @@ are told apart by a 64-bit hash.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +28,7 @@ LEAST = 30
 NEXT = 4  # characters of the next word
 SHINGLE = 5
 SIDE = 4
-ROUNDS = 4
-SMALL = 32
+BLOCK = 512  # members of a bucket that meet in a task
 LAST = (1 << 63) - 1  # stands for a null doc_id
 
 
@@ -98,6 +99,30 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return with_a.join(texts.toDF("b", "tb"), "b").where(_alike(F.col("ta"), F.col("tb"))).select("a", "b")
 
 
+def _joined(links: DataFrame | None, new: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links with the new ones, their components, and the members of buckets that span components still: (bucket, id,
+    component, k, main, k_main), k the bucket's members and main the component that has most, k_main, of them."""
+    links = cut(new if links is None else links.unionByName(new), "links")
+    found = cut(components(links), "components")
+    at = members.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    counts = at.groupBy("bucket", "component").agg(F.count("*").alias("c"))
+    wide = counts.groupBy("bucket").agg(F.sum("c").alias("k"), F.max(F.struct("c", "component")).alias("x")).where("x.c < k")
+    return links, found, cut(at.join(wide.select("bucket", "k", F.col("x.component").alias("main"), F.col("x.c").alias("k_main")), "bucket"), "open")
+
+
+def _met(at: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the members of a bucket that are of different components, each once a bucket. A bucket is dealt
+    into blocks of ``BLOCK``, and block meets block, so that no task has a large bucket. Members of the main component
+    only meet the others."""
+    block = lambda n: F.pmod(F.xxhash64(F.lit(5), "id"), n).cast("int")
+    sized = at.withColumn("n_rest", F.ceil((F.col("k") - F.col("k_main")) / BLOCK)).withColumn("n_all", F.ceil(F.col("k") / BLOCK)).withColumn("rest", F.col("component") != F.col("main"))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
+    left = sized.where("rest").select("bucket", block(F.col("n_rest")).alias("i"), upto("n_all").alias("j"), F.col("id").alias("a"), F.col("component").alias("ca"))
+    right = sized.select("bucket", block(F.col("n_all")).alias("j"), upto("n_rest").alias("i"), F.col("id").alias("b"), F.col("component").alias("cb"), "rest")
+    on = [left[c] == right[c] for c in ("bucket", "i", "j")] + [F.col("ca") != F.col("cb"), ~F.col("rest") | (F.col("a") < F.col("b"))]
+    return left.join(right, on).select("a", "b")
+
+
 def similar_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lines, found): lines (id, doc, n, buckets) of distinct lines; found (node, component) of those that have others
     alike."""
@@ -108,23 +133,20 @@ def similar_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     some = members.select("id").distinct()
     texts = _lines(docs).select(F.xxhash64("line").alias("id"), "line").join(some, "id", "left_semi")
     texts = cut(texts.groupBy("id").agg(F.min("line").alias("line")), "texts")
-    links = found = None
+    links, found, left = None, None, None
     at = members.withColumn("component", F.col("id"))
-    for r in range(ROUNDS):
+    for r in itertools.count():
         # a pivot by chance: mostly of the component that most members have
         pivots = at.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", F.lit(r)).alias("h"), "id", "component")).alias("p"))
         pairs = at.join(pivots.select("bucket", F.col("p.id").alias("b"), F.col("p.component").alias("cb")), "bucket")
-        if r == ROUNDS - 1:
-            # small buckets that are open still: all members meet
-            open_ = at.groupBy("bucket").agg(F.count("*").alias("k"), F.min("component").alias("lo"), F.max("component").alias("hi")).where(f"lo <> hi and k <= {SMALL}").select("bucket")
-            left = at.join(open_, "bucket").select("bucket", "id", "component")
-            met = left.join(left.toDF("bucket", "b", "cb"), "bucket").where("component < cb")
-            pairs = pairs.select("id", "component", "b", "cb").unionByName(met.select("id", "component", "b", "cb"))
         new = _verified(pairs.where("component <> cb").select(F.col("id").alias("a"), "b"), texts)
-        links = cut(new if links is None else links.unionByName(new), "links")
-        found = cut(components(links), "components")
-        at = members.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-        at = cut(at.join(at.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket"), "bucket"), "open") if r < ROUNDS - 1 else at
+        links, found, at = _joined(links, new, members)
+        work, left = left, at.select("bucket", "k", "k_main").distinct().agg(F.sum(F.expr("(k - k_main) * k"))).first()[0] or 0
+        if not left or work is not None and 2 * left > work:
+            break
+    if left:
+        # what stars no longer join soon: all pairs of components, exactly
+        links, found, at = _joined(links, _verified(_met(at), texts), members)
     return lines, found
 
 

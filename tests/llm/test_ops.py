@@ -122,6 +122,52 @@ def test_line_dedup(spark, docs, empty):
     assert line_dedup.removed_lines(docs).count() == docs.count() and line_dedup.removed_lines(empty).count() == 0
 
 
+def _line_sets(line):
+    low = line.lower()
+    return {low[i : i + 5] for i in range(len(low) - 4)} or {low}
+
+
+def _gone_lines(docs, least):
+    """Brute force: places of removed lines by doc_id, for distinct ids that aren't null."""
+    first = {}
+    for i, t in sorted(docs):
+        for p, x in enumerate(t.split("\n")):
+            if len(x) >= least and x.strip(" \t\n\v\f\r"):
+                first.setdefault(x, []).append((i, p))
+    lines, root = list(first), {x: x for x in first}
+    sets = {x: _line_sets(x) for x in lines}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, x in enumerate(lines):
+        for y in lines[:n]:
+            both = len(sets[x] & sets[y])
+            if 5 * both >= 4 * (len(sets[x]) + len(sets[y]) - both):
+                root[find(x)] = find(y)
+    parts = collections.defaultdict(list)
+    for x in lines:
+        parts[find(x)] += first[x]
+    gone = collections.Counter(i for at in parts.values() for i, _ in at)
+    gone.subtract(collections.Counter(min(at)[0] for at in parts.values()))
+    return {i: n for i, n in gone.items() if n}
+
+
+def test_line_dedup_finishes_large_buckets(spark):
+    """Lines of one template share buckets, each with one near copy: few pivots of a bucket find few of the pairs."""
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(4, 7)))
+    frame = [word() for _ in range(10)]
+    docs = []
+    for i in range(300):
+        x = " ".join(frame + [word()] + frame[:1] + [word()])
+        docs += [(2 * i, x), (2 * i + 1, x + "x")]
+    got = {d.doc_id: d.n_removed for d in line_dedup.removed_lines(make(spark, [(i, t, "s") for i, t in docs])).collect() if d.n_removed}
+    assert got == _gone_lines(docs, 30) and len(got) >= 300
+
+
 def _linked(rows, k, num, den):
     sets = collections.defaultdict(set)
     for i, t, _ in rows:
