@@ -1,8 +1,8 @@
 """Fuzzy line dedup by MinHash: of lines that are alike, one stays.
 
 Lines of ``LEAST`` code points or more take part; shorter ones stay as they are. Equal lines are one node (combined
-before the shuffle). A line's signature is made of minima of hashes of its shingles, which are its words between spaces, each
-with the first ``NEXT`` characters of the next (strings of twice ``NEXT`` in lines of few and long words). ``SIDE`` squared minima make 20 bands of four, the buckets.
+before the shuffle). A line's signature is made of minima of hashes of the shingles that are verified
+later: all its strings of ``SHINGLE`` characters. ``SIDE`` squared minima make 20 bands of four, the buckets.
 
 A bucket is searched by stars: in each round the lines of a bucket that spans components meet one pivot, in the next
 round another, so a bucket of near copies costs what it is long. When a round no longer halves the pairs that are left,
@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from .common import components, cut, let
 
 LEAST = 30
-NEXT = 4  # characters of the next word
 SHINGLE = 5
 SIDE = 4
 BLOCK = 512  # members of a bucket that meet in a task
@@ -38,15 +37,17 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.where(F.length("line") >= LEAST)
 
 
+def _shingles(line: Column) -> Column:
+    """SHINGLE-character strings of a line in lower case, one from each place; of a shorter line, itself."""
+    low = F.lower(line)
+    return F.when(F.length(low) < SHINGLE, F.array(low)).otherwise(F.regexp_extract_all(low, F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1)))
+
+
 def _signatures(docs: DataFrame) -> DataFrame:
-    """(id, doc, n, buckets) of distinct lines: doc their smallest, n their occurrences. A task has all words of a
+    """(id, doc, n, buckets) of distinct lines: doc their smallest, n their occurrences. A task has all shingles of a
     line, so the shuffle gets a row of minima for each line and task."""
     lines = _lines(docs).select("doc", "line", F.xxhash64("line").alias("id"))
-    low = F.lower("line")
-    few = F.length("line") > 16 * (1 + F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))))
-    everywhere = F.transform(F.regexp_extract_all(low, F.lit(rf"(?s)(?=(.{{{2 * NEXT}}}))"), F.lit(1)), lambda x: F.xxhash64(x))
-    anchored = let(F.split(low, " "), lambda w: F.transform(w, lambda x, i: F.xxhash64(x, F.left(F.get(w, i + 1), F.lit(NEXT)))))
-    one = lines.select("id", "doc", F.posexplode(F.when(few, everywhere).otherwise(anchored)).alias("at", "h"))
+    one = lines.select("id", "doc", F.posexplode(_shingles(F.col("line"))).alias("at", "shingle")).select("id", "doc", "at", F.xxhash64("shingle").alias("h"))
     minima = [F.min(_reordered(F.col("h"), k, c)).alias(f"m{k}") for k, c in enumerate(_constants(SIDE * SIDE))]
     signed = one.groupBy("id").agg(F.min("doc").alias("doc"), F.count(F.when(F.col("at") == 0, 1)).alias("n"), *minima)
     buckets = [F.xxhash64(F.lit(b), *[F.col(f"m{k}") for k in band]) for b, band in enumerate(_bands())]
@@ -80,15 +81,10 @@ def _constants(n: int) -> list[int]:
     return out
 
 
-def _grams(line: Column) -> Column:
-    """Distinct SHINGLE-character strings of a line, in lower case."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(line), F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1)))
-
-
 def _alike(a: Column, b: Column) -> Column:
     """Whether the exact Jaccard similarity of two lines' shingle sets is 0.8 or more."""
     return let(
-        F.struct(_grams(a).alias("a"), _grams(b).alias("b")),
+        F.struct(F.array_distinct(_shingles(a)).alias("a"), F.array_distinct(_shingles(b)).alias("b")),
         lambda s: let(F.size(F.array_intersect(s["a"], s["b"])), lambda both: 5 * both >= 4 * (F.size(s["a"]) + F.size(s["b"]) - both)),
     )
 

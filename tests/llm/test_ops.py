@@ -168,6 +168,23 @@ def test_line_dedup_finishes_large_buckets(spark):
     assert got == _gone_lines(docs, 30) and len(got) >= 300
 
 
+@pytest.mark.parametrize("n_words,low,high,edits", [(4, 10, 14, 1), (8, 12, 15, 2), (12, 3, 8, 1)])
+def test_line_signatures_recall(spark, n_words, low, high, edits):
+    """Near copies alone, of few and long words and of prose: nearly all pairs of 0.8 or more share a bucket."""
+    r, pairs = random.Random(n_words), []
+    while len(pairs) < 400:
+        x = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(low, high))) for _ in range(n_words))
+        y = list(x)
+        for _ in range(edits):
+            y[r.choice([k for k, c in enumerate(x) if c != " "])] = r.choice("0123456789")
+        a, b = _line_sets(x), _line_sets("".join(y))
+        if x != "".join(y) and 5 * len(a & b) >= 4 * len(a | b):
+            pairs.append((x, "".join(y)))
+    docs = make(spark, [(2 * i + k, t, "s") for i, p in enumerate(pairs) for k, t in enumerate(p)])
+    got = {d.doc: set(d.buckets) for d in line_dedup._signatures(docs).collect()}
+    assert sum(bool(got[2 * i] & got[2 * i + 1]) for i in range(len(pairs))) >= 0.97 * len(pairs)
+
+
 def _linked(rows, k, num, den):
     sets = collections.defaultdict(set)
     for i, t, _ in rows:
