@@ -1,6 +1,7 @@
 """Fuzzy line dedup by MinHash: of lines that are alike, one stays.
 
-Lines of ``LEAST`` code points or more take part; shorter ones stay as they are. Equal lines are one node (combined
+Lines of ``least`` code points or more, and blank ones never, take part. The functions start at ``LEAST`` unless told
+otherwise; the query and the pipeline take every line that isn't blank (``ALL``). Equal lines are one node (combined
 before the shuffle). A line's signature is made of minima of hashes of the shingles that are verified
 later: all its strings of ``SHINGLE`` characters. ``SIDE`` squared minima make 20 bands of four, the buckets.
 
@@ -22,19 +23,20 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, let
+from .common import WORD_RE, components, cut, let
 
 LEAST = 30
+ALL = 1
 SHINGLE = 5
 SIDE = 4
 BLOCK = 512  # members of a bucket that meet in a task
 LAST = (1 << 63) - 1  # stands for a null doc_id
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, least: int) -> DataFrame:
     """(doc, pos, line) of the lines that take part."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return rows.where(F.length("line") >= LEAST)
+    return rows.where((F.length("line") >= least) & F.rlike("line", F.lit(WORD_RE)))
 
 
 def _shingles(line: Column) -> Column:
@@ -43,10 +45,10 @@ def _shingles(line: Column) -> Column:
     return F.when(F.length(low) < SHINGLE, F.array(low)).otherwise(F.regexp_extract_all(low, F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1)))
 
 
-def _signatures(docs: DataFrame) -> DataFrame:
+def _signatures(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(id, doc, n, buckets) of distinct lines: doc their smallest, n their occurrences. A task has all shingles of a
     line, so the shuffle gets a row of minima for each line and task."""
-    lines = _lines(docs).select("doc", "line", F.xxhash64("line").alias("id"))
+    lines = _lines(docs, least).select("doc", "line", F.xxhash64("line").alias("id"))
     one = lines.select("id", "doc", F.posexplode(_shingles(F.col("line"))).alias("at", "shingle")).select("id", "doc", "at", F.xxhash64("shingle").alias("h"))
     minima = [F.min(_reordered(F.col("h"), k, c)).alias(f"m{k}") for k, c in enumerate(_constants(SIDE * SIDE))]
     signed = one.groupBy("id").agg(F.min("doc").alias("doc"), F.count(F.when(F.col("at") == 0, 1)).alias("n"), *minima)
@@ -119,15 +121,15 @@ def _met(at: DataFrame) -> DataFrame:
     return left.join(right, on).select("a", "b")
 
 
-def similar_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def similar_lines(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lines, found): lines (id, doc, n, buckets) of distinct lines; found (node, component) of those that have others
     alike."""
-    lines = cut(_signatures(docs), "lines")
+    lines = cut(_signatures(docs, least), "lines")
     held = lines.select("id", F.explode("buckets").alias("bucket"))
     shared = held.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
     members = cut(held.join(shared, "bucket").distinct(), "members")
     some = members.select("id").distinct()
-    texts = _lines(docs).select(F.xxhash64("line").alias("id"), "line").join(some, "id", "left_semi")
+    texts = _lines(docs, least).select(F.xxhash64("line").alias("id"), "line").join(some, "id", "left_semi")
     texts = cut(texts.groupBy("id").agg(F.min("line").alias("line")), "texts")
     links, found, left = None, None, None
     at = members.withColumn("component", F.col("id"))
@@ -146,36 +148,36 @@ def similar_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return lines, found
 
 
-def decisions(docs: DataFrame) -> DataFrame:
+def decisions(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(doc, gone): places of the lines to remove, sorted, per document that has any."""
-    lines, found = similar_lines(docs)
+    lines, found = similar_lines(docs, least)
     slim = lines.select("id", "doc", "n")
     joined = slim.join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     keepers = joined.groupBy("component").agg(F.min(F.struct("doc", "id")).alias("keep"), F.sum("n").alias("all")).where("all > 1")
     fate = cut(joined.join(keepers, "component").select("id", F.col("keep.doc").alias("keep_doc"), F.col("keep.id").alias("keep_id")), "fate")
-    at = cut(_lines(docs).select("doc", "pos", F.xxhash64("line").alias("id")).join(fate, "id"), "occurrences")
+    at = cut(_lines(docs, least).select("doc", "pos", F.xxhash64("line").alias("id")).join(fate, "id"), "occurrences")
     first = at.where("id = keep_id and doc = keep_doc").groupBy("doc", "id").agg(F.min("pos").alias("pos"))
     gone = at.select("doc", "pos", "id").join(first, ["doc", "id", "pos"], "left_anti")
     return gone.groupBy("doc").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
 
 
-def _with_gone(docs: DataFrame) -> DataFrame:
-    gone = decisions(docs).select(F.col("doc").alias("_doc"), F.col("gone").alias("_gone"))
+def _with_gone(docs: DataFrame, least: int) -> DataFrame:
+    gone = decisions(docs, least).select(F.col("doc").alias("_doc"), F.col("gone").alias("_gone"))
     return docs.join(gone, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)) == F.col("_doc"), "left").drop("_doc")
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+def removed_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Per row: doc_id, n_lines, n_removed, removed (places of lines, from 0)."""
-    gone = decisions(docs)
+    gone = decisions(docs, least)
     own = docs.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("bigint").alias("n_lines"))
     out = own.join(gone, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)) == F.col("doc"), "left")
     removed = F.coalesce("gone", F.array().cast("array<int>"))
     return out.select("doc_id", "n_lines", F.size(removed).cast("bigint").alias("n_removed"), removed.alias("removed"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``docs`` without the removed lines, in the same columns; n_chars, if there, is that of the new text."""
-    rows = _with_gone(docs)
+    rows = _with_gone(docs, least)
     lines = F.split("text", "\n")
     kept = let(lines, lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("_gone")), lambda i: F.get(x, i)), "\n"))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)

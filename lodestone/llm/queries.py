@@ -24,7 +24,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.removed_lines(_table(spark, sf_dir, "documents"))
+    return line_dedup.removed_lines(_table(spark, sf_dir, "documents"), line_dedup.ALL)
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

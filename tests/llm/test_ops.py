@@ -12,7 +12,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.llm import decontaminate, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts, warc
+from lodestone.llm import decontaminate, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, queries, secret_scan, suffix_dedup, token_counts, warc
 from lodestone.llm.common import components
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, rank string, size string, copy string"
@@ -185,6 +185,15 @@ def test_line_signatures_recall(spark, n_words, low, high, edits):
     assert sum(bool(got[2 * i] & got[2 * i + 1]) for i in range(len(pairs))) >= 0.97 * len(pairs)
 
 
+def test_line_dedup_query_takes_short_lines(spark, tmp_path):
+    long = "the quick brown fox jumps over the lazy dog again and again today"
+    docs = [(1, f"Menu\n}}\n\n{long}\n \t"), (2, "menu\n}\n\nshort line\n \t"), (3, f"short line\n}}\nshort lime\n{long}!"), (4, "ab\nabc\nab")]
+    make(spark, [(i, t, "s") for i, t in docs]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: list(r.removed) for r in queries.op3_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: [], 2: [0, 1], 3: [0, 1, 3], 4: [2]}
+    assert {i: len(x) for i, x in got.items() if x} == _gone_lines(docs, 1)
+
+
 def _linked(rows, k, num, den):
     sets = collections.defaultdict(set)
     for i, t, _ in rows:
