@@ -321,6 +321,16 @@ def test_slots_must_agree(spark):
     assert {r.doc_id for r in decontaminate.find_leaks(own, items).collect()} == {1}
 
 
+def test_dense_and_short_items(spark):
+    sums, table = "Compute 12 + 7 * 3 - 4 / 2 + 9 * 6 =", "1 2 3 4 5 6 7 8 9"
+    items = spark.createDataFrame([(1, sums), (2, "Who wrote Hamlet"), (3, table), (None, "where does the river end after the last bend"), (4, "add 3 and 3 and 4 and 4 and 5 and 5 now")], "item_id bigint, text string")
+    own = make(spark, [
+        (1, "so " + sums + " what", "s"), (2, "Compute 14 + 8 * 5 - 3 / 1 + 6 * 4 = 9", "s"), (3, "Compute 14 + 8 * 5 and no more", "s"), (4, "he asked who wrote Hamlet then", "s"),
+        (5, "who wrote the Hamlet", "s"), (6, "see " + table, "s"), (7, "see 3 1 4 1 5 9 2 6 5 3 5", "s"), (8, "tell where does the river end after the last bend", "s"),
+    ])
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(own, items).collect()} == {(1, 1), (2, 1), (4, 2), (6, 3), (8, None)}
+
+
 def test_mixing(spark, rows, docs, empty):
     got = mixing.taken(docs).collect()
     size = lambda t: len(WORD.findall(t or ""))
