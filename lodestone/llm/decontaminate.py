@@ -60,8 +60,8 @@ def _items(items: DataFrame) -> DataFrame:
     item_id apart. slots are (place in the item, value)."""
     own = F.when(F.col("item_id").isNull(), F.col("text"))
     one = items.where("text is not null").groupBy("item_id", own.alias("own")).agg(F.min("text").alias("text"))
-    w = one.select(F.xxhash64("item_id", F.lit(1), "own").alias("item"), "item_id", template_words(F.col("text")).alias("t1"), template_words(F.col("text")).alias("t2"), plain_words(F.col("text")).alias("p")).where(F.size("p") > 0)
-    kinds = F.array(F.struct(F.lit(1).alias("kind"), F.col("t1").alias("t")))
+    w = one.select(F.xxhash64("item_id", F.lit(1), "own").alias("item"), "item_id", template_words(F.col("text")).alias("t1"), template_words(F.col("text"), True).alias("t2"), plain_words(F.col("text")).alias("p")).where(F.size("p") > 0)
+    kinds = F.when(F.expr("t1 = t2") | (F.size("p") < LEAST), F.array(F.struct(F.lit(1).alias("kind"), F.col("t1").alias("t")))).otherwise(F.array(F.struct(F.lit(1).alias("kind"), F.col("t1").alias("t")), F.struct(F.lit(2).alias("kind"), F.col("t2").alias("t"))))
     w = w.select("item", "item_id", "p", F.explode(kinds).alias("x")).select("item", "item_id", "x.kind", "x.t", "p")
     w = w.withColumn("slots", _slots("t", "p", F.lit(0))).withColumn("size", F.least(F.size("t"), F.lit(WINDOW)))
     return w.withColumn("n_windows", F.size("t") - F.col("size") + 1)
@@ -96,7 +96,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     known = cut(_item_windows(whole_items), "windows")
     sizes = sorted((r["plain"], r["size"]) for r in known.groupBy("plain", "size").agg(F.count("*").alias("n")).collect())  # 2 WINDOW at most
     small = known.count() <= MOST_BROADCAST
-    rows = docs.select("doc_id", template_words(F.col("text")).alias("t"), template_words(F.col("text")).alias("t2"), (plain_words(F.col("text")) if any(p for p, _ in sizes) else F.array().cast("array<string>")).alias("p"))
+    rows = docs.select("doc_id", template_words(F.col("text")).alias("t"), template_words(F.col("text"), True).alias("t2"), (plain_words(F.col("text")) if any(p for p, _ in sizes) else F.array().cast("array<string>")).alias("p"))
     lists = [(plain, n, "p" if plain else t) for plain, n in sizes for t in (("p",) if plain else ("t", "t2"))]
     # of a pair of lists by both templates, the second gives what differs
     windows = rows.select("doc_id", F.posexplode(_of_sizes(lists)).alias("k", "hs"))
@@ -136,7 +136,7 @@ def _whole(hits: DataFrame, held: DataFrame, items: DataFrame, small: bool) -> D
     at = hits.where("dense").select("doc_id", "item", "kind", "shift", "n_windows").distinct()
     whole = items.select("item", "kind", F.col("t").alias("item_t"), F.col("slots").alias("all_slots"))
     at = at.join(F.broadcast(whole) if small else whole, ["item", "kind"])
-    texts = held.select(F.col("doc_id").alias("_id"), template_words(F.col("text")).alias("t1"), template_words(F.col("text")).alias("t2"), plain_words(F.col("text")).alias("p"))
+    texts = held.select(F.col("doc_id").alias("_id"), template_words(F.col("text")).alias("t1"), template_words(F.col("text"), True).alias("t2"), plain_words(F.col("text")).alias("p"))
     met = at.where("shift >= 0").join(texts, at["doc_id"].eqNullSafe(texts["_id"]))
     here = lambda t: F.slice(t, F.col("shift") + 1, F.size("item_t")) == F.col("item_t")
     pairs = F.array_distinct(F.transform("all_slots", lambda s: F.struct(s["value"].alias("value"), F.get("p", F.col("shift") + s["at"]).alias("other"))))

@@ -331,6 +331,14 @@ def test_dense_and_short_items(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(own, items).collect()} == {(1, 1), (2, 1), (4, 2), (6, 3), (8, None)}
 
 
+def test_names_that_begin_sentences(spark):
+    item = "Tom has 5 red apples. Anna has 3 pears. Ben eats 2 plums. Tom buys 4 figs."
+    good = "Eve has 7 red apples. Carl has 9 pears. Mia eats 6 plums. Eve buys 8 figs."
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    own = make(spark, [(1, good, "s"), (2, "He said: " + good.replace("Carl", "CARL"), "s"), (3, "The cat sat. Then it ran off. Nobody saw 3 pears there.", "s")])
+    assert {r.doc_id for r in decontaminate.find_leaks(own, items).collect()} == {1, 2}
+
+
 def test_mixing(spark, rows, docs, empty):
     got = mixing.taken(docs).collect()
     size = lambda t: len(WORD.findall(t or ""))
