@@ -77,7 +77,25 @@ def splitmix_below(seed: int, index: Column, below: int) -> Column:
     return draw(index) if below else F.lit(0).cast("bigint")
 
 
-def cross_file_draws(pairs: DataFrame, seed: int, order: list[str], one_in: int = 4) -> DataFrame:
-    """One in ``one_in`` of eligible cross-file pairs (a bounded candidate table), by draws in their order."""
-    n = F.row_number().over(Window.orderBy(*order)) - 1
-    return pairs.withColumn("_n", n).where(splitmix_below(seed, F.col("_n"), one_in) == 0).drop("_n")
+RANGE = 50_000  # rows, about, that are numbered in a task
+
+
+def numbered(rows: DataFrame, order: list[str], name: str, most: int = RANGE) -> DataFrame:
+    """Adds each row's place in ``order``, from 0: ranges of the first column are counted, and each row has its range's
+    offset and its place in there. The bounds are values of rows that a hash chooses, so any run finds the same."""
+    first, n = order[0], rows.count()
+    one_in = max(1, min(n, most))
+    bounds = [] if n <= most else sorted(r[0] for r in rows.where(F.pmod(F.xxhash64(first), F.lit(one_in)) == 0).select(first).where(F.col(first).isNotNull()).distinct().collect())
+    at = rows.withColumn("_range", F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(first))) if bounds else F.lit(0))
+    offsets, total = [], 0
+    counts = dict(tuple(r) for r in at.groupBy("_range").agg(F.count("*").alias("n")).collect())
+    for k in range(len(bounds) + 1):
+        offsets.append(total)
+        total += counts.get(k, 0)
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return at.withColumn(name, place + F.element_at(F.array(*[F.lit(x).cast("bigint") for x in offsets]), F.col("_range") + 1)).drop("_range")
+
+
+def cross_file_draws(pairs: DataFrame, seed: int, order: list[str], one_in: int = 4, most: int = RANGE) -> DataFrame:
+    """One in ``one_in`` of eligible cross-file pairs, by draws in their order."""
+    return numbered(pairs, order, "_n", most).where(splitmix_below(seed, F.col("_n"), one_in) == 0).drop("_n")

@@ -73,7 +73,7 @@ def pair_affinity_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def cross_file_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One in four of the first 2,000 cross-file pairs of consecutive trials, by addressed draws."""
-    t = A.trials(spark, sf_dir).select("id", "file").orderBy("id").limit(2000)
+    """One in four of the cross-file pairs of consecutive trials, by addressed draws."""
+    t = A.trials(spark, sf_dir).select("id", "file")
     n = t.select((F.col("id") - 1).alias("id"), F.col("id").alias("b_id"), F.col("file").alias("b_file"))
     return sampling.cross_file_draws(t.join(n, "id").where("file <> b_file").select("id", "b_id"), 42, ["id"])

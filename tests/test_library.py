@@ -178,3 +178,18 @@ def test_stream_of_verdicts(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {(str(r.start)[11:13], r.n) for r in spark.table("v").collect()} == {("01", 2), ("02", 2)}
+
+
+def test_cross_file_draws_cover_all_pairs(spark):
+    rows = spark.range(5000).select((F.col("id") * 7 % 5000).alias("id"), F.lit("x").alias("b_id")).repartition(3)
+    got = sorted(r.id for r in sampling.cross_file_draws(rows, 42, ["id"], most=300).collect())
+    assert got == [i for i in range(5000) if sampling.splitmix64(42, i) % 4 == 0]
+
+
+def test_cross_file_sample_takes_all_trials(spark):
+    from lodestone.plans import adapters, sampling_queries
+
+    trials = {r.id: r.file for r in adapters.trials(spark, "/root/testdata/sf0.01").select("id", "file").collect()}
+    pairs = [i for i in sorted(trials) if i + 1 in trials and trials[i] != trials[i + 1]]
+    got = sorted(r.id for r in sampling_queries.cross_file_sample(spark, "/root/testdata/sf0.01").collect())
+    assert len(trials) > 2000 and got == [i for n, i in enumerate(pairs) if sampling.splitmix64(42, n) % 4 == 0]
