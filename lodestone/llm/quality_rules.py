@@ -8,7 +8,7 @@ written out as column arithmetic.
 
 Defined cases: a null or empty text has no words and fails the base rules; null lang or source is a group
 of its own; groups of fewer than ``MIN_GROUP`` fitted rows use their language's fit, and then the fit of all
-rows; repeated rows are judged alike, each on its own row; extra columns of any name are carried by
+rows, however few; repeated rows are judged alike, each on its own row; extra columns of any name are carried by
 ``apply_rules`` and left out by ``score_documents``; an empty table gives an empty table.
 """
 
@@ -159,7 +159,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         "g3": F.to_json(F.struct(F.lit(3).alias("level"))),
     }
     good = rows.where("not base_failed").withColumns(keys)
-    fits = fit_mcd(good.select(F.explode(F.array(*keys)).alias("g"), *FEATURES)).where(F.col("n") >= MIN_GROUP * SUBSET)
+    fits = fit_mcd(good.select(F.explode(F.array(*keys)).alias("g"), *FEATURES)).where((F.col("n") >= MIN_GROUP * SUBSET) | (F.col("g") == keys["g3"]))
     chosen = good.select(*keys).distinct()
     for k in ("g1", "g2"):
         chosen = chosen.join(fits.select(F.col("g").alias(k), F.lit(1).alias(f"has_{k}")), k, "left")

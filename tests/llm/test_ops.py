@@ -300,6 +300,34 @@ def test_quality_rules(spark, rows, docs, empty):
     assert quality_rules.score_documents(empty).count() == 0
 
 
+def _distances(x):
+    """The fit of all rows with numpy: squared distances of the features x."""
+    import numpy as np
+
+    x, floor = np.asarray(x, float), np.diag(np.square(quality_rules.FLOOR))
+    q = np.sort(x, 0)[[int(np.ceil(p * len(x))) - 1 for p in (0.25, 0.5, 0.75)]]
+    m, c = q[1], np.diag(((q[2] - q[0]) / 1.349) ** 2) + floor
+    far = lambda: np.einsum("ni,ij,nj->n", x - m, np.linalg.inv(c), x - m)
+    for _ in range(quality_rules.STEPS):
+        b = np.floor(np.log(far() + 1e-6) * 50)
+        near = x[b <= max(v for v in b if (b < v).sum() < quality_rules.SUBSET * len(b))]
+        m, c = near.mean(0), np.cov(near.T, bias=True) * quality_rules.CONSISTENCY + floor
+    return far()
+
+
+def test_quality_fit_of_few_rows(spark):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8)))
+    texts = [" ".join(word() for _ in range(60)) for _ in range(20)] + [" ".join(f"#{word().upper()}$$%{i}" for i in range(60))]
+    docs = make(spark, [(i, t, f"s{i % 2}") for i, t in enumerate(texts)])
+    stats = quality_rules.with_features(docs.select("doc_id", quality_rules.text_statistics(F.col("text")).alias("s")).select("doc_id", "s.*")).orderBy("doc_id")
+    want = _distances([[x[f] for f in quality_rules.FEATURES] for x in stats.collect()])
+    got = {x.doc_id: x for x in quality_rules.score_documents(docs).collect()}
+    assert [got[i].distance for i in range(21)] == pytest.approx(list(want), rel=1e-6)
+    assert [got[i].kept for i in range(21)] == [d * 60 / 80 <= quality_rules.CUTOFF for d in want] and not got[20].kept
+    assert got[0].kept
+
+
 def test_decontamination(spark, docs, empty):
     item = "If Anna has 12 apples and gives 3 apples to Ben then how many apples does Anna keep in total"
     same = "we read: If Anna has 40 apples and gives 7 apples to Carl then how many apples does Anna keep in total right"
