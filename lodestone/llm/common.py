@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,10 +41,23 @@ def window_hashes(ws: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
+def carried(df: DataFrame, **names: Column) -> DataFrame:
+    """``df`` as one struct column ``row`` beside the named ones, so that no column of it can clash with an operator's own;
+    ``select("row.*")`` gives it back."""
+    return df.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in names.items()])
+
+
+def doc_key(doc_id: Column) -> Column:
+    """doc_id as a number to order by; null comes after all others."""
+    return F.coalesce(doc_id.cast("bigint"), F.lit((1 << 63) - 1))
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, in local mode alone, one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lodestone-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -59,16 +72,17 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def cut(df: DataFrame, name: str = "stage") -> DataFrame:
+def cut(df: DataFrame, name: str = "stage", spent: Iterable[DataFrame] = ()) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it: later steps neither repeat its work
-    nor depend on the executors that did it."""
+    nor depend on the executors that did it. The tables ``spent``, which only ``df`` still read, are deleted then."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._lodestone_path = path
-    # what the table replaces is no longer needed: let Spark's cleaner find its shuffle files now
-    gc.collect()
+    for x in spent:
+        drop_cut(x)
+    gc.collect()  # lets Spark's cleaner remove the shuffle files of what the table replaces
     spark._jvm.System.gc()
     return out
 

@@ -1,187 +1,214 @@
 """Fuzzy line dedup by MinHash: of lines that are alike, one stays.
 
 Lines of ``least`` code points or more, and blank ones never, take part. The functions start at ``LEAST`` unless told
-otherwise; the query and the pipeline take every line that isn't blank (``ALL``). Equal lines are one node (combined
-before the shuffle). A line's signature is made of minima of hashes of the shingles that are verified
-later: all its strings of ``SHINGLE`` characters. ``SIDE`` squared minima make 20 bands of four, the buckets.
-
-A bucket is searched by stars: in each round the lines of a bucket that spans components meet one pivot, in the next
-round another, so a bucket of near copies costs what it is long. When a round no longer halves the pairs that are left,
-all pairs of different components are met, in blocks, so no bucket is left unsearched by its size. Pairs count when the exact Jaccard similarity of
-their full sets of ``SHINGLE``-character shingles is 0.8 or more. Distributed union-find makes components; of each, the
-occurrence in the smallest doc_id (then by line hash, then by place) stays.
+otherwise; the query and the pipeline take every line that isn't blank (``ALL``).
+
+1. Equal lines are one node. A line's signature is made of minima of hashes of the shingles that are verified later: all
+   its strings of ``SHINGLE`` characters (UTF-16 units of the line in lower case; of a shorter line, itself). 16 minima
+   make 12 bands of four, the buckets, and a sketch of 64 bits, four of each minimum.
+2. Lines that share a bucket are candidates where their sketches agree in ``AGREE`` places or more, which a pair of the
+   similarity sought misses once in 200 times. In buckets of up to ``SMALL`` lines all pairs are looked at; in larger ones a
+   pivot meets all others, in rounds, and is out then. When the pairs that are left cost no more than a
+   pass, or rounds no longer halve them, they are looked at in blocks, so no bucket is left unsearched by its size.
+3. Candidates count when the exact Jaccard similarity of their shingle sets is 0.8 or more: shingles of a pair are
+   aggregated, never held as a group.
+4. Distributed union-find makes components; of each, the occurrence in the smallest doc_id (then by line hash, then by
+   text hash and place) stays.
 
 All steps are DataFrame expressions. Defined cases: null text has no lines and stays null; an empty text has one empty
-line; repeated rows of a document count as one; a null doc_id comes after all others; extra columns are carried. Lines
-are told apart by a 64-bit hash.
+line; rows are told apart by doc_id and text, so rows with the same of both count as one and others never share their
+lines; null doc_ids come after all others; extra columns of any name are carried. Lines, texts and shingles are told apart by
+64-bit hashes.
 """
 
 from __future__ import annotations
 
-import itertools
+import functools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, components, cut, let
+from .common import bounded, carried, components, cut, doc_key, drop_cut, let
 
 LEAST = 30
 ALL = 1
 SHINGLE = 5
-SIDE = 4
+SIDE = 4  # minima are SIDE squared
+SLOPES = 3  # bands are SLOPES times SIDE
+AGREE = 9  # of the minima's sketches, for a candidate
+SMALL = 16  # lines of a bucket whose pairs are all looked at
 BLOCK = 512  # members of a bucket that meet in a task
-LAST = (1 << 63) - 1  # stands for a null doc_id
+MOST_BROADCAST = 2_000_000  # ids of lines whose texts are looked up
+_BLANK = r" \t\n\x0B\f\r"
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """(doc, copy, text): what tells rows apart, and orders them."""
+    return docs.select(doc_key(F.col("doc_id")).alias("doc"), F.xxhash64("text").alias("copy"), "text")
 
 
 def _lines(docs: DataFrame, least: int) -> DataFrame:
-    """(doc, pos, line) of the lines that take part."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return rows.where((F.length("line") >= least) & F.rlike("line", F.lit(WORD_RE)))
+    """(doc, copy, pos, line) of the lines that take part."""
+    rows = _rows(docs).select("doc", "copy", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    return rows.where((F.length("line") >= least) & (F.length(F.expr(f"btrim(line, '{_BLANK}')")) > 0))
+
 
+def _units(line: Column) -> Column:
+    """A line in lower case as two bytes a UTF-16 unit, of which substrings cost what they are long."""
+    return F.encode(F.lower(line), "UTF-16BE")
 
-def _shingles(line: Column) -> Column:
-    """SHINGLE-character strings of a line in lower case, one from each place; of a shorter line, itself."""
-    low = F.lower(line)
-    return F.when(F.length(low) < SHINGLE, F.array(low)).otherwise(F.regexp_extract_all(low, F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1)))
+
+def _places(units: str) -> str:
+    """SQL for the places of a line's shingles."""
+    return f"sequence(1, greatest(octet_length({units}) - {2 * SHINGLE - 1}, 1), 2)"
 
 
 def _signatures(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(id, doc, n, buckets) of distinct lines: doc their smallest, n their occurrences. A task has all shingles of a
-    line, so the shuffle gets a row of minima for each line and task."""
-    lines = _lines(docs, least).select("doc", "line", F.xxhash64("line").alias("id"))
-    one = lines.select("id", "doc", F.posexplode(_shingles(F.col("line"))).alias("at", "shingle")).select("id", "doc", "at", F.xxhash64("shingle").alias("h"))
-    minima = [F.min(_reordered(F.col("h"), k, c)).alias(f"m{k}") for k, c in enumerate(_constants(SIDE * SIDE))]
-    signed = one.groupBy("id").agg(F.min("doc").alias("doc"), F.count(F.when(F.col("at") == 0, 1)).alias("n"), *minima)
+    """(id, doc, n, sketch, buckets) of distinct lines: doc their smallest, n their occurrences. A task has all shingles of
+    a line, so the shuffle gets a row of minima for each line and task."""
+    lines = _lines(docs, least).select("doc", F.xxhash64("line").alias("id"), _units(F.col("line")).alias("units"))
+    one = lines.select("id", "doc", "units", F.explode(F.expr(_places("units"))).alias("at"))
+    one = one.select("id", "doc", "at", F.xxhash64(F.expr(f"substring(units, at, {2 * SHINGLE})")).alias("h"))
+    minima = [F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(f"m{k}") for k, c in enumerate(_constants(SIDE * SIDE))]
+    signed = one.groupBy("id").agg(F.min("doc").alias("doc"), F.count(F.when(F.col("at") == 1, 1)).alias("n"), *minima)
     buckets = [F.xxhash64(F.lit(b), *[F.col(f"m{k}") for k in band]) for b, band in enumerate(_bands())]
-    return signed.select("id", "doc", "n", F.array(*buckets).alias("buckets"))
+    nibbles = [F.shiftleft(F.xxhash64(f"m{k}").bitwiseAND(F.lit(15)), 4 * k) for k in range(SIDE * SIDE)]
+    return signed.select("id", "doc", "n", functools.reduce(lambda x, y: x.bitwiseOR(y), nibbles).alias("sketch"), F.array(*buckets).alias("buckets"))
 
 
-def _reordered(h: Column, k: int, c: int) -> Column:
-    """A hash of which other bits lead for each k: its k-th random order of the same shingles. A constant alone would
-    leave neighbours neighbours, so that one shingle is the minimum of many orders."""
-    turned = F.shiftleft(h, 4 * k).bitwiseOR(F.shiftrightunsigned(h, 64 - 4 * k)) if k else h
-    return turned.bitwiseXOR(F.lit(c))
+def _agree(a: Column, b: Column) -> Column:
+    """In how many of their places two sketches agree."""
+    x = a.bitwiseXOR(b)
+    odd = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
+    return F.lit(SIDE * SIDE) - F.bit_count(odd.bitwiseAND(F.lit(0x1111111111111111)))
 
 
 def _bands() -> list[list[int]]:
-    """Places of minima in each band: the lines of the affine plane over the field of ``SIDE`` = 4 elements, on which
+    """Places of minima in each band: sloped lines of the affine plane over the field of ``SIDE`` = 4 elements, on which
     the minima are points. Two bands share one minimum at most."""
     cells = range(SIDE)
     times = ((0, 0, 0, 0), (0, 1, 2, 3), (0, 2, 3, 1), (0, 3, 1, 2))
-    sloped = [[SIDE * x + (times[slope][x] ^ shift) for x in cells] for slope in cells for shift in cells]
-    return sloped + [[SIDE * x + y for y in cells] for x in cells]
+    return [[SIDE * x + (times[slope][x] ^ shift) for x in cells] for slope in cells[1 : 1 + SLOPES] for shift in cells]
 
 
 def _constants(n: int) -> list[int]:
-    """Spread signed 64-bit numbers: odd multiples of the golden ratio's, mixed once."""
+    """Signed 64-bit numbers whose first four bits all differ. The hash least by ``h xor c`` is the one that shares c's leading
+    bits longest, so each constant looks first at shingles of its own."""
     out = []
-    for k in range(1, n + 1):
-        z = (k * 0x9E3779B97F4A7C15) & (1 << 64) - 1
+    for k in range(n):
+        z = ((k + 1) * 0x9E3779B97F4A7C15) & (1 << 64) - 1
         z = ((z ^ z >> 30) * 0xBF58476D1CE4E5B9) & (1 << 64) - 1
-        z ^= z >> 27
+        z = (z & (1 << 60) - 1) | (7 * k % 16) << 60
         out.append(z - (1 << 64) if z >> 63 else z)
     return out
 
 
-def _alike(a: Column, b: Column) -> Column:
-    """Whether the exact Jaccard similarity of two lines' shingle sets is 0.8 or more."""
-    return let(
-        F.struct(F.array_distinct(_shingles(a)).alias("a"), F.array_distinct(_shingles(b)).alias("b")),
-        lambda s: let(F.size(F.array_intersect(s["a"], s["b"])), lambda both: 5 * both >= 4 * (F.size(s["a"]) + F.size(s["b"]) - both)),
-    )
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ids whose lines are alike. Each shingle of a pair becomes a row that says whose it is."""
+    with_a = pairs.join(texts.toDF("a", "ua"), "a")
+    both = with_a.join(texts.toDF("b", "ub"), "b").repartition("a", "b")  # a pivot has many pairs
+    each = both.select("a", "b", "ua", "ub", F.explode(F.expr(f"flatten(array({_places('ua')}, transform({_places('ub')}, i -> -i)))")).alias("at"))
+    own = F.expr(f"if(at > 0, substring(ua, at, {2 * SHINGLE}), substring(ub, -at, {2 * SHINGLE}))")
+    each = each.select("a", "b", F.xxhash64(own).alias("h"), F.when(F.col("at") > 0, 1).otherwise(2).alias("whose"))
+    per = each.groupBy("a", "b", "h").agg(F.bit_or("whose").alias("whose"))
+    found = per.groupBy("a", "b").agg(F.count("*").alias("either"), F.count(F.when(F.col("whose") == 3, 1)).alias("both"))
+    return found.where("5 * both >= 4 * either").select("a", "b")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ids whose texts are alike."""
-    with_a = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(texts.toDF("a", "ta"), "a")
-    return with_a.join(texts.toDF("b", "tb"), "b").where(_alike(F.col("ta"), F.col("tb"))).select("a", "b")
+def _pairs(met: DataFrame) -> DataFrame:
+    """Distinct (a, b), a < b, of rows (id, sketch, id2, sketch2) whose sketches agree."""
+    some = met.where((F.col("id") != F.col("id2")) & (_agree(F.col("sketch"), F.col("sketch2")) >= AGREE))
+    return some.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
 
-def _joined(links: DataFrame | None, new: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Links with the new ones, their components, and the members of buckets that span components still: (bucket, id,
-    component, k, main, k_main), k the bucket's members and main the component that has most, k_main, of them."""
-    links = cut(new if links is None else links.unionByName(new), "links")
-    found = cut(components(links), "components")
-    at = members.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    counts = at.groupBy("bucket", "component").agg(F.count("*").alias("c"))
-    wide = counts.groupBy("bucket").agg(F.sum("c").alias("k"), F.max(F.struct("c", "component")).alias("x")).where("x.c < k")
-    return links, found, cut(at.join(wide.select("bucket", "k", F.col("x.component").alias("main"), F.col("x.c").alias("k_main")), "bucket"), "open")
+def _open(at: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of the buckets (bucket, id, sketch) that span components still: with component, k, the bucket's members, and main
+    the component that has most, k_main, of them."""
+    own = at.select("bucket", "id", "sketch").join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    counts = own.groupBy("bucket", "component").agg(F.count("*").alias("c"))
+    wide = counts.groupBy("bucket").agg(F.sum("c").alias("k"), F.max("c").alias("k_main"), F.max_by("component", "c").alias("main")).where("k_main < k")
+    return own.join(wide, "bucket")
 
 
 def _met(at: DataFrame) -> DataFrame:
-    """Pairs (a, b) of the members of a bucket that are of different components, each once a bucket. A bucket is dealt
-    into blocks of ``BLOCK``, and block meets block, so that no task has a large bucket. Members of the main component
-    only meet the others."""
+    """(id, sketch, id2, sketch2) of members of a bucket that are of different components, each once a bucket. A bucket
+    is dealt into blocks of ``BLOCK``, and block meets block, so that no task has a large bucket. Members of the
+    main component only meet the others."""
     block = lambda n: F.pmod(F.xxhash64(F.lit(5), "id"), n).cast("int")
     sized = at.withColumn("n_rest", F.ceil((F.col("k") - F.col("k_main")) / BLOCK)).withColumn("n_all", F.ceil(F.col("k") / BLOCK)).withColumn("rest", F.col("component") != F.col("main"))
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
-    left = sized.where("rest").select("bucket", block(F.col("n_rest")).alias("i"), upto("n_all").alias("j"), F.col("id").alias("a"), F.col("component").alias("ca"))
-    right = sized.select("bucket", block(F.col("n_all")).alias("j"), upto("n_rest").alias("i"), F.col("id").alias("b"), F.col("component").alias("cb"), "rest")
-    on = [left[c] == right[c] for c in ("bucket", "i", "j")] + [F.col("ca") != F.col("cb"), ~F.col("rest") | (F.col("a") < F.col("b"))]
-    return left.join(right, on).select("a", "b")
+    left = sized.where("rest").select("bucket", block(F.col("n_rest")).alias("i"), upto("n_all").alias("j"), "id", "sketch", F.col("component").alias("c1"))
+    right = sized.select("bucket", block(F.col("n_all")).alias("j"), upto("n_rest").alias("i"), F.col("id").alias("id2"), F.col("sketch").alias("sketch2"), F.col("component").alias("c2"), "rest")
+    return left.join(right, ["bucket", "i", "j"]).where("c1 <> c2 and (not rest or id < id2)")
 
 
 def similar_lines(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """(lines, found): lines (id, doc, n, buckets) of distinct lines; found (node, component) of those that have others
-    alike."""
+    """(lines, found): lines (id, doc, n, sketch, buckets) of distinct lines; found (node, component) of those that have
+    others alike."""
     lines = cut(_signatures(docs, least), "lines")
-    held = lines.select("id", F.explode("buckets").alias("bucket"))
-    shared = held.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
-    members = cut(held.join(shared, "bucket").distinct(), "members")
-    some = members.select("id").distinct()
+    held = lines.select("id", "sketch", F.explode("buckets").alias("bucket"))
+    shared = held.groupBy("bucket").agg(F.count("*").alias("k"), F.min("id").alias("id2"), F.min_by("sketch", "id").alias("sketch2")).where("k > 1")
+    met = cut(held.join(shared, "bucket"), "met")
+    few, many = met.where(F.col("k") <= SMALL), met.where(F.col("k") > SMALL)
+    twice = few.where("k = 2 and id <> id2").unionByName(few.where("k > 2").drop("id2", "sketch2").join(few.where("k > 2").select("bucket", F.col("id").alias("id2"), F.col("sketch").alias("sketch2")), "bucket").where("id < id2"))
+    columns = ["id", "sketch", "id2", "sketch2"]
+    pairs = cut(_pairs(twice.select(columns).unionByName(many.select(columns))), "pairs")
+    some = bounded(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(many.select("id")).distinct(), MOST_BROADCAST)
     texts = _lines(docs, least).select(F.xxhash64("line").alias("id"), "line").join(some, "id", "left_semi")
-    texts = cut(texts.groupBy("id").agg(F.min("line").alias("line")), "texts")
-    links, found, left = None, None, None
-    at = members.withColumn("component", F.col("id"))
-    for r in itertools.count():
-        # a pivot by chance: mostly of the component that most members have
-        pivots = at.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", F.lit(r)).alias("h"), "id", "component")).alias("p"))
-        pairs = at.join(pivots.select("bucket", F.col("p.id").alias("b"), F.col("p.component").alias("cb")), "bucket")
-        new = _verified(pairs.where("component <> cb").select(F.col("id").alias("a"), "b"), texts)
-        links, found, at = _joined(links, new, members)
+    texts = cut(texts.groupBy("id").agg(F.min("line").alias("line")).select("id", _units(F.col("line")).alias("units")), "texts", [some])
+    links = cut(_verified(pairs, texts), "links", [pairs])
+    found = cut(components(links), "components")
+    # large buckets: more pivots, then what is left
+    at, left, most = cut(_open(many.where("id <> id2"), found), "open", [met]), None, 4 * lines.count()
+    while True:
         work, left = left, at.select("bucket", "k", "k_main").distinct().agg(F.sum(F.expr("(k - k_main) * k"))).first()[0] or 0
-        if not left or work is not None and 2 * left > work:
+        if not left:
+            break
+        last = left <= most or work is not None and 2 * left > work
+        if last:
+            met = _met(at).select(columns)
+        else:
+            pivots = at.groupBy("bucket").agg(F.min("id").alias("id2"), F.min_by("sketch", "id").alias("sketch2"), F.min_by("component", "id").alias("c2"))
+            met = cut(at.join(pivots, "bucket").where("id <> id2"), "met", [at])
+        links = cut(links.unionByName(_verified(_pairs(met if last else met.where("component <> c2").select(columns)), texts)), "links", [links, found])
+        found = cut(components(links), "components")
+        if last:
             break
-    if left:
-        # what stars no longer join soon: all pairs of components, exactly
-        links, found, at = _joined(links, _verified(_met(at), texts), members)
+        at = cut(_open(met, found), "open", [met])
+    for x in (texts, links, at):
+        drop_cut(x)
     return lines, found
 
 
 def decisions(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(doc, gone): places of the lines to remove, sorted, per document that has any."""
+    """(doc, copy, gone): places of the lines to remove, sorted, per row of documents that has any."""
     lines, found = similar_lines(docs, least)
-    slim = lines.select("id", "doc", "n")
-    joined = slim.join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    keepers = joined.groupBy("component").agg(F.min(F.struct("doc", "id")).alias("keep"), F.sum("n").alias("all")).where("all > 1")
-    fate = cut(joined.join(keepers, "component").select("id", F.col("keep.doc").alias("keep_doc"), F.col("keep.id").alias("keep_id")), "fate")
-    at = cut(_lines(docs, least).select("doc", "pos", F.xxhash64("line").alias("id")).join(fate, "id"), "occurrences")
-    first = at.where("id = keep_id and doc = keep_doc").groupBy("doc", "id").agg(F.min("pos").alias("pos"))
-    gone = at.select("doc", "pos", "id").join(first, ["doc", "id", "pos"], "left_anti")
-    return gone.groupBy("doc").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
-
-
-def _with_gone(docs: DataFrame, least: int) -> DataFrame:
-    gone = decisions(docs, least).select(F.col("doc").alias("_doc"), F.col("gone").alias("_gone"))
-    return docs.join(gone, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)) == F.col("_doc"), "left").drop("_doc")
+    joined = lines.select("id", "doc", "n").join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    joined = cut(joined.where("n > 1 or component <> id").unionByName(joined.where("n = 1 and component = id").join(found.select(F.col("component").alias("id")).distinct(), "id", "left_semi")), "copies", [lines, found])
+    keepers = joined.groupBy("component").agg(F.min(F.struct("doc", "id")).alias("keep"))
+    fate = bounded(joined.join(keepers, "component").select("id", F.col("keep.doc").alias("keep_doc"), F.col("keep.id").alias("keep_id")), MOST_BROADCAST)
+    at = cut(_lines(docs, least).select("doc", "copy", "pos", F.xxhash64("line").alias("id")).join(fate, "id"), "occurrences", [joined, fate])
+    first = at.where("id = keep_id and doc = keep_doc").groupBy("doc", "id").agg(F.min(F.struct("copy", "pos")).alias("x")).select("doc", "id", "x.*")
+    gone = at.select("doc", "copy", "pos", "id").join(first, ["doc", "id", "copy", "pos"], "left_anti")
+    return gone.groupBy("doc", "copy").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
 
 
 def removed_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Per row: doc_id, n_lines, n_removed, removed (places of lines, from 0)."""
     gone = decisions(docs, least)
-    own = docs.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("bigint").alias("n_lines"))
-    out = own.join(gone, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)) == F.col("doc"), "left")
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("bigint")
+    own = docs.select("doc_id", n.alias("n_lines"), doc_key(F.col("doc_id")).alias("doc"), F.xxhash64("text").alias("copy"))
     removed = F.coalesce("gone", F.array().cast("array<int>"))
-    return out.select("doc_id", "n_lines", F.size(removed).cast("bigint").alias("n_removed"), removed.alias("removed"))
+    return own.join(gone, ["doc", "copy"], "left").select("doc_id", "n_lines", F.size(removed).cast("bigint").alias("n_removed"), removed.alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``docs`` without the removed lines, in the same columns; n_chars, if there, is that of the new text."""
-    rows = _with_gone(docs, least)
-    lines = F.split("text", "\n")
-    kept = let(lines, lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("_gone")), lambda i: F.get(x, i)), "\n"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
-    out = rows.withColumn("text", text)
+    gone = decisions(docs, least)
+    rows = carried(docs, doc=doc_key(F.col("doc_id")), copy=F.xxhash64("text")).join(gone, ["doc", "copy"], "left")
+    kept = let(F.split("row.text", "\n", -1), lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("gone")), lambda i: F.get(x, i)), "\n"))
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(kept)
+    new = {"text": text}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.length(text).cast(dict(docs.dtypes)["n_chars"])
+    return rows.select(*[(new.get(c, F.col(f"row.`{c}`"))).alias(c) for c in docs.columns])
