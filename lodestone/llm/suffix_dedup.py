@@ -12,14 +12,15 @@ A byte goes if a string of ``K`` bytes that covers it also starts earlier: in a
    by inducing, named, and the reduced string is ordered; two more passes induce all suffixes. Passes are linear and
    go bucket by bucket in numpy. Neighbours are compared in text order (permuted common prefixes), and all but
    the earliest of neighbours that share K bytes are repeats.
-   The reduced string is ordered by rank doubling instead of by the same procedure again, up to K bytes: deeper order is
-   never read.
-4. A signature whose classes exceed ``MOST_SHARD`` bytes is not gathered: its windows are hashed to 128 bits and their
-   earliest places found by grouped minimum.
-
-Defined cases: null and empty texts have no bytes; texts under K bytes lose none; repeated rows of a doc_id count as one
-place, so neither is the other's repeat; a null doc_id comes after all others; extra columns are ignored by ``digest``
-and carried by ``cut_repeats``. Class equality rests on 128 bits of hash.
+   The reduced string is ordered by the same procedure again while its names are few against its length, and by rank
+   doubling where buckets would hold little each; order deeper than K bytes is never read.
+4. A signature whose classes exceed ``MOST_SHARD`` bytes is not gathered: its runs are cut anew by other pieces, as often as
+   it takes.
+
+Defined cases: null and empty texts have no bytes; texts under K bytes lose none; rows are told apart by doc_id and text:
+those with the same of both count as one place, so neither is the other's repeat, and of several texts of one doc_id, or of
+none, that of the smaller hash comes first; a null doc_id comes after all others; extra columns are ignored. Class equality rests on
+64 bits of content hash beside the signature and the length.
 """
 
 from __future__ import annotations
@@ -31,23 +32,22 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, doc_key, drop_cut
 
 K = 100
 M = 32  # bytes of a piece; K - M + 1 pieces a window
 SHARD = 1_000_000  # bytes of text in a shard, about
 MOST_SHARD = 2_000_000
 CHUNK = 1_000_000  # bytes that are hashed at once, unless a text is longer
-LAST = (1 << 63) - 1  # stands for a null doc_id
 _R = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _POWERS: dict = {}
 
 
-def _table():
+def _table(level: int = 0):
     import numpy as np
 
-    return np.random.default_rng(20240229).integers(0, 1 << 64, 256, np.uint64)
+    return np.random.default_rng(20240229 + level).integers(0, 1 << 64, 256, np.uint64)
 
 
 def _powers(n: int):
@@ -83,11 +83,11 @@ def prefix_hashes(v):
     return p
 
 
-def runs_of(texts: list[bytes]) -> list[tuple]:
-    """Per text its runs: (starts, windows, signatures, contents, whether the least piece stands there twice) as arrays."""
+def runs_of(texts: list[bytes], level: int = 0) -> list[tuple]:
+    """Per text its runs by the pieces' hashes of a level: (starts, windows, signatures, contents, whether the least piece stands there twice) as arrays."""
     import numpy as np
 
-    table, out, i = _table(), [], 0
+    table, out, i = _table(level), [], 0
     none = (*[np.zeros(0, np.int64)] * 4, np.zeros(0, bool))
     wide = K - M + 1
 
@@ -140,55 +140,69 @@ def runs_of(texts: list[bytes]) -> list[tuple]:
     return out
 
 
+def _chains(q, first):
+    """Places down from each q to where its run of one character begins, ``first[q]``: all of distance 0, then of 1, ..."""
+    import numpy as np
+
+    n = q - first[q] + 1
+    back = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return (np.repeat(q, n) - back)[np.argsort(back, kind="stable")]
+
+
 def _induce(s, order, is_l, n_chars: int):
-    """Suffixes induced from sorted leftmost-smaller ones: larger types bucket by bucket upward, smaller types downward."""
+    """Suffixes induced from sorted leftmost-smaller ones: larger types bucket by bucket upward, smaller types downward.
+
+    When a bucket's turn comes, what others put there is complete and moves on as one batch; what it puts into the bucket
+    itself are runs of its character, a second batch.
+    """
     import numpy as np
 
+    edge = np.append(True, s[1:] != s[:-1])
+    first = np.maximum.accumulate(np.where(edge, np.arange(len(s)), 0))
+
     def push(buckets, p) -> None:
         if len(p):
             ch = s[p]
             by = np.argsort(ch, kind="stable")
             p, ch = p[by], ch[by]
             edges = np.flatnonzero(ch[1:] != ch[:-1]) + 1
-            for part in np.split(p, edges):
-                buckets[s[part[0]]].append(part)
+            for c, part in zip(ch[np.append(0, edges)].tolist(), np.split(p, edges), strict=True):
+                buckets[c].append(part)
+
+    def spread(buckets, c: int, of_type) -> list:
+        """The batches of bucket c, in order; what they induce goes to other buckets."""
+        if not buckets[c]:
+            return []
+        batch = np.concatenate(buckets[c])
+        q = batch[batch > 0] - 1
+        q = q[of_type[q]]
+        same = s[q] == c
+        push(buckets, q[~same])
+        if not same.any():
+            return [batch]
+        own = _chains(q[same], first)
+        q = own[own > 0] - 1
+        q = q[of_type[q]]
+        push(buckets, q[s[q] != c])
+        return [batch, own]
 
     stars: list = [[] for _ in range(n_chars)]
     push(stars, order)
     up: list = [[] for _ in range(n_chars)]
-    push(up, order[:0])
     for c in range(n_chars):
-        now, k = up[c], 0
-        while k < len(now):
-            p = now[k] - 1
-            p = p[p >= 0]
-            p = p[is_l[p]]
-            same = s[p] == c
-            if same.any():
-                now.append(p[same])
-            push(up, p[~same])
-            k += 1
+        up[c] = spread(up, c, is_l)
         for part in stars[c]:
-            p = part - 1
-            p = p[p >= 0]
+            p = part[part > 0] - 1
             push(up, p[is_l[p]])
+    is_s = ~is_l
     down: list = [[] for _ in range(n_chars)]
     for c in range(n_chars - 1, -1, -1):
         # the smaller type stands last in a bucket and is filled from its end; reversed lists keep that order
-        now, k = down[c], 0
-        while k < len(now):
-            p = now[k] - 1
-            p = p[p >= 0]
-            p = p[~is_l[p]]
-            same = s[p] == c
-            if same.any():
-                now.append(p[same])
-            push(down, p[~same])
-            k += 1
+        down[c] = spread(down, c, is_s)
         for part in reversed(up[c]):
-            p = part[::-1] - 1
-            p = p[p >= 0]
-            push(down, p[~is_l[p]])
+            p = part[::-1]
+            p = p[p > 0] - 1
+            push(down, p[is_s[p]])
     out = []
     for c in range(n_chars):
         out += up[c]
@@ -196,50 +210,70 @@ def _induce(s, order, is_l, n_chars: int):
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def suffix_array(data: bytes, depth: int = K):
-    """Suffixes of a byte string, sorted at least by their first ``depth`` bytes."""
+def _doubled(names, depth: int):
+    """Suffixes of a string of names sorted by their first ``depth``, by ranks of doubled lengths."""
+    import numpy as np
+
+    rank, step, top = names.astype(np.int64), 1, int(names.max())
+    while step < depth and top < len(rank):
+        ahead = np.concatenate((rank[step:], np.zeros(min(step, len(rank)), np.int64)))[: len(rank)]
+        key = rank * (len(rank) + 2) + ahead
+        by = np.argsort(key, kind="stable")
+        k = key[by]
+        rank = np.empty_like(rank)
+        rank[by] = np.concatenate(([0], np.cumsum(k[1:] != k[:-1]))) + 1
+        step, top = 2 * step, int(rank.max())
+    return np.argsort(rank, kind="stable")
+
+
+def _sorted_suffixes(s, n_chars: int, depth: int):
+    """Suffixes of an array of characters under ``n_chars``, which ends with its only 0, sorted by ``depth`` at least; that of
+    the 0 alone is left out."""
     import numpy as np
 
-    s = np.append(np.frombuffer(data, np.uint8).astype(np.int16) + 1, 0).astype(np.int16)  # ends with a least sentinel
     n = len(s)
     # classify: a suffix is of the larger type if the next differing character is smaller
     sign = np.sign(np.diff(s))
     at = np.where(sign != 0, np.arange(n - 1), n - 1)
     at = np.minimum.accumulate(at[::-1])[::-1]
     is_l = np.append(np.append(sign, 0)[at] < 0, False)
-    stars = (np.flatnonzero(~is_l[1:] & is_l[:-1]) + 1).astype(np.int32)
+    stars = np.flatnonzero(~is_l[1:] & is_l[:-1]) + 1
     if len(stars) > 1:
-        first = _induce(s, stars, is_l, 257)
-        rank_of = np.zeros(n, bool)
-        rank_of[stars] = True
-        ordered = first[rank_of[first]]  # by their substrings
+        first = _induce(s, stars, is_l, n_chars)
+        known = np.zeros(n, bool)
+        known[stars] = True
+        ordered = first[known[first]]  # by their substrings
         # name the substrings: each reaches to the next leftmost-smaller position
-        nxt = np.append(stars[1:], n - 1)
         end = np.zeros(n, np.int64)
-        end[stars] = np.minimum(nxt + 1, n)
-        p = prefix_hashes(_table()[np.frombuffer(data + b"\0", np.uint8)])
+        end[stars] = np.minimum(np.append(stars[1:], n - 1) + 1, n)
+        p = prefix_hashes(_mixed((s.astype(np.uint64) + np.uint64(1)) * np.uint64(_R)))
         _, down = _powers(n + 1)
         h = (p[end[ordered]] - p[ordered]) * down[ordered]
         length = end[ordered] - ordered
         names = np.zeros(n, np.int64)
         names[ordered] = np.concatenate(([0], np.cumsum((h[1:] != h[:-1]) | (length[1:] != length[:-1])))) + 1
-        # the reduced string, ordered by rank doubling: a name spans a byte at least
-        rank, step = names[stars], 1
-        while step < depth and rank.max() < len(rank):
-            ahead = np.concatenate((rank[step:], np.zeros(min(step, len(rank)), np.int64)))[: len(rank)]
-            key = rank * (len(rank) + 2) + ahead
-            by = np.argsort(key, kind="stable")
-            k = key[by]
-            rank = np.empty_like(rank)
-            rank[by] = np.concatenate(([0], np.cumsum(k[1:] != k[:-1]))) + 1
-            step *= 2
-        stars = stars[np.argsort(rank, kind="stable")]
-    return _induce(s, stars, is_l, 257)
+        names = names[stars]
+        top = int(names.max())
+        if top == len(names) - 1:  # 0 is the end's
+            by = np.argsort(names)
+        elif top * top <= 16 * len(names):  # few names: the same again
+            by = np.append(len(names) - 1, _sorted_suffixes(names, top + 1, depth // 2 + 1))
+        else:  # buckets would hold little each
+            by = _doubled(names, depth)
+        stars = stars[by]
+    return _induce(s, stars, is_l, n_chars)
+
+
+def suffix_array(data: bytes, depth: int = K):
+    """Suffixes of a byte string, sorted at least by their first ``depth`` bytes."""
+    import numpy as np
+
+    return _sorted_suffixes(np.append(np.frombuffer(data, np.uint8).astype(np.int64) + 1, 0), 257, depth)
 
 
 def repeats_in(texts: list[bytes], docs: list[int], starts: list[int]) -> list[tuple[int, int]]:
     """(doc, place) of all windows of the texts that stand at an earlier (doc, place) too; text i lies at starts[i] of
-    docs[i]."""
+    docs[i]. The K bytes of neighbours are compared by 64-bit hashes."""
     import numpy as np
 
     data = b"\0".join(texts) + b"\0"  # compared windows lie within texts, so the divider needs no code of its own
@@ -284,7 +318,7 @@ def _spans(places: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
 
 
 def _runs(docs: DataFrame) -> DataFrame:
-    """(sig, content, doc, start, windows, again) of all runs of rows (doc, data)."""
+    """(sig, content, doc, copy, start, windows, again) of all runs of rows (doc, copy, data)."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -293,57 +327,105 @@ def _runs(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
-                found = runs_of([x or b"" for x in part.column(1).to_pylist()])
-                ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(x[0]) for x in found])
-                starts, windows, sig, content, again = (np.concatenate([x[k] for x in found]) for k in range(5))
-                if len(ids):
-                    yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(content), pa.array(ids), pa.array(starts), pa.array(windows), pa.array(again)], ["sig", "content", "doc", "start", "windows", "again"])
+                found = runs_of([x or b"" for x in part.column(2).to_pylist()])
+                k = [len(x[0]) for x in found]
+                doc, copy = (np.repeat(part.column(c).to_numpy(zero_copy_only=False), k) for c in (0, 1))
+                starts, windows, sig, content, again = (np.concatenate([x[c] for x in found]) for c in range(5))
+                if len(doc):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (sig, content, doc, copy, starts, windows, again)], ["sig", "content", "doc", "copy", "start", "windows", "again"])
+
+    return docs.mapInArrow(run, "sig bigint, content bigint, doc bigint, copy bigint, start bigint, windows bigint, again boolean")
+
+
+def _period(part: bytes) -> int:
+    """The least distance up to that of a window's pieces at which a long part repeats itself, or 0."""
+    if len(part) > 3 * K:
+        for p in range(1, K - M + 2):
+            if part.startswith(part[p : 2 * p + K]) and part[p:] == part[:-p]:
+                return p
+    return 0
+
+
+def _recut(parts: DataFrame, level: int) -> DataFrame:
+    """Runs (sig, doc, copy, start, part, again) of the parts (sig, doc, copy, start, part) by another level's hashes beside
+    the signature that they have. No hashes cut a part that repeats itself, so its first period goes on, and a row of null
+    sig has the rest, which is repeated."""
 
-    return docs.mapInArrow(run, "sig bigint, content bigint, doc bigint, start bigint, windows bigint, again boolean")
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for first in range(0, batch.num_rows, 500):
+                out, rows = [], batch.slice(first, 500).to_pylist()
+                for r in rows:
+                    if p := _period(r["part"]):
+                        out.append(r | {"sig": None, "more": 0, "start": r["start"] + p, "part": r["part"][p:], "again": False})
+                        r["part"] = r["part"][: p - 1 + K]
+                for r, (starts, windows, sig, _, again) in zip(rows, runs_of([r["part"] for r in rows], level), strict=True):
+                    for s, w, g, x in zip(starts.tolist(), windows.tolist(), sig.tolist(), again.tolist(), strict=True):
+                        out.append(r | {"more": g, "start": r["start"] + s, "part": r["part"][s : s + w - 1 + K], "again": x})
+                if out:
+                    yield pa.RecordBatch.from_pylist(out, pa.schema([(n, pa.int64()) for n in ("sig", "more", "doc", "copy", "start")] + [("part", pa.binary()), ("again", pa.bool_())]))
+
+    found = parts.select("sig", "doc", "copy", "start", "part").mapInArrow(run, "sig bigint, more bigint, doc bigint, copy bigint, start bigint, part binary, again boolean")
+    return found.withColumn("sig", F.when(F.col("sig").isNotNull(), F.xxhash64("sig", "more"))).drop("more")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc, start, end) of repeated bytes of rows (doc, data); spans may overlap."""
+    """(doc, copy, start, end) of repeated bytes of rows (doc, copy, data); spans may overlap."""
     runs = _runs(docs)
     twice = cut(runs.groupBy("sig").agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("k")).where("k > 1").select("sig"), "signatures")
-    runs = cut(runs.join(twice, "sig"), "runs")
-    place = F.struct("doc", "start")
+    runs = cut(runs.join(twice, "sig"), "runs", [twice])
+    place = F.struct("doc", "copy", "start")
     classes = cut(runs.groupBy("sig", "content", "windows").agg(F.min(place).alias("first"), F.count("*").alias("k"), F.max("again").alias("again")), "classes")
     several = classes.groupBy("sig").agg(F.count("*").alias("n"), F.sum(F.col("windows") + K).alias("bytes"), F.max("again").alias("again")).where("n > 1 or again").select("sig", "bytes")
     # whole runs
     whole = runs.join(classes.where("k > 1").select("sig", "content", "windows", "first"), ["sig", "content", "windows"]).where(place != F.col("first"))
-    spans = whole.select("doc", "start", (F.col("start") + F.col("windows") - 1 + K).alias("end"))
+    spans = cut(whole.select("doc", "copy", "start", (F.col("start") + F.col("windows") - 1 + K).alias("end")), "spans", [runs])
     # the earliest run of each class, with its bytes, where a signature has several classes or a run can repeat within itself
-    firsts = classes.join(several, "sig").select("sig", F.col("first.doc").alias("doc"), F.col("first.start").alias("start"), "windows", "bytes")
-    lists = firsts.groupBy("doc").agg(F.collect_list(F.struct("sig", "start", "windows", "bytes")).alias("runs"))  # a document's own runs
-    texts = docs.withColumnRenamed("doc", "_doc")
-    held = texts.join(lists, F.col("_doc") == F.col("doc")).select("doc", F.explode("runs").alias("r"), "data")
-    held = cut(held.select(F.col("r.sig").alias("sig"), F.col("r.bytes").alias("bytes"), "doc", F.col("r.start").alias("start"), F.expr("substring(data, cast(r.start + 1 as int), cast(r.windows - 1 + " + str(K) + " as int))").alias("part")), "parts")
-    total = held.where(F.col("bytes") <= MOST_SHARD).agg(F.sum(F.length("part"))).first()[0] or 0
-    shards = max(1, total // SHARD)
+    firsts = classes.join(several, "sig").select("sig", "first.*", "windows", "bytes")
+    lists = firsts.groupBy("doc", "copy").agg(F.collect_list(F.struct("sig", "start", "windows", "bytes")).alias("runs"))  # a document's own runs
+    held = docs.join(lists, ["doc", "copy"]).select("doc", "copy", F.explode("runs").alias("r"), "data")
+    part = F.expr(f"substring(data, cast(r.start + 1 as int), cast(r.windows - 1 + {K} as int))")
+    held = cut(held.select("r.sig", "r.bytes", "doc", "copy", "r.start", part.alias("part")), "parts", [classes])
 
     def sort_shard(pdf):
         import pandas as pd
 
-        return pd.DataFrame(_spans(repeats_in(pdf["part"].tolist(), pdf["doc"].tolist(), pdf["start"].tolist())), columns=["doc", "start", "end"], dtype="int64")
-
-    some = held.where(F.col("bytes") <= MOST_SHARD).withColumn("shard", F.pmod(F.xxhash64("sig"), F.lit(shards)))
-    spans = spans.unionByName(some.groupBy("shard").applyInPandas(sort_shard, "doc bigint, start bigint, end bigint"))
-    # signatures with too many bytes for one shard: by window hashes
-    at = F.explode(F.sequence(F.lit(0).cast("bigint"), F.length("part") - K))
-    hot = held.where(F.col("bytes") > MOST_SHARD).select("doc", "start", "part", at.alias("k"))
-    window = F.expr(f"substring(part, cast(k + 1 as int), {K})")
-    hot = hot.select("doc", (F.col("start") + F.col("k")).alias("start"), F.xxhash64(window).alias("h1"), F.xxhash64(F.lit(7), window).alias("h2"))
-    least = hot.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("k")).where("k > 1").select("h1", "h2", "first")
-    spans = spans.unionByName(hot.join(least, ["h1", "h2"]).where(place != F.col("first")).select("doc", "start", (F.col("start") + K).alias("end")))
-    return spans
+        docs = list(zip(pdf["doc"].tolist(), pdf["copy"].tolist(), strict=True))
+        rows = sorted(set(docs))
+        at = {x: i for i, x in enumerate(rows)}
+        found = _spans(repeats_in(pdf["part"].tolist(), [at[x] for x in docs], pdf["start"].tolist()))
+        return pd.DataFrame([(*rows[i], a, b) for i, a, b in found], columns=["doc", "copy", "start", "end"], dtype="int64")
+
+    level = 0
+    while True:
+        fits = held.where(F.col("bytes") <= MOST_SHARD)
+        shards = max(1, (fits.agg(F.sum(F.length("part"))).first()[0] or 0) // SHARD)
+        fits = fits.withColumn("shard", F.pmod(F.xxhash64("sig", F.lit(level)), F.lit(shards)))
+        spans = cut(spans.unionByName(fits.groupBy("shard").applyInPandas(sort_shard, "doc bigint, copy bigint, start bigint, end bigint")), "spans", [spans])
+        large = held.where(F.col("bytes") > MOST_SHARD)
+        if large.isEmpty():
+            drop_cut(held)
+            return spans
+        # signatures with too many bytes for one shard are cut anew by other pieces, and equal runs are classes again
+        level += 1
+        finer = cut(_recut(large, level).withColumn("content", F.xxhash64("part")), "finer", [held])
+        known = finer.where("sig is not null").groupBy("sig", "content", F.length("part").alias("size")).agg(F.min(place).alias("first"), F.max("again").alias("again"))
+        known = cut(known, "classes")
+        mine = finer.withColumn("size", F.length("part")).drop("again").join(known, ["sig", "content", "size"])
+        gone = mine.where(place != F.col("first")).unionByName(finer.where("sig is null"), allowMissingColumns=True)
+        spans = cut(spans.unionByName(gone.select("doc", "copy", "start", (F.col("start") + F.length("part")).alias("end"))), "spans", [spans])
+        sums = known.groupBy("sig").agg(F.count("*").alias("n"), F.sum("size").cast("bigint").alias("bytes"), F.max("again").alias("again")).where("n > 1 or again").select("sig", "bytes")
+        held = cut(mine.where(place == F.col("first")).drop("first", "again", "content", "size").join(sums, "sig"), "parts", [finer, known])
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:
-    """The columns of docs and _spans: sorted disjoint (start, end) to remove, null if none."""
-    own = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data"))
-    spans = repeated_spans(own).groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_all"))  # of one document
-    return docs.join(spans.withColumnRenamed("doc", "_doc"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)) == F.col("_doc"), "left").drop("_doc").withColumnRenamed("_all", "_spans")
+    """(doc_id, data, spans): sorted (start, end) to remove, null if none. Rows are told apart by doc_id and text."""
+    rows = docs.select("doc_id", doc_key(F.col("doc_id")).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("copy"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data"))
+    own = rows.select("doc", "copy", "data")
+    spans = repeated_spans(own).groupBy("doc", "copy").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))  # of one document
+    return rows.join(spans, ["doc", "copy"], "left").select("doc_id", "data", "spans")
 
 
 def _cut_text(data: bytes, spans) -> tuple[bytes, int, int]:
@@ -363,7 +445,7 @@ def _cut_text(data: bytes, spans) -> tuple[bytes, int, int]:
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): the remaining bytes of each row's text."""
-    rows = _with_spans(docs.select("doc_id", "text")).select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data"), "_spans")
+    rows = _with_spans(docs.select("doc_id", "text"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
