@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: What separates words: space and the code points 9 to 13.
 SPACE_RE = r"[\x20\x09-\x0D]+"
+SALTS = 8
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
 
@@ -89,8 +90,10 @@ def cut(df: DataFrame, name: str = "stage", spent: Iterable[DataFrame] = ()) ->
 
 def bounded(df: DataFrame, most: int) -> DataFrame:
     """``df``, written and counted: marked for broadcast with up to ``most`` rows, left to a shuffled join beyond."""
-    out = cut(df, "bounded")
-    return F.broadcast(out) if out.count() <= most else out
+    table = cut(df, "bounded")
+    out = F.broadcast(table) if table.count() <= most else table
+    out._lodestone_path = table._lodestone_path
+    return out
 
 
 def drop_cut(df: DataFrame) -> None:
@@ -99,12 +102,18 @@ def drop_cut(df: DataFrame) -> None:
         remove_path(df.sparkSession, path)
 
 
+def _by_node(edges: DataFrame, low: DataFrame) -> DataFrame:
+    """edges (a, b) with low's (a, m) by a, dealt by a and a salt of b: a node may have most edges."""
+    left = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    return left.join(low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["a", "salt"]).drop("salt")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Distributed union-find: (node, component) for every node of ``edges`` (a, b); component is the
     smallest node reachable.
 
     Alternates large-star and small-star steps (each a grouped minimum and an equi-join, so the star of a
-    hot node is combined before the shuffle and its join can be split) until the edges stay the same.
+    hot node is combined before the shuffle and its join salted) until the edges stay the same.
     No edges give an empty table; loops and repeated edges are harmless; null ends are ignored.
     """
     spark = edges.sparkSession
@@ -120,9 +129,9 @@ def components(edges: DataFrame) -> DataFrame:
         state = (now.n, now.h)
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = _by_node(both, low).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*")
+        small = _by_node(large, low).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*")
         after = cut(small.where("a <> b").distinct(), "edges")
         drop_cut(e)
         e = after

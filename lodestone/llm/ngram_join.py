@@ -5,12 +5,14 @@
    that is the same for all. The order here: a hash-chosen part of the elements first, rarest first by their counted
    frequency, then the rest. Representatives that share such an element are joined into coarse clusters by
    distributed union-find on stars, so a frequent element costs what its list is long.
-3. T-occurrence within a cluster. Inverted lists of its elements; a set's short lists are merged with counts and its
+3. T-occurrence within a cluster. Inverted lists of its elements; a set's short lists are merged (by a sort that
+   merges sorted runs, where DivideSkip has a heap) and counted, its
    long lists probed by binary search, as in DivideSkip: counts below T less the number of long lists are out,
    and the rest must reach the required overlap exactly. Only links that join two components are returned.
 4. Clusters above a block's size are cut into blocks. Each block is searched with some pivots that all blocks share;
-   then blocks are dealt anew by component, and only pairs of blocks that hold more than one component are
-   searched, so no link between different components is lost and no group is in one task.
+   then the members that share an element of their prefixes with another component are dealt anew by component, and only
+   pairs of blocks that hold more than one component are searched, so no link between different components is lost and no
+   group is in one task.
 
 Defined cases: null or empty texts have no set and link with nothing; texts with fewer words than a shingle have
 their whole sequence as one; repeated rows link; a doc_id that stands on rows with different texts links them;
@@ -26,11 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ascii_lower, components, cut, let, window_hashes, words
+from .common import ascii_lower, bounded, carried, components, cut, drop_cut, let, window_hashes, words
 
 BLOCK_SETS = 2048
 BLOCK_ELEMENTS = 1_500_000
 PIVOTS = 16
+MOST_BROADCAST = 1_000_000  # ids of documents whose texts are looked up
 LONG_WEIGHT = 0.02  # of DivideSkip: how many lists count as long
 
 
@@ -84,23 +87,26 @@ def _t_occurrence(sets: list, comp: list[int], num: int, den: int) -> list[tuple
         if not k.sum():
             continue
         at = np.repeat(a - np.concatenate(([0], np.cumsum(k)[:-1])), k) + np.arange(k.sum())
-        seen = np.bincount(owner_s[at] - lo, minlength=x - lo)
-        some = np.flatnonzero(seen >= most - n_long)
-        if not len(some):
+        merged = np.sort(owner_s[at], kind="stable")  # of sorted lists end to end: a merge
+        ends = np.append(np.flatnonzero(merged[1:] != merged[:-1]), len(merged) - 1)
+        counts = np.diff(np.append(-1, ends))
+        enough = np.flatnonzero(counts >= most - n_long)
+        if not len(enough):
             continue
         mine_root = find(own[x])
-        some = some[np.argsort(-seen[some], kind="stable")]
+        enough = enough[np.argsort(-counts[enough], kind="stable")]
+        some, counts = merged[ends[enough]], counts[enough]
         for first in range(0, len(some), 64):  # the likeliest first; later ones are mostly joined by then
-            part = np.array([y for y in some[first : first + 64] if find(own[y + lo]) != mine_root], np.int64)
-            if not len(part):
+            live = np.array([k for k in range(first, min(first + 64, len(some))) if find(own[some[k]]) != mine_root], np.int64)
+            if not len(live):
                 continue
-            got = seen[part]
+            part, got = some[live], counts[live]
             if len(long):
-                probe = (long.astype(np.int64)[:, None] * count + (part + lo)[None, :]).ravel()
+                probe = (long.astype(np.int64)[:, None] * count + part[None, :]).ravel()
                 place = np.searchsorted(keys, probe)
                 hit = (place < len(keys)) & (keys[np.minimum(place, len(keys) - 1)] == probe)
                 got = got + hit.reshape(len(long), len(part)).sum(0)
-            for y, both in zip(part + lo, got, strict=True):
+            for y, both in zip(part, got, strict=True):
                 if den * int(both) >= num * (size + int(sizes[y]) - int(both)):
                     other = find(own[y])
                     if other != mine_root:
@@ -122,78 +128,93 @@ def _search(groups: DataFrame, num: int, den: int) -> DataFrame:
     return groups.groupBy("g1", "g2").applyInPandas(run, "a bigint, b bigint")
 
 
-def _coarse(classes: DataFrame, sampled: int, num: int, den: int) -> DataFrame:
-    """(node, cluster) of representatives that share an element of their prefixes."""
-    els = classes.select("node", F.explode("first").alias("el"))
+def _postings(reps: DataFrame) -> DataFrame:
+    """(node, el): the elements of each representative's prefix that others have too."""
+    els = reps.select("node", F.explode("first").alias("el"))
     shared = els.groupBy("el").agg(F.count("*").alias("df")).where("df > 1")
-    held = els.join(shared, "el")
-    ranked = held.withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("df", "el")))
-    have = classes.select("node", "prefix", F.size("first").alias("n_first"))
+    ranked = els.join(shared, "el").withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("df", "el")))
     # elements of frequency 1 stand before: what is left of the prefix after them
     counted = ranked.groupBy("node").agg(F.count("*").alias("n_shared"))
+    have = reps.select("node", "prefix", F.size("first").alias("n_first"))
     left = have.join(counted, "node").select("node", (F.col("prefix") - (F.col("n_first") - F.col("n_shared"))).alias("left")).where("left > 0")
-    postings = ranked.join(left, "node").where("rank <= left").select("node", "el")
-    postings = cut(postings.unionByName(classes.select("node", F.explode("more").alias("el"))), "postings")
-    stars = postings.groupBy("el").agg(F.min("node").alias("b"), F.count("*").alias("k")).where("k > 1")
-    return components(postings.join(stars, "el").select(F.col("node").alias("a"), "b")).withColumnRenamed("component", "cluster")
+    own = ranked.join(left, "node").where("rank <= left").select("node", "el")
+    more = reps.select("node", F.explode("more").alias("el"))
+    return own.unionByName(more)
 
 
-def link(docs: DataFrame, shingle: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """Per row of documents: doc_id, n_shingles, component_id, for links of num/den similarity or more."""
+def _sets(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
+    """Per row (doc_id, n, k1, k2, prefix, first, more): size and hashes of its set, the size of its prefix, the chosen part of
+    its elements, and as many others as the prefix may need."""
     part = max(2, int(den / (1.6 * (den - num)))) if den > num else 8
-    prefix = F.col("n") - F.floor((num * F.col("n") + den - 1) / den) + 1
     chosen = lambda h: F.pmod(h, F.lit(part)) == 0
-    slim = docs.select("doc_id", shingle_set(F.col("text"), shingle).alias("els"))
-    slim = slim.select("doc_id", F.element_at(F.transform(F.array("els"), lambda s: F.struct(
+    sets = docs.select("doc_id", shingle_set(F.col("text"), shingle).alias("els"))
+    sets = sets.select("doc_id", F.element_at(F.transform(F.array("els"), lambda s: F.struct(
         F.size(s).cast("bigint").alias("n"), F.xxhash64(s).alias("k1"), F.xxhash64(F.lit(7), s).alias("k2"),
         F.filter(s, chosen).alias("first"), F.filter(s, lambda h: ~chosen(h)).alias("others"))), 1).alias("x")).select("doc_id", "x.*")
-    slim = slim.withColumn("prefix", F.when(F.col("n") > 0, prefix).otherwise(0).cast("int"))
-    slim = cut(slim.select("doc_id", "n", "k1", "k2", "first", "prefix", F.slice("others", 1, F.greatest(F.col("prefix") - F.size("first"), F.lit(0))).alias("more")), "sets")
+    prefix = F.col("n") - F.floor((num * F.col("n") + den - 1) / den) + 1
+    sets = sets.withColumn("prefix", F.when(F.col("n") > 0, prefix).otherwise(0).cast("int"))
+    return sets.select("doc_id", "n", "k1", "k2", "prefix", "first", F.slice("others", 1, F.greatest(F.col("prefix") - F.size("first"), F.lit(0))).alias("more"))
+
+
+def _dealt_anew(large: DataFrame, postings: DataFrame, links: DataFrame) -> DataFrame:
+    """(g1, g2, node, comp, els): groups in which members of clusters of several blocks meet those of other components.
+    Only members that share an element of their prefixes with another component take part."""
+    comps = cut(components(links), "components")
+    own = postings.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).select("node", "el", "comp")
+    mixed = own.groupBy("el").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("el")
+    still = bounded(own.join(mixed, "el").select("node", "comp").distinct(), MOST_BROADCAST)
+    large = cut(large.join(still, "node"), "large", [comps, still])
+    per = large.groupBy("cluster", "comp").agg(F.count("*").alias("c_sets"), F.sum(F.size("els")).alias("c_els"))
+    per = per.withColumn("c_blocks", F.greatest(F.ceil(F.col("c_sets") / BLOCK_SETS), F.ceil(F.col("c_els") / BLOCK_ELEMENTS)))
+    pure = (F.col("c_sets") * 2 >= BLOCK_SETS) | (F.col("c_els") * 2 >= BLOCK_ELEMENTS)
+    per = per.withColumn("pure", F.when(pure, F.col("comp")))
+    rest = per.where("pure is null").groupBy("cluster").agg(F.greatest(F.ceil(F.sum("c_sets") / BLOCK_SETS), F.ceil(F.sum("c_els") / BLOCK_ELEMENTS)).alias("r_blocks"))
+    dealt = large.join(per.select("cluster", "comp", "pure", "c_blocks"), ["cluster", "comp"]).join(rest, "cluster", "left")
+    slot = F.when(F.col("pure").isNull(), F.pmod(F.xxhash64("comp"), F.col("r_blocks"))).otherwise(F.pmod(F.xxhash64("node"), F.col("c_blocks")))
+    dealt = cut(dealt.select("cluster", "node", "comp", "els", "pure", F.concat_ws(":", F.coalesce(F.col("pure").cast("string"), F.lit("")), slot).alias("block")), "dealt", [large])
+    some = dealt.select("cluster", "block", "pure").distinct()
+    left, right = some.toDF("cluster", "b1", "p1"), some.toDF("cluster", "b2", "p2")
+    pairs = left.join(right, "cluster").where("b1 <= b2 and (p1 is null or p2 is null or p1 <> p2)")
+    sides = pairs.select("cluster", "b1", "b2", F.explode(F.array_distinct(F.array("b1", "b2"))).alias("block"))
+    return sides.join(dealt, ["cluster", "block"]).select(F.concat_ws("|", "b1", "b2").alias("g2"), F.col("cluster").alias("g1"), "node", "comp", "els")
+
+
+def link(docs: DataFrame, shingle: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """Per row of documents: doc_id, n_shingles, component_id, for links of num/den similarity or more."""
+    sets = cut(_sets(docs, shingle, num, den), "sets")
+    slim = cut(sets.select("doc_id", "n", "k1", "k2"), "slim")
     classes = cut(slim.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("node")), "classes")
     keyed = classes.select(F.col("node").alias("_node"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
-    reps = slim.join(keyed, (F.col("doc_id") == F.col("_node")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left_semi").withColumnRenamed("doc_id", "node").dropDuplicates(["node", "k1", "k2"])
-    clusters = cut(_coarse(reps, part, num, den), "clusters")
+    reps = sets.join(keyed, (F.col("doc_id") == F.col("_node")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left_semi").withColumnRenamed("doc_id", "node").dropDuplicates(["node", "k1", "k2"])
+    postings = cut(_postings(reps), "postings", [sets])
+    stars = postings.groupBy("el").agg(F.min("node").alias("b"), F.count("*").alias("k")).where("k > 1")
+    clusters = cut(components(postings.join(stars, "el").select(F.col("node").alias("a"), "b")).withColumnRenamed("component", "cluster"), "clusters")
     sized = clusters.join(classes.groupBy("node").agg(F.max("n").alias("n")), "node").groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n").alias("elements"))
     sized = sized.withColumn("blocks", F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("elements") / BLOCK_ELEMENTS)).cast("int"))
-    members = clusters.join(sized, "cluster")
-    texts = docs.select(F.col("doc_id").alias("_id"), "text").join(clusters, F.col("_id") == F.col("node"), "left_semi")
-    members = members.join(texts.select("_id", shingle_set(F.col("text"), shingle).alias("els")), F.col("node") == F.col("_id")).drop("_id")
-    members = cut(members, "members")
+    held = bounded(clusters.join(sized, "cluster"), MOST_BROADCAST)
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(held, "node")  # texts stay where they are if the clusters' ids are few
+    members = cut(texts.select("node", "cluster", "sets", "blocks", shingle_set(F.col("text"), shingle).alias("els")), "members", [clusters, held])
     # first round: blocks, each with the pivots of its cluster
     pivot = F.pmod(F.xxhash64(F.lit(3), "node"), F.greatest(F.floor(F.col("sets") / PIVOTS), F.lit(1))) == 0
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     at = F.when((F.col("blocks") > 1) & pivot, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
     links = cut(_search(members.select(F.col("cluster").alias("g1"), F.explode(at).alias("g2"), "node", F.col("node").alias("comp"), "els"), num, den), "links")
     # second round: clusters of several blocks, dealt by component
-    large = members.where("blocks > 1")
+    large = members.where("blocks > 1").select("cluster", "node", "els")
     if not large.isEmpty():
-        comps = components(links)
-        large = large.join(comps.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").withColumn("comp", F.coalesce("component", "node")).drop("_n", "component")
-        per = large.groupBy("cluster", "comp").agg(F.count("*").alias("c_sets"), F.sum(F.size("els")).alias("c_els"))
-        per = per.withColumn("c_blocks", F.greatest(F.ceil(F.col("c_sets") / BLOCK_SETS), F.ceil(F.col("c_els") / BLOCK_ELEMENTS)))
-        pure = (F.col("c_sets") * 2 >= BLOCK_SETS) | (F.col("c_els") * 2 >= BLOCK_ELEMENTS)
-        per = per.withColumn("pure", F.when(pure, F.col("comp")))
-        rest = per.where("pure is null").groupBy("cluster").agg(F.greatest(F.ceil(F.sum("c_sets") / BLOCK_SETS), F.ceil(F.sum("c_els") / BLOCK_ELEMENTS)).alias("r_blocks"))
-        dealt = large.join(per.select("cluster", "comp", "pure", "c_blocks"), ["cluster", "comp"]).join(rest, "cluster", "left")
-        slot = F.when(F.col("pure").isNull(), F.pmod(F.xxhash64("comp"), F.col("r_blocks"))).otherwise(F.pmod(F.xxhash64("node"), F.col("c_blocks")))
-        dealt = cut(dealt.select("cluster", "node", "comp", "els", "pure", F.concat_ws(":", F.coalesce(F.col("pure").cast("string"), F.lit("")), slot).alias("block")), "dealt")
-        some = dealt.select("cluster", "block", "pure").distinct()
-        left, right = some.toDF("cluster", "b1", "p1"), some.toDF("cluster", "b2", "p2")
-        pairs = left.join(right, "cluster").where("b1 <= b2 and (p1 is null or p2 is null or p1 <> p2)")
-        sides = pairs.select("cluster", "b1", "b2", F.explode(F.array_distinct(F.array("b1", "b2"))).alias("block"))
-        rows = sides.join(dealt, ["cluster", "block"])
-        more = _search(rows.select(F.concat_ws("|", "b1", "b2").alias("g2"), F.col("cluster").alias("g1"), "node", "comp", "els"), num, den)
-        links = cut(links.unionByName(more), "links")
+        links = cut(links.unionByName(_search(_dealt_anew(large, postings, links), num, den)), "links", [links])
+    drop_cut(members)
+    drop_cut(postings)
     joined = components(links)
     found = classes.join(joined, "node", "left").groupBy("k1", "k2").agg(F.min(F.coalesce("component", "node")).alias("c"))
-    out = slim.select("doc_id", "n", "k1", "k2").join(found.withColumnsRenamed({"k1": "_k1", "k2": "_k2"}), (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")) & (F.col("n") > 0), "left")
+    out = slim.join(found.withColumnsRenamed({"k1": "_k1", "k2": "_k2"}), (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")) & (F.col("n") > 0), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
 
 
 def drop_linked(docs: DataFrame, shingle: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The rows of ``docs`` that are the smallest doc_id of their component; rows of null doc_id stay."""
-    out = link(docs, shingle, num, den).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(out, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = bounded(link(docs, shingle, num, den).where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct(), MOST_BROADCAST)
+    return carried(docs, id=F.col("doc_id")).join(gone, "id", "left_anti").select("row.*")
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
