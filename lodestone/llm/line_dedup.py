@@ -4,14 +4,14 @@ Lines of ``least`` code points or more, and blank ones never, take part. The fun
 otherwise; the query and the pipeline take every line that isn't blank (``ALL``).
 
 1. Equal lines are one node. A line's signature is made of minima of hashes of the shingles that are verified later: all
-   its strings of ``SHINGLE`` characters (UTF-16 units of the line in lower case; of a shorter line, itself). 16 minima
+   its strings of ``SHINGLE`` characters of the line in lower case (signed as UTF-16 units; of a shorter line, itself). 16 minima
    make 12 bands of four, the buckets, and a sketch of 64 bits, four of each minimum.
 2. Lines that share a bucket are candidates where their sketches agree in ``AGREE`` places or more, which a pair of the
    similarity sought misses once in 200 times. In buckets of up to ``SMALL`` lines all pairs are looked at; in larger ones a
    pivot meets all others, in rounds, and is out then. When the pairs that are left cost no more than a
    pass, or rounds no longer halve them, they are looked at in blocks, so no bucket is left unsearched by its size.
-3. Candidates count when the exact Jaccard similarity of their shingle sets is 0.8 or more: shingles of a pair are
-   aggregated, never held as a group.
+3. Candidates count when the exact Jaccard similarity of their shingle sets is 0.8 or more. Each line meets its first
+   candidate, and others only where components are still apart.
 4. Distributed union-find makes components; of each, the occurrence in the smallest doc_id (then by line hash, then by
    text hash and place) stays.
 
@@ -58,16 +58,11 @@ def _units(line: Column) -> Column:
     return F.encode(F.lower(line), "UTF-16BE")
 
 
-def _places(units: str) -> str:
-    """SQL for the places of a line's shingles."""
-    return f"sequence(1, greatest(octet_length({units}) - {2 * SHINGLE - 1}, 1), 2)"
-
-
 def _signatures(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(id, doc, n, sketch, buckets) of distinct lines: doc their smallest, n their occurrences. A task has all shingles of
     a line, so the shuffle gets a row of minima for each line and task."""
     lines = _lines(docs, least).select("doc", F.xxhash64("line").alias("id"), _units(F.col("line")).alias("units"))
-    one = lines.select("id", "doc", "units", F.explode(F.expr(_places("units"))).alias("at"))
+    one = lines.select("id", "doc", "units", F.explode(F.expr(f"sequence(1, greatest(octet_length(units) - {2 * SHINGLE - 1}, 1), 2)")).alias("at"))
     one = one.select("id", "doc", "at", F.xxhash64(F.expr(f"substring(units, at, {2 * SHINGLE})")).alias("h"))
     minima = [F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(f"m{k}") for k, c in enumerate(_constants(SIDE * SIDE))]
     signed = one.groupBy("id").agg(F.min("doc").alias("doc"), F.count(F.when(F.col("at") == 1, 1)).alias("n"), *minima)
@@ -103,16 +98,32 @@ def _constants(n: int) -> list[int]:
     return out
 
 
+def _shingles(low: str) -> Column:
+    """The strings of SHINGLE characters of a line in lower case, one from each place; of a shorter line, itself."""
+    each = F.regexp_extract_all(F.col(low), F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
+    return F.when(F.length(low) < SHINGLE, F.array(low)).otherwise(each)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ids whose lines are alike. Each shingle of a pair becomes a row that says whose it is."""
-    with_a = pairs.join(texts.toDF("a", "ua"), "a")
-    both = with_a.join(texts.toDF("b", "ub"), "b").repartition("a", "b")  # a pivot has many pairs
-    each = both.select("a", "b", "ua", "ub", F.explode(F.expr(f"flatten(array({_places('ua')}, transform({_places('ub')}, i -> -i)))")).alias("at"))
-    own = F.expr(f"if(at > 0, substring(ua, at, {2 * SHINGLE}), substring(ub, -at, {2 * SHINGLE}))")
-    each = each.select("a", "b", F.xxhash64(own).alias("h"), F.when(F.col("at") > 0, 1).otherwise(2).alias("whose"))
-    per = each.groupBy("a", "b", "h").agg(F.bit_or("whose").alias("whose"))
-    found = per.groupBy("a", "b").agg(F.count("*").alias("either"), F.count(F.when(F.col("whose") == 3, 1)).alias("both"))
-    return found.where("5 * both >= 4 * either").select("a", "b")
+    """The pairs (a, b) of ids whose lines are alike. Explodes of one element keep Catalyst from writing their columns out at
+    each use, which would extract shingles again and again."""
+    with_a = pairs.join(texts.toDF("a", "ta"), "a")
+    both = with_a.join(texts.toDF("b", "tb"), "b").repartition("a", "b")  # a pivot has many pairs
+    sets = both.select("a", "b", F.explode(F.array(F.struct(_shingles("ta").alias("a"), _shingles("tb").alias("b")))).alias("x"))
+    sizes = sets.select("a", "b", F.explode(F.array(F.struct(F.size(F.array_intersect("x.a", "x.b")).alias("both"), F.size(F.array_union("x.a", "x.b")).alias("either")))).alias("x"))
+    return sizes.where("5 * x.both >= 4 * x.either").select("a", "b")
+
+
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that give the components of all alike pairs: each b with its least a first, then the pairs that these
+    links leave apart."""
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = cut(_verified(first, texts), "links")
+    found = cut(components(links), "components")
+    apart = pairs.join(first, ["a", "b"], "left_anti")
+    for c in ("a", "b"):
+        apart = apart.join(found.toDF(c, f"c{c}"), c, "left").withColumn(f"c{c}", F.coalesce(f"c{c}", c))
+    return cut(links.unionByName(_verified(apart.where("ca <> cb").select("a", "b"), texts)), "links", [links, found])
 
 
 def _pairs(met: DataFrame) -> DataFrame:
@@ -155,8 +166,9 @@ def similar_lines(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     pairs = cut(_pairs(twice.select(columns).unionByName(many.select(columns))), "pairs")
     some = bounded(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(many.select("id")).distinct(), MOST_BROADCAST)
     texts = _lines(docs, least).select(F.xxhash64("line").alias("id"), "line").join(some, "id", "left_semi")
-    texts = cut(texts.groupBy("id").agg(F.min("line").alias("line")).select("id", _units(F.col("line")).alias("units")), "texts", [some])
-    links = cut(_verified(pairs, texts), "links", [pairs])
+    texts = cut(texts.groupBy("id").agg(F.min("line").alias("line")).select("id", F.lower("line").alias("low")), "texts", [some])
+    links = _linked(pairs, texts)
+    drop_cut(pairs)
     found = cut(components(links), "components")
     # large buckets: more pivots, then what is left
     at, left, most = cut(_open(many.where("id <> id2"), found), "open", [met]), None, 4 * lines.count()
