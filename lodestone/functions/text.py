@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 #: Fixed values of the data contract.
 PATCH_OPEN, PATCH_CLOSE = "<<<PATCH>>>", "<<<END>>>"
 TAIL_CHARS = 60_001
-#: What marks a failing line.
+#: What marks a failing line, and the notes beside an excerpt of an output.
 FAILURE_MARKS = (
     "Traceback (most recent call last)", "AssertionError", "SyntaxError", "NameError", "TypeError", "ValueError", "KeyError", "AttributeError",
-    "ImportError", "RuntimeError", "error(s)", "FAILED", "FAIL:", "FAIL ", " FAIL ", " x ", "✗",
+    "ImportError", "RuntimeError", "error(s)", "FAILED", "FAIL:", " FAIL ", "FAIL ", "  x  ", "✗",
 )
+OMITTED = ("… ", " earlier lines of passing output omitted …\n")
+UNMARKED = ("(no recognised failure marker in this suite's output; showing the last                  ", " lines verbatim)\n")
 BEFORE_MARK, AFTER_MARK, NO_MARK_LINES = 12, 40, 40
 
 
@@ -30,12 +32,14 @@ def lines_of(text: Column) -> Column:
 
 
 def excerpt(text: Column, line: Column, radius: int) -> Column:
-    """The lines within ``radius`` of ``line`` (from 1), numbered, with ``>`` at the line itself; clamped to the text."""
+    """The lines within ``radius`` of ``line`` (from 1), each numbered and ended, with ``>`` at the line itself; clamped to
+    the text."""
     rows = F.split(text, "\n")
     lo = F.least(F.greatest(F.lit(1), line - radius), F.size(rows))
     hi = F.greatest(F.least(F.size(rows), line + radius), lo)
     part = F.slice(rows, lo, hi - lo + 1)
-    return F.array_join(F.transform(part, lambda x, i: F.concat(F.when(i + lo == line, ">").otherwise(" "), F.lpad((i + lo).cast("string"), 5, " "), F.lit(" | "), x)), "\n")
+    number = lambda n: F.concat(F.repeat(F.lit(" "), F.greatest(5 - F.length(n), F.lit(0))), n)
+    return F.array_join(F.transform(part, lambda x, i: F.concat(F.when(i + lo == line, ">").otherwise(" "), number((i + lo).cast("string")), F.lit(" | "), x, F.lit("\n"))), "")
 
 
 def focus_failure(output: Column) -> Column:
@@ -44,9 +48,9 @@ def focus_failure(output: Column) -> Column:
     marked = F.filter(F.transform(rows, lambda x, i: F.when(_marked(x), i)), lambda i: i.isNotNull())
     last = F.try_element_at(marked, F.lit(-1))
     lo, hi = F.greatest(last - BEFORE_MARK, F.lit(0)), F.least(last + AFTER_MARK, F.size(rows))
-    around = F.concat(F.when(lo > 0, F.concat(F.lit("... "), lo.cast("string"), F.lit(" earlier lines omitted\n"))).otherwise(""), F.array_join(F.slice(rows, lo + 1, hi - lo), "\n"))
+    around = F.concat(F.when(lo > 0, F.concat(F.lit(OMITTED[0]), lo.cast("string"), F.lit(OMITTED[1]))).otherwise(""), F.array_join(F.slice(rows, lo + 1, hi - lo), "\n"))
     first = F.greatest(F.size(rows) - NO_MARK_LINES, F.lit(0))
-    plain = F.concat(F.lit("(no failure marker found; the last lines follow)\n"), F.array_join(F.slice(rows, first + 1, NO_MARK_LINES), "\n"))
+    plain = F.concat(F.lit(UNMARKED[0]), (F.size(rows) - first).cast("string"), F.lit(UNMARKED[1]), F.array_join(F.slice(rows, first + 1, NO_MARK_LINES), "\n"))
     return F.when(last.isNull(), plain).otherwise(around)
 
 
@@ -58,9 +62,10 @@ def _marked(line: Column) -> Column:
 
 
 def strip_worktree(text: Column, work: str, repo: str) -> Column:
-    """Paths below the work folder lose it and the worker's own segment; the bare folder becomes ``repo``."""
+    """Paths below the work folder lose it and the worker's own segment; the bare folder, and a worker's, become ``repo``."""
     work = work.rstrip("/")
-    return F.replace(F.regexp_replace(text, quoted(work) + "/[^/\\s]*/", ""), F.lit(work), F.lit(repo))
+    inside = F.regexp_replace(text, quoted(work) + "/[^/\\s]*/", "")
+    return F.replace(F.regexp_replace(inside, quoted(work) + r"/[^/\s'\",:;)]*", repo), F.lit(work), F.lit(repo))
 
 
 def tail_window(output: Column) -> Column:
@@ -79,7 +84,7 @@ def extract_patch(reply: Column) -> tuple[Column, Column]:
 
 def patched_files(diff: Column) -> Column:
     """Files that a diff names in its headers, each once, without a/ and b/ prefixes."""
-    named = F.regexp_extract_all(diff, F.lit(r"(?m)^(?:\+\+\+|---) ([^\t\n]+)"), F.lit(1))
+    named = F.regexp_extract_all(diff, F.lit(r"(?m)^(?:\+\+\+ |--- (?=a/))([^\t\n]+)"), F.lit(1))
     return F.array_distinct(F.filter(F.transform(named, lambda x: F.regexp_replace(F.trim(x), "^(?:[ab]/)+", "")), lambda x: (x != "/dev/null") & (x != "")))
 
 
@@ -102,22 +107,30 @@ def strip_list_marker(line: Column) -> Column:
     return F.regexp_replace(line, r"^\s*(?:[-*•] |[0-9]+[.)] )", "")
 
 
+def _trimmed(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def clean_prompts(text: Column, want: int) -> Column:
     """Up to ``want`` prompts of a list answer: no markers, quotes, short lines, headings or narration."""
-    bare = F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(F.trim(strip_list_marker(F.trim(x))), "^[\"']+|[\"']+$", ""))
-    told = r"(?i)^(?:here are|here is|sure|certainly|okay|of course)\b"
-    fine = F.filter(bare, lambda x: (F.octet_length(x) >= 4) & ~F.endswith(x, F.lit(":")) & ~F.rlike(x, F.lit(told)))
+    unquoted = lambda x: F.regexp_replace(F.regexp_replace(_trimmed(x), '^"+|"+$', ""), "^'+|'+$", "")
+    bare = F.transform(F.split(text, "\n"), lambda x: _trimmed(unquoted(strip_list_marker(_trimmed(x)))))
+    fine = F.filter(bare, lambda x: (F.octet_length(x) >= 4) & ~F.endswith(x, F.lit(":")) & ~F.rlike(x, F.lit("(?i)^(?:here are|sure|certainly)")))
     return F.slice(fine, 1, want)
 
 
 def match_answers(text: Column, want: int) -> Column:
-    """``want`` answers by their numbers; without any number, by place if exactly ``want`` lines came; else empty."""
-    rows = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
-    place = lambda x: F.regexp_extract(x, r"^([0-9]{1,6})[.)]\s", 1).try_cast("int")
-    numbered = F.filter(rows, lambda x: place(x).between(1, want))
-    by_number = F.transform(F.sequence(F.lit(1), F.lit(want)), lambda i: F.coalesce(F.try_element_at(F.filter(numbered, lambda x: place(x) == i), F.lit(1)), F.lit("")))
-    by_place = F.when(F.size(rows) == want, rows).otherwise(F.array_repeat(F.lit(""), want))
-    return F.transform(F.when(F.size(numbered) > 0, by_number).otherwise(by_place), lambda x: clean_query(strip_list_marker(x)))
+    """``want`` answers. A listed line counts by its number from 1 to ``want``, the last of equal numbers; other listed
+    lines, and unlisted ones that start with ``from``, count by place, where exactly ``want`` of them came; else empty."""
+    listed = r"^(?:[-*•] |[0-9]+[.)] )"
+    rows = F.transform(F.split(text, "\n"), _trimmed)
+    place = lambda x: F.regexp_extract(x, r"^([0-9]+)[.)] ", 1).try_cast("int")
+    numbered = lambda x: F.coalesce(place(x).between(1, want), F.lit(False))
+    answer = lambda x: clean_query(strip_list_marker(x))
+    by_place = F.filter(rows, lambda x: ~numbered(x) & (F.rlike(x, F.lit(listed)) | F.rlike(x, F.lit("(?i)^from "))))
+    own = lambda i: F.try_element_at(F.filter(rows, lambda x: numbered(x) & (place(x) == i)), F.lit(-1))
+    other = lambda i: F.when(F.size(by_place) == want, F.try_element_at(by_place, i))
+    return F.transform(F.sequence(F.lit(1), F.lit(want)), lambda i: F.coalesce(answer(F.coalesce(own(i), other(i))), F.lit("")))
 
 
 def truncate_note(text: Column, n: int) -> Column:

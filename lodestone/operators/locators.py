@@ -88,21 +88,27 @@ def python_sites(data: bytes) -> tuple[list[dict], int, str | None]:
             start = begins[line - 1] + len(chars[line - 1][:a].encode())
             add(edit[0], start, start + len(chars[line - 1][a:b].encode()), edit[1], line)
 
+    def statement(operator: str, n: ast.stmt, after: str) -> None:
+        """An edit of the whole lines of a statement; its indentation stays."""
+        start, end = begins[n.lineno - 1], min(begins[n.end_lineno] - 1, len(data))
+        first = rows[n.lineno - 1]
+        add(operator, start, end, first[: len(first) - len(first.lstrip())].decode() + after, n.lineno)
+
     at = lambda n: (begins[n.lineno - 1] + n.col_offset, begins[n.end_lineno - 1] + n.end_col_offset)
     for n in ast.walk(tree):
         if isinstance(n, ast.ExceptHandler) and not isinstance(n.body[0], ast.Pass):
             first = n.body[0]
             if isinstance(first, (ast.Raise, ast.Return)) or isinstance(first, ast.Expr) and isinstance(first.value, ast.Call):
-                add("except_swallow", *at(first), "pass", first.lineno)
+                statement("except_swallow", first, "pass")
         elif isinstance(n, ast.If):
             if not n.orelse and len(n.body) == 1 and isinstance(n.body[0], (ast.Return, ast.Raise, ast.Continue, ast.Break)):
-                add("guard_drop", *at(n.body[0]), "pass", n.body[0].lineno)
+                statement("guard_drop", n, "pass")
             start, end = at(n.test)
             test = data[start:end].decode()
             if n.test.lineno == n.test.end_lineno and not test.startswith("not "):
                 add("condition_negate", start, end, f"not ({test})", n.test.lineno)
         elif isinstance(n, ast.Return) and n.value is not None and not (isinstance(n.value, ast.Constant) and n.value.value is None):
-            add("return_none", *at(n), "return None", n.lineno)
+            statement("return_none", n, "return None")
         elif isinstance(n, ast.Await) and n.lineno == n.value.lineno:
             start = at(n)[0]
             end = begins[n.lineno - 1] + n.value.col_offset
@@ -131,7 +137,7 @@ def rust_sites(data: bytes) -> tuple[list[dict], int, str | None, int]:
     """(sites, refused, error, excluded test bytes) of a Rust source, by tokens.
 
     ``<`` and ``>`` count as comparisons only with a space on both sides, and ``||`` and ``&&`` too, which leaves
-    generics, closures and references alone at some loss of sites. Items under ``#[cfg(test)]`` or ``#[test]`` are
+    generics, closures and references alone at some loss of sites. Items under ``#[test]`` or a ``cfg`` that names test are
     skipped and their bytes summed."""
     try:
         data.decode("utf-8")
@@ -146,7 +152,7 @@ def rust_sites(data: bytes) -> tuple[list[dict], int, str | None, int]:
             continue
         token = m[0].decode()
         if m["attr"] is not None:
-            if re.fullmatch(r"#\[\s*(?:cfg\s*\(\s*test\s*\)|test)\s*\]", token) and skip_from is None:
+            if re.fullmatch(r"(?s)#\[\s*(?:cfg\s*\(.*test.*\)|test)\s*\]", token) and skip_from is None:
                 pending = start
             continue
         if m["brace"] is not None:
@@ -190,21 +196,24 @@ def rust_sites(data: bytes) -> tuple[list[dict], int, str | None, int]:
 
 def locate(files: DataFrame, language: str = "python", only_operator: str | None = None) -> DataFrame:
     """Per file (file, content): file, sha256, candidates, refused, error, excluded_test_bytes. The operator filter runs
-    inside the tasks, before rows are made."""
+    inside the tasks, before rows are made. Compiling costs more than moving, so files are dealt out first: a table in one
+    row group would be one task."""
 
     def run(batches: Iterator) -> Iterator:
+        import hashlib
+
         import pandas as pd
 
         for pdf in batches:
             rows = []
-            for name, data in zip(pdf["file"], pdf["content"], strict=True):
-                sites, refused, error, out = (*python_sites(bytes(data)), 0) if language == "python" else rust_sites(bytes(data))
-                rows.append((name, [s for s in sites if only_operator in (None, s["operator"])], refused, error, out))
-            yield pd.DataFrame(rows, columns=["file", "candidates", "refused", "error", "excluded_test_bytes"])
-
-    found = files.select("file", "content").mapInPandas(run, f"file string, candidates array<{SITE}>, refused bigint, error string, excluded_test_bytes bigint")
-    shas = files.select(F.col("file").alias("_file"), F.sha2("content", 256).alias("sha256"))
-    return found.join(shas, F.col("file") == F.col("_file")).drop("_file")
+            for name, data in zip(pdf["file"], map(bytes, pdf["content"]), strict=True):
+                sites, refused, error, out = (*python_sites(data), 0) if language == "python" else rust_sites(data)
+                rows.append((name, hashlib.sha256(data).hexdigest(), [s for s in sites if only_operator in (None, s["operator"])], refused, error, out))
+            yield pd.DataFrame(rows, columns=["file", "sha256", "candidates", "refused", "error", "excluded_test_bytes"])
+
+    own = files.select("file", "content")
+    parts = max(own.rdd.getNumPartitions(), 4 * files.sparkSession.sparkContext.defaultParallelism)
+    return own.repartition(parts).mapInPandas(run, f"file string, sha256 string, candidates array<{SITE}>, refused bigint, error string, excluded_test_bytes bigint")
 
 
 def sites_of(located: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Unified diffs as columns: make one, apply one or take it back, strictly."""
+"""Unified diffs as columns: make one, apply one or take it back."""
 
 from __future__ import annotations
 
@@ -13,10 +13,16 @@ from pyspark.sql.functions import pandas_udf
 CONTEXT = 3
 
 
+NO_NEWLINE = "\\ No newline at end of file\n"
+
+
 def _split(text: str) -> list[str]:
-    """Lines; a final newline ends the last line and adds none."""
-    parts = text.split("\n")
-    return parts[:-1] if parts[-1] == "" else parts
+    """Lines with their newlines; the last may have none."""
+    return re.findall(r"[^\n]*\n|[^\n]+", text)
+
+
+def _shown(sign: str, line: str) -> str:
+    return sign + (line if line.endswith("\n") else line + "\n" + NO_NEWLINE)
 
 
 def make_hunk(path: str, a: str, b: str) -> str:
@@ -32,29 +38,42 @@ def make_hunk(path: str, a: str, b: str) -> str:
         tail += 1
     lo, after = max(0, head - CONTEXT), min(tail, CONTEXT)
     old, new = x[lo : len(x) - tail + after], y[lo : len(y) - tail + after]
-    body = [" " + s for s in x[lo:head]] + ["-" + s for s in x[head : len(x) - tail]] + ["+" + s for s in y[head : len(y) - tail]]
-    body += [" " + s for s in x[len(x) - tail : len(x) - tail + after]]
+    body = [_shown(" ", s) for s in x[lo:head]] + [_shown("-", s) for s in x[head : len(x) - tail]] + [_shown("+", s) for s in y[head : len(y) - tail]]
+    body += [_shown(" ", s) for s in x[len(x) - tail : len(x) - tail + after]]
     place = lambda part: f"{lo + 1 if part else lo},{len(part)}"
-    return f"--- a/{path}\n+++ b/{path}\n@@ -{place(old)} +{place(new)} @@\n" + "\n".join(body) + "\n"
+    return f"--- a/{path}\n+++ b/{path}\n@@ -{place(old)} +{place(new)} @@\n" + "".join(body)
+
+
+def _body(text: str) -> list[tuple[str, str]]:
+    """(sign, line) of a hunk."""
+    out: list[tuple[str, str]] = []
+    for s in _split(text):
+        if s[0] == "\\" and out:
+            out[-1] = (out[-1][0], out[-1][1].removesuffix("\n"))
+        elif s[0] in " -+":
+            out.append((s[0], s[1:]))
+    return out
 
 
 def apply_patch_text(text: str, diff: str, reverse: bool = False) -> str | None:
-    """The text after a diff, or before it with ``reverse``; None where a hunk doesn't fit exactly."""
+    """The text after a diff, or before it with ``reverse``. A hunk goes where its lines stand, nearest to the place it names;
+    None where they stand nowhere."""
     rows, out, at = _split(text), [], 0
     hunks = re.split(r"(?m)^@@ -(\d+)(?:,\d+)? \+(\d+)(?:,\d+)? @@.*\n", diff)
     if len(hunks) < 4:
         return None
     for k in range(1, len(hunks), 3):
-        start, body = int(hunks[k + reverse]), [s for s in hunks[k + 2].split("\n") if s[:1] in (" ", "-", "+")]
+        start, body = int(hunks[k + reverse]), _body(hunks[k + 2])
         gone, come = ("+", "-") if reverse else ("-", "+")
-        old = [s[1:] for s in body if s[0] in (" ", gone)]
-        place = start - 1 if old else start
-        if place < at or rows[place : place + len(old)] != old:
+        old = [s for sign, s in body if sign in (" ", gone)]
+        named = start - 1 if old else start
+        fits = [p for p in range(at, len(rows) - len(old) + 1) if rows[p : p + len(old)] == old] if old else [named] * (at <= named <= len(rows))
+        if not fits:
             return None
-        out += rows[at:place] + [s[1:] for s in body if s[0] in (" ", come)]
+        place = min(fits, key=lambda p: abs(p - named))  # noqa: B023
+        out += rows[at:place] + [s for sign, s in body if sign in (" ", come)]
         at = place + len(old)
-    out += rows[at:]
-    return "\n".join(out) + ("\n" if text.endswith("\n") else "")
+    return "".join(out + rows[at:])
 
 
 def unified_hunk(path: Column, a: Column, b: Column) -> Column:

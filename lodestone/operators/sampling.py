@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from lodestone.functions import content as C
 
+OPERATORS = 16  # that may edit the same byte, at most
 GAMMA = 0x9E3779B97F4A7C15
 
 
@@ -48,6 +49,30 @@ def pairs_across(killers: DataFrame, survivors: DataFrame) -> DataFrame:
     return met.withColumn("nth", first).where("nth = 1").drop("nth")
 
 
+def sample_across(killers: DataFrame, survivors: DataFrame, want: int, order: str = "id") -> DataFrame:
+    """(a_id, b_id, affinity): ``want`` pairs of a killer and a survivor, same-scope ones first, then those of one file, each
+    in order of the killers and then of the survivors. Sites count once; no two of a pair begin at the same byte.
+
+    A pair of the first ``want`` has one of the first ``want`` killers that have a partner, and one of that killer's first
+    ``want`` partners, so a hot file is never paired out: what meets is bounded by the budget."""
+    once = lambda df: df.withColumn("nth", F.row_number().over(Window.partitionBy("file", "start_byte", "operator").orderBy(order))).where("nth = 1")
+    a = once(killers).select(*[F.col(c).alias(f"a_{c}") for c in ("id", "file", "scope", "start_byte")])
+    b = once(survivors).select(*[F.col(c).alias(f"b_{c}") for c in ("id", "file", "scope", "start_byte")])
+    out = None
+    for turn, (name, by) in enumerate((("same-scope", ("file", "scope")), ("same-file", ("file",)))):
+        keys = [F.col(f"a_{c}") == F.col(f"b_{c}") for c in by]
+        other = F.lit(True) if name == "same-scope" else F.col("a_scope") != F.col("b_scope")
+        fits = other & (F.col("a_start_byte") != F.col("b_start_byte"))
+        # sites begin at a byte once per operator, so a killer passes over few of its scope's survivors
+        ranked = F.row_number().over(Window.partitionBy("b_file", "b_scope").orderBy("b_id"))
+        some = b.withColumn("rank", ranked).where(F.col("rank") <= want + OPERATORS).drop("rank")
+        first = a.join(some.select("b_file", "b_scope", "b_start_byte"), [*keys, fits], "left_semi").orderBy("a_id").limit(want)
+        met = first.join(some, [*keys, fits]).orderBy("a_id", "b_id").limit(want)
+        part = met.select("a_id", "b_id", F.lit(name).alias("affinity"), F.lit(turn).alias("turn"))
+        out = part if out is None else out.unionByName(part)
+    return out.orderBy("turn", "a_id", "b_id").limit(want).drop("turn")
+
+
 def splitmix64(seed: int, n: int) -> int:
     """Draw n, from 0, of the generator with this seed; draws are addressed, so any task can make any of them."""
     mask = (1 << 64) - 1

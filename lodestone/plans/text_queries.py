@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +13,7 @@ from lodestone.plans.registry import query
 from lodestone.sources import files
 
 
-def _joined(marks: tuple[str, ...]) -> str:
-    return "(" + " OR ".join(f"contains(x, '{m}')" for m in marks) + ")"
+_MARKED = """regexp_matches(x, 'Traceback \\(most recent call last\\)|(Assertion|Syntax|Name|Type|Value|Key|Attribute|Import|Runtime)Error|error\\(s\\)|FAILED|FAIL[: ]|  x  |✗')"""
 
 
 @query("""WITH f AS (SELECT page_id, unnest(regexp_extract_all(html, '<=|>=|==|!=|<|>')) AS op FROM pages)
@@ -71,25 +68,26 @@ def splice_ascii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH r AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), b AS (SELECT doc_id, l, doc_id % 5 + 1 AS line, least(greatest(1, doc_id % 5 + 1 - 2), len(l)) AS lo FROM r),
 c AS (SELECT *, greatest(least(len(l), line + 2), lo) AS hi FROM b)
-SELECT doc_id, array_to_string(list_transform(range(lo, hi + 1), lambda i: CASE WHEN i = line THEN '>' ELSE ' ' END || lpad(CAST(i AS VARCHAR), 5, ' ') || ' | ' || l[i]), chr(10)) AS excerpt FROM c""")
+SELECT doc_id, array_to_string(list_transform(range(lo, hi + 1), lambda i: CASE WHEN i = line THEN '>' ELSE ' ' END || repeat(' ', greatest(5 - length(CAST(i AS VARCHAR)), 0)) || CAST(i AS VARCHAR) || ' | ' || l[i] || chr(10)), '') AS excerpt FROM c""")
 def excerpt_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.table(spark, sf_dir, "documents").select("doc_id", T.excerpt(F.col("text"), (F.col("doc_id") % 5 + 1).cast("int"), 2).alias("excerpt"))
 
 
-@query(f"""WITH o AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || chr(10) || 'FAILED one step' || chr(10) || text ELSE text || chr(10) END AS t FROM documents),
+@query(f"""WITH o AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN text || chr(10) || 'FAILED one step' || chr(10) || text WHEN 1 THEN text || chr(10) || '  x  bad' || chr(10) || '3 x 4' || chr(10) || text ELSE text || chr(10) || '3 x 4' END AS t FROM documents),
 l AS (SELECT doc_id, CASE WHEN t = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(regexp_replace(replace(t, chr(13) || chr(10), chr(10)), '\\n\\z', ''), chr(10)) END AS l FROM o),
-m AS (SELECT doc_id, l, list_max(list_filter(range(0, len(l)), lambda i: list_transform([l[i + 1]], lambda x: {_joined(T.FAILURE_MARKS)})[1])) AS last FROM l),
+m AS (SELECT doc_id, l, list_max(list_filter(range(0, len(l)), lambda i: list_transform([l[i + 1]], lambda x: {_MARKED})[1])) AS last FROM l),
 w AS (SELECT doc_id, l, last, greatest(last - 12, 0) AS lo, least(last + 40, len(l)) AS hi, greatest(len(l) - 40, 0) AS f FROM m)
-SELECT doc_id, CASE WHEN last IS NULL THEN '(no failure marker found; the last lines follow)' || chr(10) || array_to_string(list_slice(l, f + 1, f + 40), chr(10))
- ELSE CASE WHEN lo > 0 THEN '... ' || lo || ' earlier lines omitted' || chr(10) ELSE '' END || array_to_string(list_slice(l, lo + 1, hi), chr(10)) END AS focus FROM w""")
+SELECT doc_id, CASE WHEN last IS NULL THEN '(no recognised failure marker in this suite''s output; showing the last                  ' || (len(l) - f) || ' lines verbatim)' || chr(10) || array_to_string(list_slice(l, f + 1, f + 40), chr(10))
+ ELSE CASE WHEN lo > 0 THEN '… ' || lo || ' earlier lines of passing output omitted …' || chr(10) ELSE '' END || array_to_string(list_slice(l, lo + 1, hi), chr(10)) END AS focus FROM w""")
 def focus_last_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit("\nFAILED one step\n"), "text")).otherwise(F.concat("text", F.lit("\n")))
+    n = F.col("doc_id") % 4
+    out = F.when(n == 0, F.concat("text", F.lit("\nFAILED one step\n"), "text")).when(n == 1, F.concat("text", F.lit("\n  x  bad\n3 x 4\n"), "text")).otherwise(F.concat("text", F.lit("\n3 x 4")))
     return A.table(spark, sf_dir, "documents").select("doc_id", T.focus_failure(out).alias("focus"))
 
 
-@query("""SELECT page_id, replace(regexp_replace('at /tmp/w/n' || (page_id % 12) || '/' || url || ' in /tmp/w', '/tmp/w/[^/\\s]*/', '', 'g'), '/tmp/w', 'repo') AS text FROM pages""")
+@query("""SELECT page_id, 'at ' || url || ' in repo and repo, then x/y' AS text FROM pages""")
 def strip_work_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.lit("at /tmp/w/n"), F.col("page_id") % 12, F.lit("/"), "url", F.lit(" in /tmp/w"))
+    text = F.concat(F.lit("at /tmp/w/n"), F.col("page_id") % 12, F.lit("/"), "url", F.lit(" in /tmp/w and /tmp/w/w0, then x/y"))
     return A.table(spark, sf_dir, "pages").select("page_id", T.strip_worktree(text, "/tmp/w/", "repo").alias("text"))
 
 
@@ -99,7 +97,7 @@ def extract_last_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.replies(spark, sf_dir).select("conv_id", "turn", patch.alias("patch"), error.alias("error"))
 
 
-@query(f"""WITH {A.REPLIES}, {A.EXTRACTED}, f AS (SELECT conv_id, turn, file, list_distinct(list_transform(regexp_extract_all(patch, '(?m)^(?:\\+\\+\\+|---) ([^\\t\\n]+)', 1), lambda x: regexp_replace(trim(x), '^(?:[ab]/)+', ''))) AS fs FROM got WHERE patch IS NOT NULL)
+@query(f"""WITH {A.REPLIES}, {A.EXTRACTED}, f AS (SELECT conv_id, turn, file, list_distinct(list_transform(regexp_extract_all(patch, '(?m)^(?:\\+\\+\\+ |--- a/)([^\\t\\n]+)', 1), lambda x: regexp_replace(trim(x), '^(?:[ab]/)+', ''))) AS fs FROM got WHERE patch IS NOT NULL)
 SELECT conv_id, turn, array_to_string(fs, ',') AS files, len(list_filter(fs, lambda x: x <> file)) = 0 AS within FROM f""")
 def patch_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     patch, _ = T.extract_patch(F.col("reply"))
@@ -107,25 +105,31 @@ def patch_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("conv_id", "turn", F.array_join("fs", ",").alias("files"), T.in_contract(F.col("fs"), F.col("file")).alias("within"))
 
 
-_LIST = "'Sure, here they are:' || chr(10) || '1. ' || substr(text, 1, 30) || chr(10) || '- \"' || substr(text, 5, 20) || '\"' || chr(10) || 'ab' || chr(10) || '* ' || substr(text, 2, 12)"
+_LIST = "'Sure, here they are:' || chr(10) || 'Heading:' || chr(13) || chr(10) || 'Of course not' || chr(10) || '1. ' || substr(text, 1, 30) || chr(10) || '- \"' || substr(text, 5, 20) || '\"' || chr(10) || 'ab' || chr(10) || '* ' || substr(text, 2, 12)"
 
 
 @query(f"""WITH c AS (SELECT conv_id, turn, {_LIST} AS t FROM (SELECT conv_id, turn, regexp_replace(text, '[^a-zA-Z ]', '', 'g') AS text FROM conversations)),
-l AS (SELECT conv_id, turn, list_transform(string_split(t, chr(10)), lambda x: regexp_replace(trim(regexp_replace(trim(x), '^\\s*(?:[-*•] |[0-9]+[.)] )', '')), '^["'']+|["'']+$', '', 'g')) AS l FROM c)
-SELECT conv_id, turn, array_to_string(list_slice(list_filter(l, lambda x: strlen(x) >= 4 AND NOT ends_with(x, ':') AND NOT regexp_matches(x, '(?i)^(?:here are|here is|sure|certainly|okay|of course)\\b')), 1, 3), '|') AS prompts FROM l""")
+l AS (SELECT conv_id, turn, list_transform(string_split(t, chr(10)), lambda x: regexp_replace(trim(regexp_replace(trim(replace(x, chr(13), '')), '^\\s*(?:[-*•] |[0-9]+[.)] )', '')), '^["'']+|["'']+$', '', 'g')) AS l FROM c)
+SELECT conv_id, turn, array_to_string(list_slice(list_filter(l, lambda x: strlen(x) >= 4 AND NOT ends_with(x, ':') AND NOT regexp_matches(x, '(?i)^(?:here are|sure|certainly)')), 1, 3), '|') AS prompts FROM l""")
 def clean_prompt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = A.table(spark, sf_dir, "conversations").withColumn("text", F.regexp_replace("text", "[^a-zA-Z ]", ""))
     part = lambda a, b: F.substring("text", a, b)
-    t = F.concat(F.lit("Sure, here they are:\n1. "), part(1, 30), F.lit('\n- "'), part(5, 20), F.lit('"\nab\n* '), part(2, 12))
+    t = F.concat(F.lit("Sure, here they are:\nHeading:\r\nOf course not\n1. "), part(1, 30), F.lit('\n- "'), part(5, 20), F.lit('"\nab\n* '), part(2, 12))
     return c.select("conv_id", "turn", F.array_join(T.clean_prompts(t, 3), "|").alias("prompts"))
 
 
-@query("""WITH c AS (SELECT conv_id, turn, conv_id % 3 AS r, 'from t' || turn AS q FROM conversations)
-SELECT conv_id, turn, CASE r WHEN 0 THEN q || ' b|' || q || ' a|' WHEN 1 THEN q || ' x|' || q || ' y|' || q || ' z' ELSE '||' END AS answers FROM c""")
+@query("""WITH c AS (SELECT conv_id, turn, conv_id % 6 AS r, 'from t' || turn AS q FROM conversations)
+SELECT conv_id, turn, CASE r WHEN 0 THEN q || ' b|' || q || ' a|' WHEN 1 THEN q || ' x|' || q || ' y|' || q || ' z' WHEN 2 THEN '||' WHEN 3 THEN q || ' x|' || q || ' y|' || q || ' z' WHEN 4 THEN q || ' b||' ELSE q || ' a|' || q || ' n|' || q || ' c' END AS answers FROM c""")
 def match_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbered out of order with one missing, three without numbers, two without numbers."""
+    """Numbered out of order with one missing; three without numbers; two; three after narration; a number twice; numbered
+    and not, three of the latter."""
     q = F.concat(F.lit("from t"), F.col("turn").cast("string"))
-    text = F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit("2. "), q, F.lit(" a\n1) `"), q, F.lit(" b`;"))).when(F.col("conv_id") % 3 == 1, F.concat(q, F.lit(" x\n"), q, F.lit(" y;\n"), q, F.lit(" z"))).otherwise(F.concat(q, F.lit(" x\n"), q))
+    told = lambda *parts: F.concat(*[q if x is None else F.lit(x) for x in parts])
+    texts = (
+        told("2. ", None, " a\n1) `", None, " b`;"), told(None, " x\n", None, " y;\n", None, " z"), told(None, " x\n", None),
+        told("Here you go:\n- ", None, " x\n", None, " y\n* ", None, " z\nthat is all"), told("1. ", None, " a\n1. ", None, " b"), told(None, " a\n2. ", None, " n\n", None, " b\n9. ", None, " c"),
+    )
+    text = F.element_at(F.array(*texts), (F.col("conv_id") % 6 + 1).cast("int"))
     return A.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(T.match_answers(text, 3), "|").alias("answers"))
 
 
@@ -154,8 +158,7 @@ def corpus_jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written as JSON Lines and read back under the corpus schema."""
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lodestone-")
-    path = f"{base}/corpus-{uuid.uuid4().hex}"
+    path = f"{files.shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     e = A.table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("id"), F.concat(F.lit("u"), "user_id").alias("file"), F.col("event_type").alias("operator"))
     files.write_corpus(e, path)
     return files.read_corpus(spark, path).select(F.col("id").cast("bigint").alias("id"), "file", "operator")
@@ -167,29 +170,57 @@ def _sources(spark: SparkSession, sf_dir: str, language: str) -> DataFrame:
     if language == "python":
         body = F.concat(F.lit("# é\ndef f_"), F.col("p_partkey").cast("string"), F.lit("(x):\n    s = 'é'; y = x < "), n, F.lit("\n    if not x and y:\n        return None\n    try:\n        x += "), n, F.lit("\n    except ValueError:\n        raise\n    if x == 0:\n        return s\n    return x\n"))
     else:
-        body = F.concat(F.lit("fn f_"), F.col("p_partkey").cast("string"), F.lit("(x: Vec<u8>) -> bool { let y = x.len() < "), n, F.lit("u64; if y && true { x += 1; } y }\n#[cfg(test)]\nmod t { fn g() { let a = 1 < 2; } }\n"))
+        body = F.concat(F.lit("fn f_"), F.col("p_partkey").cast("string"), F.lit("(x: Vec<u8>) -> bool { let y = x.len() < "), n, F.lit("u64; if y && true { x += 1; } y }\n#[cfg(all(test, unix))]\nmod t { fn g() { let a = 1 < 2; } }\n"))
     return A.table(spark, sf_dir, "part").select(F.concat(F.lit("src/p"), F.col("p_partkey").cast("string")).alias("file"), body.cast("binary").alias("content"))
 
 
-_PY = (("compare_flip", 2), ("off_by_one", 3), ("boolop_swap", 1), ("augassign_flip", 1), ("constant_perturb", 1), ("except_swallow", 1), ("guard_drop", 2), ("condition_negate", 1), ("return_none", 2))
-
-
-@query("SELECT operator, CAST(k * (SELECT count(*) FROM part) AS BIGINT) AS sites FROM (VALUES " + ", ".join(f"('{o}', {k})" for o, k in _PY) + ") AS t(operator, k)")
+def _sites(head: str, sites: tuple) -> str:
+    """SQL of the sites (operator, text between the site before and this one, before, after, line) of one source per part: {k} is
+    its key, {n} its size, {m} that plus one. Offsets are bytes of the text that stands before; a site that lies in another
+    gives the place it starts at by the text since that one's start."""
+    full = lambda x: "replace(replace(replace('" + x.replace("'", "''").replace("\n", "' || chr(10) || '") + "', '{k}', CAST(p_partkey AS VARCHAR)), '{n}', CAST(p_size AS VARCHAR)), '{m}', CAST(p_size + 1 AS VARCHAR))"
+    out = [
+        f"SELECT 'src/p' || p_partkey AS file, '{op}' AS operator, CAST(strlen({full(head + text)}) AS BIGINT) AS start_byte, CAST(strlen({full(head + text + before)}) AS BIGINT) AS end_byte, {full(before)} AS before, {full(after)} AS after, CAST({line} AS BIGINT) AS line, 'f_' || p_partkey AS scope FROM part"
+        for op, text, before, after, line in sites
+    ]
+    return " UNION ALL ".join(out)
+
+
+_HEAD = "# é\ndef f_{k}(x):\n"
+_L3 = "    s = 'é'; y = x < {n}\n"
+_L4 = "    if not x and y:\n        return None\n"
+_L6 = "    try:\n        x += {n}\n    except ValueError:\n        raise\n"
+_L10 = "    if x == 0:\n        return s\n"
+_PY = (
+    ("compare_flip", "    s = 'é'; y = x ", "<", "<=", 3), ("off_by_one", "    s = 'é'; y = x < ", "{n}", "{m}", 3),
+    ("guard_drop", _L3, _L4[:-1], "    pass", 4), ("boolop_swap", _L3 + "    if not x ", "and", "or", 4), ("constant_perturb", _L3 + _L4[:-5], "None", "0", 5),
+    ("augassign_flip", _L3 + _L4 + "    try:\n        x ", "+=", "-=", 7), ("off_by_one", _L3 + _L4 + "    try:\n        x += ", "{n}", "{m}", 7),
+    ("except_swallow", _L3 + _L4 + _L6[:-14], "        raise", "        pass", 9), ("guard_drop", _L3 + _L4 + _L6, _L10[:-1], "    pass", 10),
+    ("condition_negate", _L3 + _L4 + _L6 + "    if ", "x == 0", "not (x == 0)", 10), ("compare_flip", _L3 + _L4 + _L6 + "    if x ", "==", "!=", 10), ("off_by_one", _L3 + _L4 + _L6 + "    if x == ", "0", "1", 10),
+    ("return_none", _L3 + _L4 + _L6 + "    if x == 0:\n", "        return s", "        return None", 11), ("return_none", _L3 + _L4 + _L6 + _L10, "    return x", "    return None", 12),
+)
+_RS = "fn f_{k}(x: Vec<u8>) -> bool { let y = x.len() "
+_RUST = (
+    ("compare_flip", "", "<", "<=", 1), ("off_by_one", "< ", "{n}u64", "{m}u64", 1), ("boolop_swap", "< {n}u64; if y ", "&&", "||", 1),
+    ("constant_perturb", "< {n}u64; if y && ", "true", "false", 1), ("augassign_flip", "< {n}u64; if y && true { x ", "+=", "-=", 1), ("off_by_one", "< {n}u64; if y && true { x += ", "1", "2", 1),
+)
+_SITE = ("file", "operator", "start_byte", "end_byte", "before", "after", "line", "scope")
+
+
+@query(_sites(_HEAD, _PY))
 def locate_python(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sites = locators.sites_of(locators.locate(_sources(spark, sf_dir, "python")))
-    return sites.groupBy("operator").agg(F.count("*").alias("sites"))
+    return locators.sites_of(locators.locate(_sources(spark, sf_dir, "python"))).select(*_SITE)
 
 
-@query("SELECT operator, CAST(k * (SELECT count(*) FROM part) AS BIGINT) AS sites FROM (VALUES ('compare_flip', 1), ('off_by_one', 2), ('boolop_swap', 1), ('augassign_flip', 1), ('constant_perturb', 1)) AS t(operator, k)")
+@query(_sites(_RS, _RUST))
 def locate_rust(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sites = locators.sites_of(locators.locate(_sources(spark, sf_dir, "rust"), "rust"))
-    return sites.groupBy("operator").agg(F.count("*").alias("sites"))
+    return locators.sites_of(locators.locate(_sources(spark, sf_dir, "rust"), "rust")).select(*_SITE)
 
 
-@query("SELECT count(*) AS texts, count(*) AS applied, count(*) AS reversed FROM documents WHERE length(text) > 3")
+@query("SELECT count(*) AS texts, count(*) AS applied, count(*) AS reversed FROM documents")
 def hunk_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A diff of each text and an edit of it leads there and back."""
-    d = A.table(spark, sf_dir, "documents").where(F.length("text") > 3)
+    d = A.table(spark, sf_dir, "documents")
     d = d.withColumn("edited", F.concat(F.substring("text", 1, 2), F.lit("é\n"), F.col("text").substr(F.lit(3), F.length("text"))))
     d = d.withColumn("diff", patches.unified_hunk(F.lit("a.txt"), F.col("text"), F.col("edited")))
     there, back = patches.apply_patch(F.col("text"), F.col("diff")), patches.apply_patch(F.col("edited"), F.col("diff"), reverse=True)

@@ -79,7 +79,7 @@ def grade_first_red(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _graded(spark, sf_dir)
 
 
-@query(f"""WITH {_GRADED}, again AS (SELECT g.subject_id, max(c.class) AS class FROM graded g JOIN classed c ON c.subject_id = g.subject_id + 1 AND c.grader = g.suite GROUP BY g.subject_id)
+@query(f"""WITH {_GRADED.replace("classed AS (", "classed AS MATERIALIZED (").replace("graded AS (", "graded AS MATERIALIZED (")}, second AS MATERIALIZED (SELECT subject_id - 1 AS subject_id, grader AS suite, max(class) AS class FROM classed GROUP BY 1, 2), again AS (SELECT g.subject_id, s.class FROM graded g JOIN second s ON s.subject_id = g.subject_id AND s.suite = g.suite)
 SELECT g.subject_id, CASE WHEN verdict IN ('FAILED', 'TIMEOUT') AND class = 'not_exec' THEN 'ABORTED' WHEN verdict IN ('FAILED', 'TIMEOUT') AND class IS NOT NULL AND class <> 'ok' THEN 'FLAKY' ELSE verdict END AS verdict
 FROM graded g LEFT JOIN again a ON a.subject_id = g.subject_id""")
 def confirm_kill_flaky(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +116,7 @@ def history_outcome_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.distribution(_outcomes(spark, sf_dir), "outcome", V.OUTCOMES)
 
 
-_SCORED = f"""{A.REPLIES}, {A.EXTRACTED}, files AS (SELECT *, list_distinct(list_transform(regexp_extract_all(patch, '(?m)^(?:\\+\\+\\+|---) ([^\\t\\n]+)', 1), lambda x: regexp_replace(trim(x), '^(?:[ab]/)+', ''))) AS fs FROM got),
+_SCORED = f"""{A.REPLIES}, {A.EXTRACTED}, files AS (SELECT *, list_distinct(list_transform(regexp_extract_all(patch, '(?m)^(?:\\+\\+\\+ |--- a/)([^\\t\\n]+)', 1), lambda x: regexp_replace(trim(x), '^(?:[ab]/)+', ''))) AS fs FROM got),
 scored AS (SELECT conv_id, turn, CASE WHEN conv_id % 11 = 0 THEN 'MALFORMED' WHEN conv_id % 13 = 0 THEN 'BAD-ROW' WHEN error IS NOT NULL THEN 'MALFORMED' WHEN len(list_filter(fs, lambda f: f <> file)) > 0 THEN 'CHEATED' WHEN turn % 7 = 0 THEN 'MALFORMED' WHEN conv_id % 2 = 0 THEN 'MISSED' ELSE 'SOLVED' END AS score FROM files)"""
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import contextlib
 import os
+import re
+import tempfile
 import time
 from collections.abc import Iterator
 
@@ -15,11 +17,21 @@ SKIPPED = ("__pycache__", "target", "node_modules", "tests", "test")
 EXAMPLE = "id string, prompt string, completion string, operator string, severity string, file string, line bigint, scope string, verdict string, caused_by array<string>, repo_commit string"
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which driver and executors share; in local mode alone, a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return "file://" + tempfile.mkdtemp(prefix="lodestone-")
+
+
 def scan(spark: SparkSession, root: str, extension: str, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """(file, content) of files below ``root``, by path relative to it; skipped folders and excluded needles are out before
-    contents are read."""
+    """(file, content) of files below ``root``, by path relative to it. Skipped folders and excluded needles are left out by
+    path; Spark reads the files before it drops them."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{extension}").load(root)
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + root.split("://")[-1].rstrip("/") + "/", "")
+    rel = F.regexp_replace(F.col("path"), r"^.*?" + re.escape(root.split("://")[-1].rstrip("/")) + "/", "")
     parts = F.split(rel, "/")
     keep = ~F.exists(parts, lambda p: p.isin(*SKIPPED) | F.startswith(p, F.lit(".")))
     for needle in exclude:
@@ -53,6 +65,29 @@ def read_trials(texts: DataFrame) -> DataFrame:
     )
 
 
+def trial_json(trials: DataFrame) -> DataFrame:
+    """Trials as JSON texts (value), in file and byte order within a partition: the verdict is a word, or an object that
+    names its suite and what goes with it. ``read_trials`` reads them."""
+    kind = F.col("verdict")
+    own = lambda name, *fields: F.to_json(F.struct(F.struct(*fields).alias(name)))
+    verdict = (
+        F.when(kind == "FAILED", own("Failed", "suite", "tail")).when(kind == "TIMEOUT", own("Timeout", "suite", "limit_ms"))
+        .when(kind == "FLAKY", own("Flaky", "suite")).otherwise(F.lit('"Survived"'))
+    )
+    fields = [c for c in ("id", "file", "file_sha256", "candidate", "elapsed_ms", "graders") if c in trials.columns]
+    return trials.select(F.to_json(F.struct(*fields, F.parse_json(verdict).alias("verdict"))).alias("value"))
+
+
+def write_trials(trials: DataFrame, path: str) -> None:
+    """A JSON text per line; lines rather than one array, so that tasks write and read them apart."""
+    trial_json(trials).write.mode("overwrite").text(path)
+
+
+def write_replays(replays: DataFrame, path: str) -> None:
+    """Replays (commit, outcome, elapsed_ms) as JSON Lines."""
+    replays.write.mode("overwrite").json(path)
+
+
 @contextlib.contextmanager
 def claim(folder: str, force: bool = False) -> Iterator[None]:
     """Holds an output folder for one writer on the driver; a second claim is refused unless forced."""

@@ -26,25 +26,39 @@ def test_hunk_leads_there_and_back(a, b):
     assert not any(line == " " for line in d.split("\n")[3:]), "the final newline is no line"
 
 
+@pytest.mark.parametrize("a,b", [("a\n", "a"), ("a\nb", "a\nb\n"), ("", "a"), ("a", "")])
+def test_hunk_of_the_final_newline(a, b):
+    d = patches.make_hunk("f.py", a, b)
+    assert d and patches.apply_patch_text(a, d) == b and patches.apply_patch_text(b, d, True) == a
+
+
+def test_moved_hunk_applies():
+    d = patches.make_hunk("f.py", "a\nb\nc\n", "a\nx\nc\n")
+    assert patches.apply_patch_text("new\nlines\n" + "a\nb\nc\n", d) == "new\nlines\na\nx\nc\n"
+
+
 def test_equal_texts_have_no_hunk():
     assert patches.make_hunk("f", "a\n", "a\n") == ""
 
 
 def test_excerpt_marks_and_clamps(spark):
     t = F.lit("\n".join(f"line {i}" for i in range(1, 31)))
-    assert one(spark, T.excerpt(t, F.lit(2), 1)) == "     1 | line 1\n>    2 | line 2\n     3 | line 3"
-    assert one(spark, T.excerpt(t, F.lit(99), 1)) == "     30 | line 30".replace("     30", "    30") or one(spark, T.excerpt(t, F.lit(99), 1)).endswith("line 30")
+    assert one(spark, T.excerpt(t, F.lit(2), 1)) == "     1 | line 1\n>    2 | line 2\n     3 | line 3\n"
+    assert one(spark, T.excerpt(t, F.lit(99), 1)) == "    30 | line 30\n"
+    assert one(spark, T.excerpt(F.repeat(F.lit("\n"), F.lit(100_001)), F.lit(100_001), 0)) == ">100001 | \n"
 
 
 def test_focus_keeps_the_failure(spark):
     out = one(spark, T.focus_failure(F.lit("\n".join(["test ok"] * 80 + ["Traceback (most recent call last)", " f", "ValueError: no"]))))
-    assert "ValueError: no" in out and out.count("test ok") <= 20 and "earlier lines omitted" in out
-    assert "no failure marker" in one(spark, T.focus_failure(F.lit("a\nb")))
+    assert "ValueError: no" in out and out.count("test ok") <= 20 and "70 earlier lines of passing output omitted" in out
+    assert "3 x 4" in one(spark, T.focus_failure(F.lit("  x  bad\n" + "ok\n" * 30 + "3 x 4"))) and "no recognised" not in one(spark, T.focus_failure(F.lit("  x  bad")))
+    assert "no recognised failure marker" in one(spark, T.focus_failure(F.lit("a\nb")))
 
 
 @pytest.mark.parametrize("work", ["/tmp/w", "/tmp/w/"])
 def test_worktree_paths(spark, work):
     assert one(spark, T.strip_worktree(F.lit('at "/tmp/w/w11/src/a.py" in /tmp/w'), work, "repo")) == 'at "src/a.py" in repo'
+    assert one(spark, T.strip_worktree(F.lit("in /tmp/w/w0, at /tmp/w/w0"), work, "repo")) == "in repo, at repo"
 
 
 @pytest.mark.parametrize("reply,patch,error", [
@@ -58,6 +72,7 @@ def test_extract_patch(spark, reply, patch, error):
 def test_contract_sees_second_files(spark):
     d = F.lit("--- a/src/x.py\n+++ b/src/x.py\n@@\n--- a/tests/t.py\n+++ /dev/null\n")
     assert one(spark, T.patched_files(d)) == ["src/x.py", "tests/t.py"]
+    assert one(spark, T.patched_files(F.lit("--- a/q.sql\n+++ b/q.sql\n@@\n--- drop this\n+x\n"))) == ["q.sql"]
     assert one(spark, T.in_contract(T.patched_files(d), F.lit("src/x.py"))) is False
 
 
@@ -65,6 +80,13 @@ def test_answers(spark):
     assert one(spark, T.match_answers(F.lit("2. from b\n1. from a"), 3)) == ["from a", "from b", ""]
     assert one(spark, T.match_answers(F.lit("from a\nfrom b\nfrom c"), 3)) == ["from a", "from b", "from c"]
     assert one(spark, T.match_answers(F.lit("from a\nfrom b"), 3)) == ["", "", ""]
+    assert one(spark, T.match_answers(F.lit("Here you go:\nfrom a\nfrom b"), 3)) == ["", "", ""] and one(spark, T.match_answers(F.lit("Here you go:\nfrom a\nfrom b"), 2)) == ["from a", "from b"]
+    assert one(spark, T.match_answers(F.lit("1. from a\n1. from b"), 2)) == ["from b", ""]
+
+
+def test_prompts(spark):
+    text = F.lit("Sure, here:\nheading:\r\n1. Of course it rains\n- okay then\nSurely not\n\"quoted one\"\nabc")
+    assert one(spark, T.clean_prompts(text, 9)) == ["Of course it rains", "okay then", "quoted one"]
 
 
 @pytest.mark.parametrize("text,after", [("7u64", "8u64"), ("1_000i32", "1001i32"), ("0", "1"), ("1.5", None), ("0xFF", None), ("1e9", None)])
@@ -100,6 +122,41 @@ def test_rust_sites_leave_generics_and_tests_alone():
     assert [(s["operator"], s["before"], s["scope"]) for s in sites] == [("compare_flip", "<", "f"), ("off_by_one", "3", "f")] and excluded > 30
 
 
+def test_statement_edits_take_whole_lines():
+    src = b"def f(x):\n    if x:\n        return 1\n    try:\n        g()\n    except E:\n        log(x)\n    return x\n"
+    got = {(s["operator"], s["before"], s["after"], s["line"]) for s in locators.python_sites(src)[0]}
+    assert ("guard_drop", "    if x:\n        return 1", "    pass", 2) in got and ("except_swallow", "        log(x)", "        pass", 7) in got and ("return_none", "    return x", "    return None", 8) in got
+
+
+def test_gates(spark):
+    from lodestone.operators import gates
+
+    runs = spark.createDataFrame([("a", 0, 0, 10), ("b", 1, 1, 10), ("c", 2, 124, 10), ("d", 3, 127, 5)], "grader string, ord int, exit_code int, elapsed_ms bigint")
+    measured = gates.baseline(runs)
+    assert tuple(gates.baseline_verdict(measured).first()) == (False, ["d"], ["b (tests failed)", "c (timed out)"], 35)
+    with pytest.raises(RuntimeError, match="could not be executed: d"):
+        gates.require_green(measured)
+    with pytest.raises(RuntimeError, match="b \\(tests failed\\), c"):
+        gates.require_green(measured.where("grader <> 'd'"))
+    gates.require_green(measured.where("grader = 'a'"))
+    graders = spark.createDataFrame([("a", True), ("b", False)], "name string, hermetic boolean")
+    assert [r.name for r in gates.usable_graders(graders, True).collect()] == ["a"] and gates.usable_graders(graders, False, graders.where("name = 'b'")).count() == 1
+    scores = spark.createDataFrame([("SOLVED",), ("MISSED",)], "score string")
+    for bad in (scores, scores.limit(0)):
+        with pytest.raises(RuntimeError):
+            gates.require_oracle(bad)
+    gates.require_oracle(scores.where("score = 'SOLVED'"))
+
+
+def test_baseline_runs_every_grader(spark):
+    import sys
+
+    trees = spark.createDataFrame([("t", p, [("m.py", b"x = 1\n")]) for p in ("baseline", "mutated")], "subject_id string, phase string, files array<struct<path:string,content:binary>>")
+    graders = [(n, [sys.executable, "-c", code], {}) for n, code in (("one", "1/0"), ("two", "pass"), ("three", "1/0"))]
+    got = runner.run_graders(trees, graders, {n: 20000 for n in ("one", "two", "three")}).collect()
+    assert [(r.phase, r.grader, r.exit_code) for r in got] == [("baseline", "one", 1), ("baseline", "two", 0), ("baseline", "three", 1), ("mutated", "one", 1)]
+
+
 def test_splitmix_is_addressed(spark):
     got = [r.x for r in spark.range(6).select(sampling.splitmix_below(42, F.col("id"), 1000).alias("x")).collect()]
     assert got == [sampling.splitmix64(42, i) % 1000 for i in range(6)] and len(set(got)) > 3
