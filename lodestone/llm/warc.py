@@ -3,9 +3,13 @@
 ``write_archives`` stores a gzip member per record; equal payloads of ``REVISIT_FROM`` bytes or more are stored once and
 revisited. ``read_archives`` streams each file, compressed by member or plain, and checks gzip sums, lengths and block
 digests. After a failed check it searches for the next gzip member or version line that starts a valid record, goes on
-from there, and reports the bytes between as a quarantined gap. A reader holds one record and one chunk in memory.
+from there, and reports the bytes between as a quarantined gap. Members are inflated by chunks: of a member of several
+records, those are given that others follow, and damage inside is searched for the next version line first; the
+last record of a member that ends badly stays quarantined. A reader holds one record and some chunks in memory. A header over
+1 MiB counts as damage.
 
-Defined cases: null html is an empty payload; null url has a placeholder URI; null page_id comes back as null; repeated
+Defined cases: null html is an empty payload; null url has a placeholder URI; null page_id comes back as null, and revisits
+the smallest page_id of its payload, if any; a page_id on several payloads is a page of each; repeated
 page_ids are all responses when theirs is the smallest; pages below ``REVISIT_FROM`` bytes are all responses; extra
 columns are ignored; an empty table has no archive.
 """
@@ -22,20 +26,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import files
-from .common import cut, fresh_path
+from .common import cut, doc_key, fresh_path
 
 REVISIT_FROM = 100
 DATE = "2026-01-01T00:00:00Z"
 CHUNK = 1 << 20
+GZIP, VERSION = b"\x1f\x8b\x08", b"WARC/1."
 _KNOWN, _UNKNOWN = 0x6C6F64657374_4000, 0x6C6F64657374_4001  # upper halves of record ids
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
+def _payload(pages: DataFrame) -> list:
+    html = F.coalesce("html", F.lit(""))
+    return [doc_key(F.col("page_id")).alias("key"), F.sha2(html, 256).alias("digest"), F.octet_length(html).alias("n")]
+
+
 def revisits(pages: DataFrame) -> DataFrame:
-    """(page_id, refers_to) of the pages whose payload an earlier page_id has."""
-    slim = cut(pages.select("page_id", F.octet_length(F.coalesce("html", F.lit(""))).alias("n"), F.sha2(F.coalesce("html", F.lit("")), 256).alias("digest")).where(F.col("n") >= REVISIT_FROM), "payloads")
+    """(key, digest, refers_to) of the pages, told apart by page_id and payload, whose payload a smaller page_id has."""
+    slim = cut(pages.select("page_id", *_payload(pages)).where(F.col("n") >= REVISIT_FROM), "payloads")
     firsts = slim.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("k")).where("k > 1")
-    return slim.join(firsts.select("digest", "refers_to"), "digest").where("page_id <> refers_to").select("page_id", "refers_to").distinct()
+    return slim.join(firsts.select("digest", "refers_to"), "digest").where("page_id is null or page_id <> refers_to").select("key", "digest", "refers_to").distinct()
 
 
 def record_id(page_id: int | None) -> str:
@@ -72,8 +82,8 @@ def make_record(page_id: int | None, url: str | None, payload: bytes, refers_to:
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Writes an archive per partition; returns the written table (file, records, bytes)."""
-    again = revisits(pages)
-    rows = pages.select("page_id", "url", F.col("html").cast("binary").alias("html")).join(again.withColumnRenamed("page_id", "_id"), F.col("page_id") == F.col("_id"), "left").drop("_id")
+    rows = pages.select("page_id", "url", F.col("html").cast("binary").alias("html"), *_payload(pages))
+    rows = rows.join(revisits(pages), ["key", "digest"], "left").select("page_id", "url", "html", "refers_to")
 
     def write(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -116,15 +126,15 @@ class _Stream:
             pass
         return self.buf[at - self.base : at - self.base + n]
 
-    def start(self, at: int) -> int | None:
+    def start(self, at: int, marks: tuple[bytes, ...] = (GZIP, VERSION)) -> int | None:
         """The first place from ``at`` where a member or a version line could start."""
         while True:
-            found = [i for i in (self.buf.find(m, at - self.base) for m in (b"\x1f\x8b\x08", b"WARC/1.")) if i >= 0]
+            found = [i for i in (self.buf.find(m, at - self.base) for m in marks) if i >= 0]
             if found and (self.ended or min(found) + 8 <= len(self.buf)):
                 return min(found) + self.base
             at = max(at, min([self.base + len(self.buf) - 8, *(i + self.base for i in found)]))
             self.forget(at)
-            if not self.more() and not [i for i in (self.buf.find(m, at - self.base) for m in (b"\x1f\x8b\x08", b"WARC/1.")) if i >= 0]:
+            if not self.more() and not [i for i in (self.buf.find(m, at - self.base) for m in marks) if i >= 0]:
                 return None
 
 
@@ -172,51 +182,109 @@ def _one(get, at: int) -> tuple[dict, int]:
     return _checked(fields, block[:size]), at + len(head) + 8 + size
 
 
-def salvage(f) -> Iterator[dict]:
-    """Records and gaps of an open archive in order. kind record: the fields of ``_checked``; kind gap: reason. Both:
-    start and end bytes."""
-    s, at, bad, why = _Stream(f), 0, None, ""
-    while True:
-        found: list[dict] = []
-        head = s.get(at, 8)
-        if not head:
-            break
+class _Member:
+    """The inflated bytes of the gzip member at a place of a stream, in chunks; ``at`` is how far it was read well."""
+
+    def __init__(self, s: _Stream, at: int):
+        self.s, self.at, self.z, self.error = s, at, zlib.decompressobj(31), ""
+
+    def read(self, n: int) -> bytes:
+        while not self.z.eof and not self.error:
+            part = self.s.get(self.at, CHUNK)
+            try:
+                out = self.z.decompress(part, n)
+            except zlib.error as e:
+                self.error = str(e)
+                return b""
+            self.at += len(part) - len(self.z.unconsumed_tail) - len(self.z.unused_data)
+            self.s.forget(self.at)
+            if out:
+                return out
+            if not part:
+                self.error = "truncated member"
+        return b""
+
+
+def _inside(member: _Member) -> Iterator[tuple[int, int, dict | str]]:
+    """(start, end, fields) of the records in a member's inflated bytes, and (start, end, reason) of gaps, in order."""
+    s, at, bad, why = _Stream(member), 0, None, ""
+    while s.get(at, 1):
         try:
-            if head.startswith(b"\x1f\x8b\x08"):
-                z, data, i = zlib.decompressobj(31), [], at
-                while not z.eof:
-                    part = s.get(i, CHUNK)
-                    if not part:
-                        raise ValueError("truncated member")
-                    data.append(z.decompress(part))
-                    i += len(part) - len(z.unused_data)
-                text, k = b"".join(data), 0
-                while k < len(text):
-                    one, k = _one(lambda a, n: text[a : a + n], k)  # noqa: B023
-                    found.append(one)
-                if not found:
-                    raise ValueError("empty member")
-                end = i
-            elif head.startswith(b"WARC/1."):
-                one, end = _one(s.get, at)
-                found.append(one)
-            else:
-                raise ValueError("no record")
-        except (ValueError, KeyError, zlib.error) as e:
-            if bad is None:
-                bad, why = at, str(e)[:200]
-            nxt = s.start(at + 1)
+            one, end = _one(s.get, at)
+        except (ValueError, KeyError) as e:
+            bad, why = (at, str(e)[:200]) if bad is None else (bad, why)
+            nxt = s.start(at + 1, (VERSION,))
             if nxt is None:
                 break
             at = nxt
             continue
         if bad is not None:
-            yield {"kind": "gap", "start": bad, "end": at, "reason": why}
+            yield bad, at, why
             bad = None
-        for one in found:
-            yield {"kind": "record", "start": at, "end": end, **one}
+        yield at, end, one
         at = end
         s.forget(at)
+    if bad is not None:
+        while s.more():
+            s.forget(s.base + len(s.buf))
+        yield bad, s.base + len(s.buf), why
+
+
+def salvage(f) -> Iterator[dict]:
+    """Records and gaps of an open archive in order. kind record: the fields of ``_checked``; kind gap: reason. Both:
+    start and end bytes, of records in a member the member's start and how far it was read."""
+    s, at, bad, why = _Stream(f), 0, None, ""
+    while True:
+        head = s.get(at, 8)
+        if not head:
+            break
+        if head.startswith(GZIP):
+            member, held, gaps, given = _Member(s, at), None, [], 0
+            for first, last, x in _inside(member):
+                if held is not None:
+                    if bad is not None:
+                        yield {"kind": "gap", "start": bad, "end": at, "reason": why}
+                        bad = None
+                    yield held
+                    held, given = None, given + 1
+                if isinstance(x, str):
+                    gaps.append({"kind": "gap", "start": at, "end": member.at, "reason": f"inflated bytes {first} to {last}: {x}"})
+                else:
+                    held = {"kind": "record", "start": at, "end": member.at, **x}
+            if member.z.eof and (held is not None or given):
+                if held is not None:
+                    if bad is not None:
+                        yield {"kind": "gap", "start": bad, "end": at, "reason": why}
+                        bad = None
+                    yield held | {"end": member.at}
+                yield from gaps
+                at = member.at
+                s.forget(at)
+                continue
+            if given:
+                yield from gaps
+            if bad is None:
+                bad, why = member.at if given else at, (member.error or (gaps[0]["reason"] if gaps else "empty member"))[:200]
+            nxt = s.start(max(at + 1, member.at if member.error else at + 1))
+        else:
+            try:
+                if not head.startswith(VERSION):
+                    raise ValueError("no record")
+                one, end = _one(s.get, at)
+            except (ValueError, KeyError) as e:
+                bad, why = (at, str(e)[:200]) if bad is None else (bad, why)
+                nxt = s.start(at + 1)
+            else:
+                if bad is not None:
+                    yield {"kind": "gap", "start": bad, "end": at, "reason": why}
+                    bad = None
+                yield {"kind": "record", "start": at, "end": end, **one}
+                at = end
+                s.forget(at)
+                continue
+        if nxt is None:
+            break
+        at = nxt
     if bad is not None:
         while s.more():
             s.forget(s.base + len(s.buf))

@@ -194,6 +194,22 @@ def test_line_dedup_query_takes_short_lines(spark, tmp_path):
     assert {i: len(x) for i, x in got.items() if x} == _gone_lines(docs, 1)
 
 
+def test_rows_that_share_an_id_keep_their_own_text(spark):
+    """Rows of one doc_id, or of none, lose nothing that stands once; columns named as an operator's own are carried."""
+    a, b = "the quick brown fox jumps over the lazy dog once more today", "sphinx of black quartz judge my vow and go home at last"
+    rows = [(1, a), (1, b), (None, a), (None, b + " other words"), (None, "x" * 40)]
+    own = spark.createDataFrame([(i, t, "g", "d", "k") for i, t in rows], "doc_id bigint, text string, _gone string, _doc string, gone string")
+    got = {(r.doc_id, r.text) for r in line_dedup.dedup_lines(own).collect()}
+    assert got == {(1, a), (1, b), (None, ""), (None, b + " other words"), (None, "x" * 40)} or got == {(1, a), (1, b), (None, ""), (None, "x" * 40)}
+    assert line_dedup.dedup_lines(own).columns == own.columns == ngram_join.drop_linked(own).columns
+    r = random.Random(4)
+    long = ["".join(r.choice("abcdefgh ") for _ in range(150)) for _ in range(3)]
+    texts = [(1, long[0]), (1, long[1]), (None, long[2]), (None, long[2][:120] + "tail"), (2, long[0] + long[1])]
+    cut = {(x.doc_id, x.n_bytes): x.n_removed for x in suffix_dedup.digest(make(spark, [(i, t, "s") for i, t in texts])).collect()}
+    first = [cut[None, 150], cut[None, 124]]
+    assert cut[1, 150] == 0 and cut[2, 300] == 300 and sorted(first) == [0, 120]
+
+
 def _linked(rows, k, num, den):
     sets = collections.defaultdict(set)
     for i, t, _ in rows:
@@ -257,6 +273,34 @@ def test_warc_salvage(packed):
     assert gaps[:2] == [(at[10], at[11]), (at[20], at[21])] and gaps[2] == (at[30], at[30] + 3_000_000) and gaps[-1][1] == len(data)
 
 
+@pytest.mark.parametrize("damage", ["none", "inside", "cut"])
+def test_warc_salvage_within_a_member(damage):
+    """An archive packed as one member gives the records before and, where it inflates, after the damage."""
+    parts = [warc.make_record(i, "http://x", os.urandom(2000).hex().encode(), None) for i in range(30)]
+    if damage == "inside":
+        parts[7] = parts[7][:-100] + b"?" + parts[7][-99:]
+    data = zlib.compress(b"".join(parts), 1, 31)
+    data = data[: len(data) * 2 // 3] if damage == "cut" else data
+    out = list(warc.salvage(io.BytesIO(data)))
+    ids = [x["page_id"] for x in out if x["kind"] == "record"]
+    gaps = [x for x in out if x["kind"] == "gap"]
+    if damage == "none":
+        assert ids == list(range(30)) and not gaps
+    elif damage == "inside":
+        assert ids == [i for i in range(30) if i != 7] and "inflated bytes" in gaps[0]["reason"]
+    else:
+        assert ids == list(range(len(ids))) and 15 <= len(ids) < 30 and gaps[-1]["end"] == len(data)
+
+
+def test_warc_page_on_two_payloads(spark):
+    a, b = "a" * 200, "b" * 200
+    rows = [(5, a), (7, a), (7, b), (None, a), (None, "c" * 200), (None, "c" * 200)]
+    got = collections.Counter((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in warc.round_trip(spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id bigint, url string, html string")).collect())
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    c = "c" * 200
+    assert got == collections.Counter([(5, sha(a), "response", None), (7, sha(a), "revisit", 5), (7, sha(b), "response", None), (None, sha(a), "revisit", 5), (None, sha(c), "response", None), (None, sha(c), "response", None)])
+
+
 def test_quality_classifier_held_out(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
