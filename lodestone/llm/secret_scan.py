@@ -23,7 +23,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, let
+from .common import ascii_lower, bounded, let
 
 
 class Rule(NamedTuple):
@@ -34,6 +34,7 @@ class Rule(NamedTuple):
 
 
 #: In the order in which kinds are listed. The first three are the fixed base kinds.
+MOST_BROADCAST = 1_000_000  # documents whose texts are looked up
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
@@ -167,7 +168,8 @@ def find_spans(text: Column, rule: Rule, order: int) -> Column:
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(doc_id, found): per row of documents its spans as an array of (start, ord, end, kind) by start and kind."""
-    some = cut(candidates(build_index(docs, vocabulary(rules)), rules), "candidates").withColumnRenamed("doc_id", "_id")
+    # texts stay where they are while their candidates are few
+    some = bounded(candidates(build_index(docs, vocabulary(rules)), rules).withColumnRenamed("doc_id", "_id"), MOST_BROADCAST)
     kind = "array<struct<start:int,ord:int,end:int,kind:string>>"
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.join(some, rows["doc_id"].eqNullSafe(some["_id"]), "left").drop("_id")
