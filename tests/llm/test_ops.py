@@ -101,6 +101,19 @@ def test_token_counts(spark, rows, docs, empty):
     assert token_counts.count_tokens(empty).count() == 0
 
 
+def test_token_counts_are_the_tokenizers(spark, rows, docs):
+    """Brute force: each text by the public vocabulary itself."""
+    import base64
+
+    import tiktoken
+
+    with open(f"{token_counts.TOKENIZERS}/{token_counts.VOCABULARY}", "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    own = tiktoken.Encoding("own", pat_str=token_counts.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = collections.Counter((i, len(own.encode_ordinary(t or ""))) for i, t, _ in rows)
+    assert counted(token_counts.count_tokens(docs).select("doc_id", "n_tokens")) == want
+
+
 def test_blocks_stitch(spark, tmp_path):
     import numpy as np
 
@@ -451,9 +464,31 @@ def test_splitting_tree_is_exact(spark):
     assert len(shards) == 16 and max(shards) - min(shards) <= 1
 
 
+def test_hypergeometric_draws_are_exact(spark):
+    """Small counts against all probabilities, large ones against mean and deviation."""
+    import math
+
+    n, q, m, draws = 50, 20, 25, 20_000
+    i = F.col("id")
+    got = collections.Counter(r.k for r in spark.range(draws).select(mixing._hypergeometric(F.lit(n), F.lit(q), F.lit(m), i).alias("k")).collect())
+    want = {k: draws * math.comb(q, k) * math.comb(n - q, m - k) / math.comb(n, m) for k in range(q + 1)}
+    some = [k for k in want if want[k] >= 20]
+    assert sum((got[k] - want[k]) ** 2 / want[k] for k in some) < 2.2 * len(some) and not set(got) - set(want)
+    n, q, m = 3_000_000_000, 900_000_000, 1_500_000_001
+    big = spark.range(draws).select(mixing._hypergeometric(F.lit(n), F.lit(q), F.lit(m), i).cast("double").alias("k")).agg(F.avg("k").alias("mean"), F.stddev("k").alias("sd")).first()
+    sd = math.sqrt(m * (q / n) * (1 - q / n) * (n - m) / (n - 1))
+    assert abs(big.mean - m * q / n) < 5 * sd / math.sqrt(draws) and abs(big.sd / sd - 1) < 0.03
+    for n, q, m, k in ((5, 5, 2, 2), (5, 0, 2, 0), (1, 1, 0, 0), (0, 0, 0, 0), (7, 3, 7, 3)):
+        assert spark.range(1).select(mixing._hypergeometric(F.lit(n), F.lit(q), F.lit(m), i).alias("k")).first().k == k
+
+
 def test_mixed_documents(docs):
     out = mixing.mixed_documents(docs)
     assert set(docs.columns) < set(out.columns) and out.count() > 0
+    first = counted(out)
+    assert first == counted(mixing.mixed_documents(docs.repartition(7))), "reruns agree, however the rows lie"
+    words = sum(len(WORD.findall(r.text or "")) for r in out.select("text").collect())
+    assert words == mixing.taken(docs).agg(F.sum("taken")).first()[0]
 
 
 def _removed(rows):
