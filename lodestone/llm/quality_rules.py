@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACE_RE, cut, let, window_hashes, words
+from .common import SPACE_RE, bounded, carried, cut, doc_key, let, window_hashes, words
 
 FEATURES = ("f_len", "f_sym", "f_div", "f_up", "f_dup")
 #: Standard deviations added to each feature: a group of equal texts still has a covariance.
@@ -28,6 +28,7 @@ STEPS = 3
 #: P(chi2_5 <= q) = 0.75 at q = 6.626; the fit of that ball is too narrow by this factor.
 CONSISTENCY = 1.41
 CUTOFF = 45.0  # squared distance; chi2 with 5 degrees exceeds it with p < 2e-8
+MOST_BROADCAST = 1_000_000  # rejected rows
 SHORT = 20  # words: the statistics of a text of n words count as n / (n + SHORT) certain
 MIN_GROUP = 40
 SALTS = 32  # parts in which a group's rows meet its fit
@@ -148,10 +149,14 @@ def fit_mcd(rows: DataFrame) -> DataFrame:
     return fit
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
-    """Per row of documents: doc_id, lang, source, the statistics, base_failed, distance (null where the
-    base rules fail), kept."""
-    stats = docs.select("doc_id", "lang", "source", text_statistics(F.col("text")).alias("s")).select("doc_id", "lang", "source", "s.*")
+def _row_key() -> Column:
+    """What a verdict depends on, beside the document's id."""
+    return F.xxhash64("text", "lang", "source")
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """Per row of documents: doc_id, copy, lang, source, the statistics, base_failed, distance, kept."""
+    stats = docs.select("doc_id", "lang", "source", _row_key().alias("copy"), text_statistics(F.col("text")).alias("s")).select("doc_id", "copy", "lang", "source", "s.*")
     rows = cut(with_features(stats), "quality")
     keys = {
         "g1": F.to_json(F.struct(F.lit(1).alias("level"), "lang", "source")),
@@ -167,14 +172,19 @@ def score_documents(docs: DataFrame) -> DataFrame:
     model = chosen.join(fits, "g").drop("g", "n")
     judged = rows.withColumn("g1", keys["g1"]).join(model, "g1", "left").withColumn("distance", F.when(~F.col("base_failed"), _squared_distance()))
     return judged.select(
-        "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",
+        "doc_id", "copy", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",
         (~F.col("base_failed") & (F.coalesce(F.col("distance") * F.col("n_words") / (F.col("n_words") + SHORT), F.lit(0.0)) <= CUTOFF)).alias("kept"),
     )
 
 
+def score_documents(docs: DataFrame) -> DataFrame:
+    """Per row of documents: doc_id, lang, source, the statistics, base_failed, distance (null where the
+    base rules fail), kept."""
+    return _judged(docs).drop("copy")
+
+
 def apply_rules(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their own columns. A doc_id that stands on several rows
-    stays if all of them do."""
-    out = score_documents(docs).groupBy(F.col("doc_id").alias("_kept_id")).agg(F.min(F.col("kept").cast("int")).alias("_kept"))
-    kept = out.where("_kept = 1").select("_kept_id")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """The rows of ``docs`` that the rules keep, with their own columns; each row by its own text, whatever else has its doc_id.
+    Rejected rows are looked up, which are fewer, so texts stay where they are while those fit a broadcast."""
+    gone = bounded(_judged(docs).where("not kept").select(doc_key(F.col("doc_id")).alias("doc"), "copy").distinct(), MOST_BROADCAST)
+    return carried(docs, doc=doc_key(F.col("doc_id")), copy=_row_key()).join(gone, ["doc", "copy"], "left_anti").select("row.*")
