@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RE, bounded, cut, let, window_hashes
+from .common import SPACE_RE, bounded, carried, cut, let, window_hashes
 
 WINDOW = 8
 LEAST = 5
@@ -157,6 +157,7 @@ def _of_sizes(lists: list[tuple[bool, int, str]]) -> Column:
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item."""
-    bad = bounded(find_leaks(docs, items).select(F.col("doc_id").alias("_leak")).distinct(), MOST_BROADCAST)
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_leak"]), "left_anti")
+    """The rows of ``docs`` that hold no benchmark item; each row by its own text, whatever else has its doc_id."""
+    key = F.xxhash64("doc_id", "text")
+    bad = bounded(find_leaks(docs.select(key.alias("doc_id"), "text"), items).select(F.col("doc_id").alias("key")).distinct(), MOST_BROADCAST)
+    return carried(docs, key=key).join(bad, "key", "left_anti").select("row.*")
