@@ -527,6 +527,58 @@ def test_suffix_array():
         assert len(keys) == len(d) and keys == sorted(keys)
 
 
+def _in_order(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+
+
+def test_pipeline_stage_by_stage(spark, tmp_path):
+    """Each stage on what its predecessor kept, against brute force; rows of null doc_id keep their own fate."""
+    import corpus_pipeline
+
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    item = "what is the largest river that flows through the northern plains of the old kingdom"
+    shared = text(25)
+    docs = [(i, text(60) + "\n" + text(20)) for i in range(24)]
+    docs += [(30, text(60) + "\n" + shared), (31, text(60) + "\n" + shared), (None, text(60)), (None, text(3)), (40, text(4)), (41, None), (42, ""), (43, " ".join(f"#{word().upper()}$$%{i}" for i in range(60)))]
+    near = text(90).split(" ")
+    broken = lambda k: " ".join(near[:k]) + "\n" + " ".join(near[k:])
+    docs += [(50, broken(45)), (51, broken(75) + " end"), (52, text(40) + " " + item + " " + text(40))]
+    own = spark.createDataFrame([(i, t, "en", f"s{(i or 0) % 2}", len(t or ""), "g") for i, t in docs], "doc_id bigint, text string, lang string, source string, n_chars bigint, _gone string")
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, own, str(tmp_path))
+        assert out.columns == own.columns
+        rows_in, rows_out = ([(x.doc_id, x.text) for x in df.collect()] for df in (own, out))
+        own = spark.createDataFrame(out.collect(), own.schema)
+        got[name] = rows_in, rows_out
+    rows_in, rows_out = got["quality rules"]
+    passed = [x for x in _in_order(rows_in) if len(WORD.findall(x[1] or "")) >= 10]
+    stats = quality_rules.with_features(spark.createDataFrame([(n, t) for n, (_, t) in enumerate(passed)], "n int, text string").select("n", quality_rules.text_statistics(F.col("text")).alias("s")).select("n", "s.*")).orderBy("n").collect()
+    far = _distances([[x[f] for f in quality_rules.FEATURES] for x in stats])
+    assert _in_order(rows_out) == [x for x, s, d in zip(passed, stats, far, strict=True) if d * s.n_words / (s.n_words + quality_rules.SHORT) <= quality_rules.CUTOFF]
+    assert 43 not in {i for i, _ in rows_out} and sum(i is None for i, _ in rows_out) == 1 and len(rows_out) >= 27
+    rows_in, rows_out = got["line dedup"]
+    gone = _gone_lines([(i if i is not None else 1 << 62, t) for i, t in rows_in], 1)
+    before, after = ({i if i is not None else 1 << 62: t.split("\n") for i, t in rows} for rows in (rows_in, rows_out))
+    lost = {i: len(x) - (len(after[i]) if any(after[i]) else 0) for i, x in before.items()}
+    assert {i: n for i, n in lost.items() if n} == gone and gone.get(31) == 1 and 51 not in gone
+    rows_in, rows_out = got["near copies"]
+    linked = _linked([(i, t, None) for i, t in rows_in], 5, 4, 5)
+    assert _in_order(rows_out) == _in_order([(i, t) for i, t in rows_in if i is None or linked[i][1] == i])
+    rows_in, rows_out = got["decontamination"]
+    assert _in_order(rows_out) == _in_order([(i, t) for i, t in rows_in if i != 52]) and len(rows_out) < len(rows_in)
+    mixed = corpus_pipeline.mixture(spark, own, str(tmp_path))
+    words = collections.Counter()
+    for x in mixed.collect():
+        words[x.source] += len(WORD.findall(x.text))
+    goal = {f"s{(x.doc_id or 0) % 2}": x.target for x in mixing.taken(own).collect()}
+    assert all(abs(words[s] - goal[s]) <= 80 for s in goal)
+    assert corpus_pipeline.quality(spark, own.limit(0), str(tmp_path)).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
