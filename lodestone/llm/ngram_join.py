@@ -156,27 +156,36 @@ def _sets(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     return sets.select("doc_id", "n", "k1", "k2", "prefix", "first", F.slice("others", 1, F.greatest(F.col("prefix") - F.size("first"), F.lit(0))).alias("more"))
 
 
+def _stars(postings: DataFrame) -> DataFrame:
+    """(a, b): each node of an element's list with the least of it."""
+    stars = postings.groupBy("el").agg(F.min("node").alias("b"), F.count("*").alias("k")).where("k > 1")
+    return postings.join(stars, "el").select(F.col("node").alias("a"), "b")
+
+
 def _dealt_anew(large: DataFrame, postings: DataFrame, links: DataFrame) -> DataFrame:
-    """(g1, g2, node, comp, els): groups in which members of clusters of several blocks meet those of other components.
-    Only members that share an element of their prefixes with another component take part."""
+    """(g1, g2, node, comp): groups in which members (node, n) of clusters of several blocks meet those of other
+    components. Only members that share an element of their prefixes with another component take part, in the
+    clusters that such elements alone make."""
     comps = cut(components(links), "components")
-    own = postings.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).select("node", "el", "comp")
+    own = postings.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).select("node", "el", "comp").join(large.select("node").distinct(), "node", "left_semi")
+    own = cut(own, "own", [comps])
     mixed = own.groupBy("el").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("el")
-    still = bounded(own.join(mixed, "el").select("node", "comp").distinct(), MOST_BROADCAST)
-    large = cut(large.join(still, "node"), "large", [comps, still])
-    per = large.groupBy("cluster", "comp").agg(F.count("*").alias("c_sets"), F.sum(F.size("els")).alias("c_els"))
+    still = cut(own.join(mixed, "el"), "open", [own])
+    finer = cut(components(_stars(still)).select("node", F.col("component").alias("cluster")), "finer")
+    large = cut(large.join(still.select("node", "comp").distinct(), "node").join(finer, "node"), "large", [still, finer])
+    per = large.groupBy("cluster", "comp").agg(F.count("*").alias("c_sets"), F.sum("n").alias("c_els"))
     per = per.withColumn("c_blocks", F.greatest(F.ceil(F.col("c_sets") / BLOCK_SETS), F.ceil(F.col("c_els") / BLOCK_ELEMENTS)))
     pure = (F.col("c_sets") * 2 >= BLOCK_SETS) | (F.col("c_els") * 2 >= BLOCK_ELEMENTS)
     per = per.withColumn("pure", F.when(pure, F.col("comp")))
     rest = per.where("pure is null").groupBy("cluster").agg(F.greatest(F.ceil(F.sum("c_sets") / BLOCK_SETS), F.ceil(F.sum("c_els") / BLOCK_ELEMENTS)).alias("r_blocks"))
     dealt = large.join(per.select("cluster", "comp", "pure", "c_blocks"), ["cluster", "comp"]).join(rest, "cluster", "left")
     slot = F.when(F.col("pure").isNull(), F.pmod(F.xxhash64("comp"), F.col("r_blocks"))).otherwise(F.pmod(F.xxhash64("node"), F.col("c_blocks")))
-    dealt = cut(dealt.select("cluster", "node", "comp", "els", "pure", F.concat_ws(":", F.coalesce(F.col("pure").cast("string"), F.lit("")), slot).alias("block")), "dealt", [large])
+    dealt = cut(dealt.select("cluster", "node", "comp", "pure", F.concat_ws(":", F.coalesce(F.col("pure").cast("string"), F.lit("")), slot).alias("block")), "dealt", [large])
     some = dealt.select("cluster", "block", "pure").distinct()
     left, right = some.toDF("cluster", "b1", "p1"), some.toDF("cluster", "b2", "p2")
     pairs = left.join(right, "cluster").where("b1 <= b2 and (p1 is null or p2 is null or p1 <> p2)")
     sides = pairs.select("cluster", "b1", "b2", F.explode(F.array_distinct(F.array("b1", "b2"))).alias("block"))
-    return sides.join(dealt, ["cluster", "block"]).select(F.concat_ws("|", "b1", "b2").alias("g2"), F.col("cluster").alias("g1"), "node", "comp", "els")
+    return cut(sides.join(dealt, ["cluster", "block"]).select(F.concat_ws("|", "b1", "b2").alias("g2"), F.col("cluster").alias("g1"), "node", "comp"), "groups", [dealt])
 
 
 def link(docs: DataFrame, shingle: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -187,22 +196,23 @@ def link(docs: DataFrame, shingle: int = 5, num: int = 4, den: int = 5) -> DataF
     keyed = classes.select(F.col("node").alias("_node"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
     reps = sets.join(keyed, (F.col("doc_id") == F.col("_node")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left_semi").withColumnRenamed("doc_id", "node").dropDuplicates(["node", "k1", "k2"])
     postings = cut(_postings(reps), "postings", [sets])
-    stars = postings.groupBy("el").agg(F.min("node").alias("b"), F.count("*").alias("k")).where("k > 1")
-    clusters = cut(components(postings.join(stars, "el").select(F.col("node").alias("a"), "b")).withColumnRenamed("component", "cluster"), "clusters")
-    sized = clusters.join(classes.groupBy("node").agg(F.max("n").alias("n")), "node").groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n").alias("elements"))
+    clusters = cut(components(_stars(postings)).withColumnRenamed("component", "cluster"), "clusters")
+    clusters = clusters.join(classes.groupBy("node").agg(F.max("n").alias("n")), "node")
+    sized = clusters.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n").alias("elements"))
     sized = sized.withColumn("blocks", F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("elements") / BLOCK_ELEMENTS)).cast("int"))
     held = bounded(clusters.join(sized, "cluster"), MOST_BROADCAST)
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(held, "node")  # texts stay where they are if the clusters' ids are few
-    members = cut(texts.select("node", "cluster", "sets", "blocks", shingle_set(F.col("text"), shingle).alias("els")), "members", [clusters, held])
+    members = cut(texts.select("node", "cluster", "n", "sets", "blocks", shingle_set(F.col("text"), shingle).alias("els")), "members", [held])
     # first round: blocks, each with the pivots of its cluster
     pivot = F.pmod(F.xxhash64(F.lit(3), "node"), F.greatest(F.floor(F.col("sets") / PIVOTS), F.lit(1))) == 0
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     at = F.when((F.col("blocks") > 1) & pivot, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
     links = cut(_search(members.select(F.col("cluster").alias("g1"), F.explode(at).alias("g2"), "node", F.col("node").alias("comp"), "els"), num, den), "links")
     # second round: clusters of several blocks, dealt by component
-    large = members.where("blocks > 1").select("cluster", "node", "els")
+    large = members.where("blocks > 1").select("node", "n").distinct()
     if not large.isEmpty():
-        links = cut(links.unionByName(_search(_dealt_anew(large, postings, links), num, den)), "links", [links])
+        groups = _dealt_anew(large, postings, links)
+        links = cut(links.unionByName(_search(groups.join(members.select("node", "els"), "node"), num, den)), "links", [links, groups])
     drop_cut(members)
     drop_cut(postings)
     joined = components(links)
