@@ -149,10 +149,13 @@ def fill(template: Column, **values: Column) -> Column:
 
 
 def bump_int(literal: Column) -> Column:
-    """A Rust integer literal plus one, suffix kept and underscores gone; null for floats and other bases."""
-    digits = F.regexp_replace(F.regexp_extract(literal, r"^([0-9][0-9_]*)(?:[iu](?:8|16|32|64|128|size))?$", 1), "_", "")
+    """A Rust integer literal plus one, of any length, suffix kept and underscores gone; null for floats and other bases."""
+    digits = F.regexp_replace(F.regexp_replace(F.regexp_extract(literal, r"^([0-9][0-9_]*)(?:[iu](?:8|16|32|64|128|size))?$", 1), "_", ""), "^0+(?=.)", "")
     suffix = F.regexp_extract(literal, r"([iu](?:8|16|32|64|128|size))$", 1)
-    return F.when(digits != "", F.concat((digits.cast("decimal(38,0)") + 1).cast("string"), suffix))
+    head = F.regexp_replace(digits, "9+$", "")
+    zeros = F.repeat(F.lit("0"), F.length(digits) - F.length(head))
+    raised = F.concat(F.left(head, F.length(head) - 1), (F.right(head, F.lit(1)).try_cast("int") + 1).cast("string"))
+    return F.when(digits != "", F.concat(F.when(head == "", "1").otherwise(raised), zeros, suffix))
 
 
 def first_changed_line(diff: Column) -> Column:

@@ -24,9 +24,10 @@ def compare_flip_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("page_id", "before", F.element_at(flips, F.col("before")).alias("after")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH f AS (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9]+')) AS n FROM documents) SELECT doc_id, n AS before, CAST(CAST(n AS HUGEINT) + 1 AS VARCHAR) AS after, count(*) AS sites FROM f WHERE length(n) <= 30 GROUP BY 1, 2, 3""")
+@query("""WITH f AS (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9]+')) AS n FROM documents), g AS (SELECT doc_id, n, CASE WHEN ltrim(n, '0') = '' THEN '0' ELSE ltrim(n, '0') END AS d FROM f), h AS (SELECT *, rtrim(d, '9') AS p FROM g)
+SELECT doc_id, n AS before, CASE WHEN length(d) <= 30 THEN CAST(CAST(d AS HUGEINT) + 1 AS VARCHAR) ELSE (CASE WHEN p = '' THEN '1' ELSE substr(p, 1, length(p) - 1) || (CAST(right(p, 1) AS INTEGER) + 1) END) || repeat('0', length(d) - length(p)) END AS after, count(*) AS sites FROM h GROUP BY 1, 2, 3""")
 def off_by_one_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = A.table(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0))).alias("before")).where(F.length("before") <= 30)
+    found = A.table(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0))).alias("before"))
     return found.groupBy("doc_id", "before", T.bump_int(F.col("before")).alias("after")).agg(F.count("*").alias("sites"))
 
 

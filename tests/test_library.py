@@ -89,7 +89,7 @@ def test_prompts(spark):
     assert one(spark, T.clean_prompts(text, 9)) == ["Of course it rains", "okay then", "quoted one"]
 
 
-@pytest.mark.parametrize("text,after", [("7u64", "8u64"), ("1_000i32", "1001i32"), ("0", "1"), ("1.5", None), ("0xFF", None), ("1e9", None)])
+@pytest.mark.parametrize("text,after", [("7u64", "8u64"), ("1_000i32", "1001i32"), ("0", "1"), ("0099", "100"), ("9" * 45, "1" + "0" * 45), ("1" * 44 + "9u8", "1" * 43 + "20u8"), ("1.5", None), ("0xFF", None), ("1e9", None)])
 def test_bump_int(spark, text, after):
     assert one(spark, T.bump_int(F.lit(text))) == after == locators._bumped(text)
 
