@@ -27,7 +27,7 @@ SHRINK_POOLED, SHRINK_DIAGONAL = 0.05, 0.05
 FLOOR = 0.02  # standard deviation added to each feature
 CUT = 0.7
 _BIN = 0.25  # of the histogram of log-density differences
-_MOST = 60.0
+_MOST = 60.0  # of the histogram alone; scores go on beyond
 
 
 def features(docs: DataFrame) -> DataFrame:
@@ -97,8 +97,8 @@ def fit(rows: DataFrame, labels: DataFrame) -> Column:
         c = (1 - SHRINK_POOLED) * cov[y] + SHRINK_POOLED * pooled
         c = (1 - SHRINK_DIAGONAL) * c + SHRINK_DIAGONAL * np.diag(np.diag(c))
         dens[y] = _log_density(mean[y], np.linalg.cholesky(c), math.log(n[y] / (n[0] + n[1])))
-    diff = F.greatest(F.least(dens[1] - dens[0], F.lit(_MOST)), F.lit(-_MOST))
-    counts = train.where("y in (0, 1)").groupBy(F.round(diff / _BIN).alias("b"), "y").agg(F.count("*").alias("k")).collect()
+    diff = dens[1] - dens[0]
+    counts = train.where("y in (0, 1)").groupBy(F.round(F.greatest(F.least(diff, F.lit(_MOST)), F.lit(-_MOST)) / _BIN).alias("b"), "y").agg(F.count("*").alias("k")).collect()
     a, b = _calibrate([(r["b"] * _BIN, r["y"], r["k"]) for r in counts])
     return 1 / (1 + F.exp(-(diff * a + b)))
 
