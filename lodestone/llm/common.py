@@ -83,8 +83,9 @@ def cut(df: DataFrame, name: str = "stage", spent: Iterable[DataFrame] = ()) ->
     out._lodestone_path = path
     for x in spent:
         drop_cut(x)
-    gc.collect()  # lets Spark's cleaner remove the shuffle files of what the table replaces
-    spark._jvm.System.gc()
+    if not spark.sparkContext.master.startswith("local["):
+        gc.collect()  # lets Spark's cleaner remove the shuffle files of what the table replaces, which fill executors' disks
+        spark._jvm.System.gc()
     return out
 
 
