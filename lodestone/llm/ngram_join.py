@@ -145,7 +145,7 @@ def _postings(reps: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     """Per row (doc_id, n, k1, k2, prefix, first, more): size and hashes of its set, the size of its prefix, the chosen part of
     its elements, and as many others as the prefix may need."""
-    part = max(2, int(den / (1.6 * (den - num)))) if den > num else 8
+    part = max(2, int(den / (1.25 * (den - num)))) if den > num else 8
     chosen = lambda h: F.pmod(h, F.lit(part)) == 0
     sets = docs.select("doc_id", shingle_set(F.col("text"), shingle).alias("els"))
     sets = sets.select("doc_id", F.element_at(F.transform(F.array("els"), lambda s: F.struct(
@@ -194,7 +194,11 @@ def link(docs: DataFrame, shingle: int = 5, num: int = 4, den: int = 5) -> DataF
     slim = cut(sets.select("doc_id", "n", "k1", "k2"), "slim")
     classes = cut(slim.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("node")), "classes")
     keyed = classes.select(F.col("node").alias("_node"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
-    reps = sets.join(keyed, (F.col("doc_id") == F.col("_node")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left_semi").withColumnRenamed("doc_id", "node").dropDuplicates(["node", "k1", "k2"])
+    reps = sets.join(keyed, (F.col("doc_id") == F.col("_node")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left_semi").withColumnRenamed("doc_id", "node")
+    # repeated rows are few: only their sets are moved to leave one of each
+    key = ["node", "k1", "k2"]
+    again = bounded(slim.withColumnRenamed("doc_id", "node").groupBy(*key).agg(F.count("*").alias("k")).where("k > 1").drop("k"), MOST_BROADCAST)
+    reps = reps.join(again, key, "left_anti").unionByName(reps.join(again, key, "left_semi").dropDuplicates(key))
     postings = cut(_postings(reps), "postings", [sets])
     clusters = cut(components(_stars(postings)).withColumnRenamed("component", "cluster"), "clusters")
     clusters = clusters.join(classes.groupBy("node").agg(F.max("n").alias("n")), "node")
