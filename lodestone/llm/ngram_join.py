@@ -34,6 +34,7 @@ BLOCK_SETS = 2048
 BLOCK_ELEMENTS = 1_500_000
 PIVOTS = 16
 MOST_BROADCAST = 1_000_000  # ids of documents whose texts are looked up
+ROOM = 0.15  # share of a set's elements that are counted beyond a prefix: sets that share less than it leave keep to elements of their own
 LONG_WEIGHT = 0.02  # of DivideSkip: how many lists count as long
 
 
@@ -145,7 +146,7 @@ def _postings(reps: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     """Per row (doc_id, n, k1, k2, prefix, first, more): size and hashes of its set, the size of its prefix, the chosen part of
     its elements, and as many others as the prefix may need."""
-    part = max(2, int(den / (1.25 * (den - num)))) if den > num else 8
+    part = round(1 / ((den - num) / den + ROOM))
     chosen = lambda h: F.pmod(h, F.lit(part)) == 0
     sets = docs.select("doc_id", shingle_set(F.col("text"), shingle).alias("els"))
     sets = sets.select("doc_id", F.element_at(F.transform(F.array("els"), lambda s: F.struct(
