@@ -48,6 +48,12 @@ def carried(df: DataFrame, **names: Column) -> DataFrame:
     return df.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in names.items()])
 
 
+def row_hash(df: DataFrame, seed: int) -> Column:
+    """A hash of all columns of a row; of maps, of their entries in order of keys."""
+    kinds = dict(df.dtypes)
+    return F.xxhash64(F.lit(seed), *[F.array_sort(F.map_entries(F.col(f"`{c}`"))) if kinds[c].startswith("map") else F.col(f"`{c}`") for c in df.columns])
+
+
 def doc_key(doc_id: Column) -> Column:
     """doc_id as a number to order by; null comes after all others."""
     return F.coalesce(doc_id.cast("bigint"), F.lit((1 << 63) - 1))

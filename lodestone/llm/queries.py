@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, suffix_dedup, token_counts, warc
+from . import decontaminate, hard_negatives, lexical_search, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, sharding, suffix_dedup, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +56,20 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_line_dedup, op4_ngram_join, op5_warc, op6_quality_classifier, op7_quality_rules, op8_decontamination, op9_mixing, op10_suffix_dedup)}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.place(_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "curve")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_line_dedup, op4_ngram_join, op5_warc, op6_quality_classifier, op7_quality_rules, op8_decontamination, op9_mixing, op10_suffix_dedup, op11_hard_negatives, op12_lexical_search, op13_sharding)}
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
