@@ -96,21 +96,22 @@ def completion(diff: Column) -> Column:
     return F.concat(F.lit(PATCH_OPEN + "\n"), diff, F.when(F.endswith(diff, F.lit("\n")), "").otherwise("\n"), F.lit(PATCH_CLOSE + "\n"))
 
 
+def _trimmed(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def clean_query(answer: Column) -> Column:
-    """One query line of a chat answer: fences, backticks and semicolons go; a line that starts with ``from`` wins."""
-    bare = F.transform(F.split(F.regexp_replace(answer, r"```[a-zA-Z]*", "\n"), "\n"), lambda x: F.regexp_replace(F.regexp_replace(x, "^[\\s`;]+", ""), "[\\s`;]+$", ""))
-    some = F.filter(bare, lambda x: x != "")
-    return F.coalesce(F.try_element_at(F.filter(some, lambda x: F.rlike(x, F.lit("(?i)^from "))), F.lit(1)), F.try_element_at(some, F.lit(1)), F.lit(""))
+    """One query line of a chat answer. Backticks around the answer and around a line go, then a line's semicolons; the first line that
+    starts with ``from`` wins, or else the first line."""
+    ticks = lambda x: F.regexp_replace(_trimmed(x), "^`+|`+$", "")
+    bare = F.transform(F.split(_trimmed(ticks(answer)), "\r?\n"), lambda x: _trimmed(F.regexp_replace(ticks(x), ";+$", "")))
+    return F.coalesce(F.try_element_at(F.filter(bare, lambda x: F.rlike(x, F.lit("(?i)^from "))), F.lit(1)), F.element_at(bare, 1))
 
 
 def strip_list_marker(line: Column) -> Column:
     return F.regexp_replace(line, r"^\s*(?:[-*•] |[0-9]+[.)] )", "")
 
 
-def _trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-
-
 def clean_prompts(text: Column, want: int) -> Column:
     """Up to ``want`` prompts of a list answer: no markers, quotes, short lines, headings or narration."""
     unquoted = lambda x: F.regexp_replace(F.regexp_replace(_trimmed(x), '^"+|"+$', ""), "^'+|'+$", "")

@@ -12,12 +12,16 @@ import io
 import re
 import sys
 import tokenize
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.operators.rust_syntax import ParseError, Reader
+
 SITE = "struct<operator:string,start_byte:bigint,end_byte:bigint,before:string,after:string,line:bigint,context:string,scope:string,severity:string>"
 #: Token edits of Python sources.
 FLIPS = {"<": "<=", "<=": "<", ">": ">=", ">=": ">", "==": "!=", "!=": "=="}
@@ -121,76 +125,49 @@ def python_sites(data: bytes) -> tuple[list[dict], int, str | None]:
 RUST_FLIPS = {"<": "<=", "<=": "<", ">": ">=", ">=": ">", "==": "!=", "!=": "=="}
 RUST_AUGMENTED = {"+=": "-=", "-=": "+=", "|=": "&=", "&=": "|="}
 RUST_BOOLEANS = {"&&": "||", "||": "&&"}
-_RUST = re.compile(
-    rb"(?P<skip>//[^\n]*|/\*.*?\*/|b?r(?P<h>#*)\".*?\"(?P=h)|b?\"(?:\\.|[^\"\\])*\"|b?'(?:\\.[^']*|[^'\\])'|'[A-Za-z_]\w*)"
-    rb"|(?P<word>[A-Za-z_]\w*)|(?P<num>[0-9][0-9A-Za-z_]*(?:\.[0-9][0-9A-Za-z_]*)?)|(?P<op><<=|>>=|<=|>=|==|!=|\+=|-=|\|=|&=|&&|\|\||->|=>|<<|>>|[<>])|(?P<brace>[{}])|(?P<attr>#!?\[[^\]]*\])",
-    re.S,
-)
-
-
 def _bumped(text: str) -> str | None:
-    m = re.fullmatch(r"([0-9][0-9_]*)((?:[iu](?:8|16|32|64|128|size))?)", text)
+    m = re.fullmatch(r"([0-9][0-9_]*)((?:[iu]\w*)?)", text)
     return str(int(m[1].replace("_", "")) + 1) + m[2] if m else None
 
 
 def rust_sites(data: bytes) -> tuple[list[dict], int, str | None, int]:
-    """(sites, refused, error, excluded test bytes) of a Rust source, by tokens.
+    """(sites, refused, error, excluded test bytes) of a Rust source, by syntax.
 
-    ``<`` and ``>`` count as comparisons only with a space on both sides, and ``||`` and ``&&`` too, which leaves
-    generics, closures and references alone at some loss of sites. Items under ``#[test]`` or a ``cfg`` that names test are
-    skipped and their bytes summed."""
+    Refused are integers that can't be raised, as those of other bases. Modules and functions under a ``cfg`` that names test are
+    skipped and their bytes summed, attributes included."""
     try:
-        data.decode("utf-8")
+        text = data.decode("utf-8")
     except UnicodeDecodeError as e:
-        return [], 0, str(e), 0
-    out, refused, excluded, depth, skip_from, pending = [], 0, 0, 0, None, None
-    names: list[tuple[int, str]] = []
-    last_fn: str | None = None
-    for m in _RUST.finditer(data):
-        kind, start, end = m.lastgroup, m.start(), m.end()
-        if m["skip"] is not None:
-            continue
-        token = m[0].decode()
-        if m["attr"] is not None:
-            if re.fullmatch(r"(?s)#\[\s*(?:cfg\s*\(.*test.*\)|test)\s*\]", token) and skip_from is None:
-                pending = start
-            continue
-        if m["brace"] is not None:
-            if token == "{":
-                depth += 1
-                if pending is not None and skip_from is None:
-                    skip_from = (pending, depth)
-                    pending = None
-                if last_fn:
-                    names.append((depth, last_fn))
-                    last_fn = None
-            else:
-                if skip_from and depth == skip_from[1]:
-                    excluded += end - skip_from[0]
-                    skip_from = None
-                if names and names[-1][0] == depth:
-                    names.pop()
-                depth -= 1
-            continue
-        if kind == "word":
-            if re.search(rb"\bfn\s+$", data[max(0, start - 16) : start]):
-                last_fn = token
-        if skip_from or pending is not None:
-            continue
-        spaced = data[start - 1 : start] in (b" ", b"\n") and data[end : end + 1] in (b" ", b"\n")
-        edit = None
-        if kind == "op" and spaced:
-            edit = ("compare_flip", RUST_FLIPS[token]) if token in RUST_FLIPS else ("augassign_flip", RUST_AUGMENTED[token]) if token in RUST_AUGMENTED else ("boolop_swap", RUST_BOOLEANS[token]) if token in RUST_BOOLEANS else None
-        elif kind == "word" and token in ("true", "false"):
-            edit = ("constant_perturb", "false" if token == "true" else "true")
-        elif kind == "num" and "." not in token:
-            after = _bumped(token)
+        return [], 0, f"not utf-8: {e}", 0
+    out, refused, rows = [], 0, text.split("\n")
+    begins = [0]
+    for r in rows:
+        begins.append(begins[-1] + len(r) + 1)
+    # syntax has places in characters: bytes before them are counted in UTF-8
+    place = (lambda at: at) if text.isascii() else list(accumulate((len(c.encode()) for c in text), initial=0)).__getitem__
+
+    def found(what: str, start: int, end: int, scope: str) -> None:
+        nonlocal refused
+        before, after = text[start:end], None
+        if what == "int":
+            after = _bumped(before)
             refused += after is None
-            edit = ("off_by_one", after) if after else None
-        if edit:
-            line = data.count(b"\n", 0, start) + 1
-            context = data[data.rfind(b"\n", 0, start) + 1 :].split(b"\n", 1)[0].decode().strip()
-            out.append({"operator": edit[0], "start_byte": start, "end_byte": end, "before": token, "after": edit[1], "line": line, "context": context, "scope": names[-1][1] if names else "", "severity": "silent"})
+        elif what == "bool":
+            after = "false" if before == "true" else "true"
+        operator = {"int": "off_by_one", "bool": "constant_perturb"}.get(what)
+        for name, edits in (("compare_flip", RUST_FLIPS), ("boolop_swap", RUST_BOOLEANS), ("augassign_flip", RUST_AUGMENTED)):
+            if what in edits:
+                operator, after = name, edits[what]
+        if after:
+            line = bisect_right(begins, start)
+            out.append({"operator": operator, "start_byte": place(start), "end_byte": place(end), "before": before, "after": after, "line": line, "context": rows[line - 1].strip(), "scope": scope, "severity": "silent"})
+
+    try:
+        reader = Reader(text, found)
+        reader.file()
+    except (ParseError, RecursionError) as e:
+        return [], 0, f"parse error: {e}", 0
+    excluded = sum(place(end) - place(start) for start, end in reader.excluded)
     return sorted(out, key=lambda s: (s["start_byte"], s["operator"])), refused, None, excluded
 
 
@@ -220,4 +197,15 @@ def sites_of(located: DataFrame) -> DataFrame:
     return located.select("file", "sha256", F.explode("candidates").alias("c")).select("file", "sha256", "c.*")
 
 
+def report(located: DataFrame) -> DataFrame:
+    """Per file: candidates, refused, error, excluded (bytes of test code), and operators, the names of those that it has, in order."""
+    names = F.array_sort(F.array_distinct(F.transform("candidates", lambda c: c["operator"])))
+    return located.select("file", F.size("candidates").cast("bigint").alias("candidates"), "refused", "error", F.col("excluded_test_bytes").alias("excluded"), names.alias("operators"))
+
+
+def totals(located: DataFrame) -> DataFrame:
+    """One row of a run: files, failed, candidates, refused, excluded."""
+    return report(located).agg(F.count("*").alias("files"), F.count("error").alias("failed"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("candidates", "refused", "excluded")])
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.operators import routing, sampling
+from lodestone.operators import pair_samples, routing, sampling
 from lodestone.plans import adapters as A
 from lodestone.plans.registry import query
 
@@ -71,9 +71,49 @@ def pair_affinity_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _across(spark, sf_dir).groupBy("affinity").agg(F.count("*").alias("n"), hit.alias("killed"), (hit * 100.0 / F.greatest(F.count("*"), F.lit(1))).alias("pct"))
 
 
-@query()
+_2_64 = "18446744073709551616::UHUGEINT"
+
+
+def _drawn(rows: str, seed: int, below: str) -> str:
+    """SQL of ``rows`` (n, ...) with draw, the generator's draw number n modulo ``below``, by wide integers."""
+    return f"""(SELECT * EXCLUDE (z), CAST(xor(z, z // 2147483648) % {below} AS BIGINT) AS draw FROM (SELECT * REPLACE ((xor(z, z // 134217728) * 10723151780598845931::UHUGEINT) % {_2_64} AS z) FROM
+ (SELECT * REPLACE ((xor(z, z // 1073741824) * 13787848793156543929::UHUGEINT) % {_2_64} AS z) FROM (SELECT *, ({seed}::UHUGEINT + (n + 2)::UHUGEINT * 11400714819323198485::UHUGEINT) % {_2_64} AS z FROM {rows}))))"""
+
+
+@query(f"""WITH {A.TRIALS}, p AS (SELECT a.id, b.id AS b_id, row_number() OVER (ORDER BY a.id) - 1 AS n FROM trial a JOIN trial b ON b.id = a.id + 1 AND a.file <> b.file) SELECT id, b_id FROM {_drawn("p", 42, "4")} WHERE draw = 0""")
 def cross_file_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One in four of the cross-file pairs of consecutive trials, by addressed draws."""
     t = A.trials(spark, sf_dir).select("id", "file")
     n = t.select((F.col("id") - 1).alias("id"), F.col("id").alias("b_id"), F.col("file").alias("b_file"))
     return sampling.cross_file_draws(t.join(n, "id").where("file <> b_file").select("id", "b_id"), 42, ["id"])
+
+
+#: Few trials share a file here, so that the later passes of a sample have something to do.
+_WANT, _SEED, _CROSS_PCT = 8000, 42, 10
+_SPREAD = f"""{A.TRIALS}, t AS (SELECT id, 'm' || (id % 3001) AS file, CAST(id // 3001 % 2 AS VARCHAR) AS scope, start_byte, operator, verdict FROM trial), a AS (SELECT * FROM t WHERE verdict IN ('FAILED', 'TIMEOUT')), b AS (SELECT * FROM t WHERE verdict = 'SURVIVED')"""
+
+
+def _spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = A.trials(spark, sf_dir)
+    return t.withColumns({"file": F.concat(F.lit("m"), F.col("id") % 3001), "scope": (F.expr("id div 3001") % 2).cast("string")})
+
+
+@query(f"""WITH {_SPREAD},
+near AS (SELECT a.id AS a_id, b.id AS b_id, CASE WHEN a.scope = b.scope THEN 'same-scope' ELSE 'same-file' END AS affinity, {_KEY} AS key FROM a JOIN b ON a.file = b.file AND a.start_byte <> b.start_byte),
+once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY affinity = 'same-file', a_id, b_id) AS c FROM near) WHERE c = 1),
+ones AS (SELECT *, row_number() OVER (ORDER BY affinity = 'same-file', a_id, b_id) AS nth FROM once), taken AS (SELECT * FROM ones WHERE nth <= {_WANT}),
+budget AS (SELECT least({_WANT} * {_CROSS_PCT} // 100, {_WANT} - count(*)) AS most, count(*) AS n FROM taken),
+own AS (SELECT a.*, (SELECT count(*) FROM b) - coalesce(s.n, 0) AS others FROM a LEFT JOIN (SELECT file, count(*) AS n FROM b GROUP BY file) s ON s.file = a.file), based AS (SELECT *, sum(others) OVER (ORDER BY id) - others AS base FROM own),
+-- the pairs wanted are among the first draws: killers far behind them are left out of this product
+x AS (SELECT a.id AS a_id, b.id AS b_id, {_KEY} AS key, row_number() OVER (ORDER BY a.id, b.id) - 1 AS n FROM based a JOIN b ON a.file <> b.file WHERE a.base < 64 * (SELECT most FROM budget)),
+hit AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n) AS c FROM {_drawn("x", _SEED, "4")} WHERE draw = 0), far AS (SELECT a_id, b_id, row_number() OVER (ORDER BY n) AS c FROM hit WHERE c = 1)
+SELECT a_id, b_id, affinity, nth FROM taken UNION ALL SELECT a_id, b_id, 'cross-file', n + c FROM far, budget WHERE c <= most""")
+def pair_sample_killers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of killer and survivor pairs in full, with the drawn pairs across files."""
+    return pair_samples.sample(_spread(spark, sf_dir), _WANT, _SEED, _CROSS_PCT, "killer-survivor").select("a_id", "b_id", "affinity", F.col("nth").cast("bigint").alias("nth"))
+
+
+@query()
+def pair_sample_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of survivor pairs in full. Its random passes are a loop whose tries take one draw or three: a test runs that loop."""
+    return pair_samples.sample(_spread(spark, sf_dir), 2000, _SEED, _CROSS_PCT, "survivors").select("a_id", "b_id", "affinity", "nth")

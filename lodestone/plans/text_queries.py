@@ -110,7 +110,7 @@ _LIST = "'Sure, here they are:' || chr(10) || 'Heading:' || chr(13) || chr(10) |
 
 
 @query(f"""WITH c AS (SELECT conv_id, turn, {_LIST} AS t FROM (SELECT conv_id, turn, regexp_replace(text, '[^a-zA-Z ]', '', 'g') AS text FROM conversations)),
-l AS (SELECT conv_id, turn, list_transform(string_split(t, chr(10)), lambda x: regexp_replace(trim(regexp_replace(trim(replace(x, chr(13), '')), '^\\s*(?:[-*•] |[0-9]+[.)] )', '')), '^["'']+|["'']+$', '', 'g')) AS l FROM c)
+l AS (SELECT conv_id, turn, list_transform(string_split(t, chr(10)), lambda x: trim(trim(trim(trim(regexp_replace(trim(replace(x, chr(13), '')), '^\\s*(?:[-*•] |[0-9]+[.)] )', '')), '"'), ))) AS l FROM c)
 SELECT conv_id, turn, array_to_string(list_slice(list_filter(l, lambda x: strlen(x) >= 4 AND NOT ends_with(x, ':') AND NOT regexp_matches(x, '(?i)^(?:here are|sure|certainly)')), 1, 3), '|') AS prompts FROM l""")
 def clean_prompt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = A.table(spark, sf_dir, "conversations").withColumn("text", F.regexp_replace("text", "[^a-zA-Z ]", ""))
@@ -127,16 +127,26 @@ def match_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.concat(F.lit("from t"), F.col("turn").cast("string"))
     told = lambda *parts: F.concat(*[q if x is None else F.lit(x) for x in parts])
     texts = (
-        told("2. ", None, " a\n1) `", None, " b`;"), told(None, " x\n", None, " y;\n", None, " z"), told(None, " x\n", None),
+        told("2. ", None, " a\n1) `", None, " b;`"), told(None, " x\n", None, " y;\n", None, " z"), told(None, " x\n", None),
         told("Here you go:\n- ", None, " x\n", None, " y\n* ", None, " z\nthat is all"), told("1. ", None, " a\n1. ", None, " b"), told(None, " a\n2. ", None, " n\n", None, " b\n9. ", None, " c"),
     )
     text = F.element_at(F.array(*texts), (F.col("conv_id") % 6 + 1).cast("int"))
     return A.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(T.match_answers(text, 3), "|").alias("answers"))
 
 
-@query("""SELECT conv_id, turn, 'from t' || turn || ' where a = 1' AS q FROM conversations""")
+#: Answers of several shapes, dealt by conversation: what a chat model says ({q} is its query), and the query that counts.
+_ANSWERS = (
+    ("Here you go:\n```sql\n{q};\n```\n", "{q}"), ("```{q}```", "{q}"), ("`{q};`", "{q}"), ("  {q} ;; \r\nthanks", "{q}"), ("no idea;\nsorry", "no idea"), ("", ""),
+    ("`x`\n`FROM {q}`;", "FROM {q}`"), ("```sql\nselect 1\n```", "sql"),
+)
+_TOLD = "['" + "', '".join(a.replace("{q}", "<q>") for _, a in _ANSWERS) + "']"
+
+
+@query(f"""SELECT conv_id, turn, replace(list_extract({_TOLD}, conv_id % {len(_ANSWERS)} + 1), '<q>', 'from t' || turn || ' where a = 1') AS q FROM conversations""")
 def clean_query_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answer = F.concat(F.lit("Here you go:\n```sql\nfrom t"), F.col("turn").cast("string"), F.lit(" where a = 1;\n```\n"))
+    """The query in fenced, quoted, narrated and empty answers, and in those without one."""
+    told = F.element_at(F.array(*[F.lit(x) for x, _ in _ANSWERS]), (F.col("conv_id") % len(_ANSWERS) + 1).cast("int"))
+    answer = F.replace(told, F.lit("{q}"), F.concat(F.lit("from t"), F.col("turn").cast("string"), F.lit(" where a = 1")))
     return A.table(spark, sf_dir, "conversations").select("conv_id", "turn", T.clean_query(answer).alias("q"))
 
 
@@ -218,6 +228,50 @@ def locate_rust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return locators.sites_of(locators.locate(_sources(spark, sf_dir, "rust"), "rust")).select(*_SITE)
 
 
+#: Rust sources of several shapes, dealt by key: (source, sites, refused, text of the excluded items).
+_HIDDEN = "#[cfg(all(test, unix))]\nmod t { fn g() { let a = 1 < 2; } }\n"
+_SHAPES = (
+    ("#[cfg(test)]\nuse a::b;\nfn f_{k}(x: u8)->bool{x<{n}&&!y}\n", (
+        ("compare_flip", "#[cfg(test)]\nuse a::b;\nfn f_{k}(x: u8)->bool{x", "<", "<=", 3), ("off_by_one", "#[cfg(test)]\nuse a::b;\nfn f_{k}(x: u8)->bool{x<", "{n}", "{m}", 3),
+        ("boolop_swap", "#[cfg(test)]\nuse a::b;\nfn f_{k}(x: u8)->bool{x<{n}", "&&", "||", 3)), 0, ""),
+    ("/// é\nimpl<T: Fn(u8) -> bool> S<T> {\n  fn f_{k}(&self) -> Vec<Vec<u8>> { let c = |a: &u8| a>&0xFF; self.0.1|=Vec::<u8>::new(); vec![1 < 2] }\n}\n", (
+        ("compare_flip", "/// é\nimpl<T: Fn(u8) -> bool> S<T> {\n  fn f_{k}(&self) -> Vec<Vec<u8>> { let c = |a: &u8| a", ">", ">=", 3),
+        ("augassign_flip", "/// é\nimpl<T: Fn(u8) -> bool> S<T> {\n  fn f_{k}(&self) -> Vec<Vec<u8>> { let c = |a: &u8| a>&0xFF; self.0.1", "|=", "&=", 3)), 1, ""),
+    (_HIDDEN + "fn f_{k}(x: u64) -> u64 { match x { {n}u64 => 1.5, _ if x as usize + 1 == y => 1e9, } }\n", (
+        ("off_by_one", _HIDDEN + "fn f_{k}(x: u64) -> u64 { match x { ", "{n}u64", "{m}u64", 3), ("off_by_one", _HIDDEN + "fn f_{k}(x: u64) -> u64 { match x { {n}u64 => 1.5, _ if x as usize + ", "1", "2", 3),
+        ("compare_flip", _HIDDEN + "fn f_{k}(x: u64) -> u64 { match x { {n}u64 => 1.5, _ if x as usize + 1 ", "==", "!=", 3)), 0, _HIDDEN[:-1]),
+    ("fn f_{k}() { if a { b(true) } else { || false } ; let v: [u8; {n}] = \"x < 1\"; }\nfn g() { '('; }\n", (
+        ("constant_perturb", "fn f_{k}() { if a { b(", "true", "false", 1), ("constant_perturb", "fn f_{k}() { if a { b(true) } else { || ", "false", "true", 1),
+        ("off_by_one", "fn f_{k}() { if a { b(true) } else { || false } ; let v: [u8; ", "{n}", "{m}", 1)), 0, ""),
+    ("fn f_{k}( { x < {n} }\n", (), 0, ""),
+)
+
+
+def _rust_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filled = lambda x: F.replace(F.replace(F.lit(x), F.lit("{k}"), F.col("p_partkey").cast("string")), F.lit("{n}"), F.col("p_size").cast("string"))
+    body = F.element_at(F.array(*[filled(x) for x, _, _, _ in _SHAPES]), (F.col("p_partkey") % len(_SHAPES) + 1).cast("int"))
+    return A.table(spark, sf_dir, "part").select(F.concat(F.lit("src/p"), F.col("p_partkey").cast("string")).alias("file"), body.cast("binary").alias("content"))
+
+
+def _part(i: int) -> str:
+    return f" WHERE p_partkey % {len(_SHAPES)} = {i}"
+
+
+@query(" UNION ALL ".join(" UNION ALL ".join(x + _part(i) for x in _sites("", sites).split(" UNION ALL ")) for i, (_, sites, _, _) in enumerate(_SHAPES) if sites))
+def locate_rust_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites by syntax: no spaces around operators, generics, closures, attributes of other items, macros, and a file that doesn't parse."""
+    return locators.sites_of(locators.locate(_rust_shapes(spark, sf_dir), "rust")).select(*_SITE)
+
+
+@query(" UNION ALL ".join(
+    f"SELECT 'src/p' || p_partkey AS file, CAST({len(sites)} AS BIGINT) AS candidates, CAST({refused} AS BIGINT) AS refused, {not sites} AS failed, CAST({len(hidden.encode())} AS BIGINT) AS excluded, '{','.join(sorted({x[0] for x in sites}))}' AS operators FROM part{_part(i)}"
+    for i, (_, sites, refused, hidden) in enumerate(_SHAPES)))
+def locate_rust_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per file what was found, refused, excluded as test code, and which operators it has."""
+    r = locators.report(locators.locate(_rust_shapes(spark, sf_dir), "rust"))
+    return r.select("file", "candidates", "refused", F.col("error").isNotNull().alias("failed"), "excluded", F.array_join("operators", ",").alias("operators"))
+
+
 @query("SELECT count(*) AS texts, count(*) AS applied, count(*) AS reversed FROM documents")
 def hunk_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A diff of each text and an edit of it leads there and back."""

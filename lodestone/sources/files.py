@@ -7,6 +7,7 @@ import os
 import re
 import tempfile
 import time
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,13 @@ def shared_folder(spark: SparkSession) -> str:
     return "file://" + tempfile.mkdtemp(prefix="lodestone-")
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table in the shared folder and read from there: what it was when it was written, whatever is lost later."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scan(spark: SparkSession, root: str, extension: str, exclude: tuple[str, ...] = ()) -> DataFrame:
     """(file, content) of files below ``root``, by path relative to it. Skipped folders and excluded needles are left out by
     path; Spark reads the files before it drops them."""
