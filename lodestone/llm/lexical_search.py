@@ -80,6 +80,9 @@ def bisection_tree(sets: list, depth: int = DEPTH):
     def split(node: int, own: list) -> None:
         if node >= len(tree) or len(own) < 2:
             return
+        # halves by a random projection at first: like documents begin together, and swaps don't just exchange two equal halves
+        near = np.argsort(spread(own, np.random.default_rng(node).choice([-1.0, 1.0], BUCKETS)), kind="stable")
+        own = [own[i] for i in near]
         left, right = own[: len(own) // 2], own[len(own) // 2 :]
         degree = lambda side: np.bincount(np.concatenate([sets[i] for i in side]), minlength=BUCKETS).astype(float)
         for _ in range(SWEEPS):

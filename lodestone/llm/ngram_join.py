@@ -16,7 +16,8 @@
 
 Defined cases: null or empty texts have no set and link with nothing; texts with fewer words than a shingle have
 their whole sequence as one; repeated rows link; a doc_id that stands on rows with different texts links them;
-a null doc_id takes its class's component; extra columns are ignored by ``link`` and carried by ``drop_linked``.
+rows of null doc_id take part as one document per set, and have
+the component of what they link with (null, if no row there has a doc_id); doc_ids are below 2 ** 62; extra columns are ignored by ``link`` and carried by ``drop_linked``.
 """
 
 from __future__ import annotations
@@ -189,16 +190,23 @@ def _dealt_anew(large: DataFrame, postings: DataFrame, links: DataFrame) -> Data
     return cut(sides.join(dealt, ["cluster", "block"]).select(F.concat_ws("|", "b1", "b2").alias("g2"), F.col("cluster").alias("g1"), "node", "comp"), "groups", [dealt])
 
 
+NAMELESS = 1 << 62  # nodes from here on stand for sets of rows without a doc_id
+
+
+def _node(doc_id: Column, k1: Column) -> Column:
+    return F.coalesce(doc_id.cast("bigint"), k1.bitwiseAND(F.lit(NAMELESS - 1)).bitwiseOR(F.lit(NAMELESS)))
+
+
 def link(docs: DataFrame, shingle: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """Per row of documents: doc_id, n_shingles, component_id, for links of num/den similarity or more."""
-    sets = cut(_sets(docs, shingle, num, den), "sets")
-    slim = cut(sets.select("doc_id", "n", "k1", "k2"), "slim")
-    classes = cut(slim.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("node")), "classes")
+    sets = cut(_sets(docs, shingle, num, den).withColumn("node", _node(F.col("doc_id"), F.col("k1"))), "sets")
+    slim = cut(sets.select("doc_id", "node", "n", "k1", "k2"), "slim")
+    classes = cut(slim.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("node").alias("node")), "classes")
     keyed = classes.select(F.col("node").alias("_node"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
-    reps = sets.join(keyed, (F.col("doc_id") == F.col("_node")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left_semi").withColumnRenamed("doc_id", "node")
+    reps = sets.drop("doc_id").join(keyed, (F.col("node") == F.col("_node")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left_semi")
     # repeated rows are few: only their sets are moved to leave one of each
     key = ["node", "k1", "k2"]
-    again = bounded(slim.withColumnRenamed("doc_id", "node").groupBy(*key).agg(F.count("*").alias("k")).where("k > 1").drop("k"), MOST_BROADCAST)
+    again = bounded(slim.groupBy(*key).agg(F.count("*").alias("k")).where("k > 1").drop("k"), MOST_BROADCAST)
     reps = reps.join(again, key, "left_anti").unionByName(reps.join(again, key, "left_semi").dropDuplicates(key))
     postings = cut(_postings(reps), "postings", [sets])
     clusters = cut(components(_stars(postings)).withColumnRenamed("component", "cluster"), "clusters")
@@ -206,7 +214,8 @@ def link(docs: DataFrame, shingle: int = 5, num: int = 4, den: int = 5) -> DataF
     sized = clusters.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n").alias("elements"))
     sized = sized.withColumn("blocks", F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("elements") / BLOCK_ELEMENTS)).cast("int"))
     held = bounded(clusters.join(sized, "cluster"), MOST_BROADCAST)
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(held, "node")  # texts stay where they are if the clusters' ids are few
+    own = _node(F.col("doc_id"), F.xxhash64(shingle_set(F.col("text"), shingle)))
+    texts = docs.select(own.alias("node"), "text").join(held, "node")  # texts stay where they are if the clusters' ids are few
     members = cut(texts.select("node", "cluster", "n", "sets", "blocks", shingle_set(F.col("text"), shingle).alias("els")), "members", [held])
     # first round: blocks, each with the pivots of its cluster
     pivot = F.pmod(F.xxhash64(F.lit(3), "node"), F.greatest(F.floor(F.col("sets") / PIVOTS), F.lit(1))) == 0
@@ -223,7 +232,8 @@ def link(docs: DataFrame, shingle: int = 5, num: int = 4, den: int = 5) -> DataF
     joined = components(links)
     found = classes.join(joined, "node", "left").groupBy("k1", "k2").agg(F.min(F.coalesce("component", "node")).alias("c"))
     out = slim.join(found.withColumnsRenamed({"k1": "_k1", "k2": "_k2"}), (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")) & (F.col("n") > 0), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
+    named = F.when(F.col("c") < NAMELESS, F.col("c"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(named, "doc_id").alias("component_id"))
 
 
 def drop_linked(docs: DataFrame, shingle: int = 5, num: int = 4, den: int = 5) -> DataFrame:

@@ -5,8 +5,8 @@ revisited. ``read_archives`` streams each file, compressed by member or plain, a
 digests. After a failed check it searches for the next gzip member or version line that starts a valid record, goes on
 from there, and reports the bytes between as a quarantined gap. Members are inflated by chunks: of a member of several
 records, those are given that others follow, and damage inside is searched for the next version line first; the
-last record of a member that ends badly stays quarantined. A reader holds one record and some chunks in memory. A header over
-1 MiB counts as damage.
+last record of a member that ends badly stays quarantined. A reader holds one record and some chunks in memory. A header
+may have any length; one that holds a control byte or another version line before its end is damage.
 
 Defined cases: null html is an empty payload; null url has a placeholder URI; null page_id comes back as null, and revisits
 the smallest page_id of its payload, if any; a page_id on several payloads is a page of each; repeated
@@ -17,6 +17,7 @@ columns are ignored; an empty table has no archive.
 from __future__ import annotations
 
 import hashlib
+import re
 import sys
 import zlib
 from collections.abc import Iterator
@@ -70,7 +71,7 @@ def make_record(page_id: int | None, url: str | None, payload: bytes, refers_to:
     digest = hashlib.sha256(payload).hexdigest()
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
-    uri = "".join((url or "").split()) or "urn:unknown"
+    uri = "".join(f"%{ord(c):02X}" if c < " " else c for c in "".join((url or "").split())) or "urn:unknown"
     head = [
         "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id)}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {uri}",
         f"WARC-Payload-Digest: sha256:{digest}", f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
@@ -138,11 +139,18 @@ class _Stream:
                 return None
 
 
+#: What a header can't hold: control bytes, or a record's first line behind a line's end.
+_NO_HEADER = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f]|\nWARC/1\.")
+
+
 def _head(head: bytes) -> dict[str, str]:
     lines = head.decode("utf-8", "replace").split("\r\n")
     if not lines[0].startswith("WARC/1."):
         raise ValueError("no version line")
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    fields = [(k.strip().lower(), v.strip()) for k, _, v in (x.partition(":") for x in lines[1:])]
+    if sum(k == "content-length" for k, _ in fields) > 1:
+        raise ValueError("two records' headers in one")
+    return dict(fields)
 
 
 def _checked(fields: dict[str, str], block: bytes) -> dict:
@@ -167,12 +175,12 @@ def _checked(fields: dict[str, str], block: bytes) -> dict:
 
 def _one(get, at: int) -> tuple[dict, int]:
     """The plain record at ``at`` and where it ends."""
-    n, head = 4096, b""
+    n, head = 4096, get(at, 4096)
     while b"\r\n\r\n" not in head:
-        head = get(at, n)
-        if len(head) < n and b"\r\n\r\n" not in head or n > 1 << 20:
+        if len(head) < n or _NO_HEADER.search(head, max(0, n // 2 - 8)):
             raise ValueError("no end of header")
         n *= 2
+        head = get(at, n)
     head = head[: head.index(b"\r\n\r\n")]
     fields = _head(head)
     size = int(fields["content-length"])
