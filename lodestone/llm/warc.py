@@ -148,7 +148,7 @@ def _head(head: bytes) -> dict[str, str]:
     if not lines[0].startswith("WARC/1."):
         raise ValueError("no version line")
     fields = [(k.strip().lower(), v.strip()) for k, _, v in (x.partition(":") for x in lines[1:])]
-    if sum(k == "content-length" for k, _ in fields) > 1:
+    if any(sum(k == own for k, _ in fields) > 1 for own in ("warc-type", "warc-record-id", "content-length")):
         raise ValueError("two records' headers in one")
     return dict(fields)
 
