@@ -87,7 +87,7 @@ def unified_hunk(path: Column, a: Column, b: Column) -> Column:
 def apply_patch(text: Column, diff: Column, reverse: bool = False) -> Column:
     @pandas_udf("string")
     def run(t: pd.Series, d: pd.Series) -> pd.Series:
-        return pd.Series([apply_patch_text(*x, reverse) for x in zip(t, d, strict=True)])
+        return pd.Series([None if x is None or y is None else apply_patch_text(x, y, reverse) for x, y in zip(t, d, strict=True)])
 
     return run(text, diff)
 

@@ -14,10 +14,13 @@ import subprocess
 import sys
 import tempfile
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestone.sources.files import materialised
 
 RUNS = "subject_id string, phase string, grader string, ord int, exit_code int, elapsed_ms bigint, output string"
 TAIL = 60_001
@@ -72,4 +75,109 @@ def run_graders(trees: DataFrame, graders: list[tuple[str, list[str], dict[str,
     return trees.select("subject_id", "phase", "files").mapInPandas(run, RUNS)
 
 
+def script_of(argv: list[str]) -> str | None:
+    """The script that a grader runs: the first argument with a slash. A grader without one counts as present everywhere."""
+    return next((a for a in argv[1:] if "/" in a), None)
+
+
+def _write(folder: str, path: str, content: bytes) -> None:
+    full = os.path.join(folder, path)
+    os.makedirs(os.path.dirname(full), exist_ok=True)
+    with open(full, "wb") as w:
+        w.write(content)
+
+
+def _listing(folder: str) -> dict[str, tuple[int, int]]:
+    """What is in a tree, without byte code: path to size and time."""
+    out = {}
+    for at, names, found in os.walk(folder):
+        names[:] = [n for n in names if n != "__pycache__"]
+        for f in found:
+            s = os.stat(os.path.join(at, f))
+            out[os.path.relpath(os.path.join(at, f), folder)] = (s.st_size, s.st_mtime_ns)
+    return out
+
+
+def run_subjects(subjects: DataFrame, graders: list[tuple[str, list[str], dict[str, str]]], deadlines: dict[str, int], tree: tuple[tuple[str, bytes], ...] = (), absent: bool = False) -> DataFrame:
+    """Runs of subjects (subject_id, phase, files, graders): ``files`` lie over the common ``tree``, and ``graders`` are names in
+    order. A task writes the tree once and takes each subject's files back; a tree that a suite has changed is made anew, so no subject
+    meets another's leftovers. With ``absent``, a grader whose script isn't in the tree gets a row without an exit code and is passed over."""
+    by = {name: (argv, env) for name, argv, env in graders}
+    own = dict(tree)
+
+    def run(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        folder, clean = None, None
+
+        def restored(before: dict, files) -> dict:
+            """What the tree must hold to be used again: all as before, but for the times of the files that were put back."""
+            now = _listing(folder)
+            return before | {f["path"]: now[f["path"]] for f in files if f["path"] in own and f["path"] in now}
+
+        try:
+            for pdf in batches:
+                rows = []
+                for subject, phase, files, names in zip(pdf["subject_id"], pdf["phase"], pdf["files"], pdf["graders"], strict=True):
+                    if folder is None or _listing(folder) != clean:
+                        shutil.rmtree(folder or "", ignore_errors=True)
+                        folder = tempfile.mkdtemp(prefix="tree-")
+                        for path, content in own.items():
+                            _write(folder, path, content)
+                    before = _listing(folder)
+                    for f in files:
+                        _write(folder, f["path"], bytes(f["content"]))
+                    for i, name in enumerate(names):
+                        argv, env = by[name]
+                        script = script_of(argv) if absent else None
+                        if script and not os.path.exists(os.path.join(folder, script.replace("{REPO}", folder))):
+                            rows.append((subject, phase, name, i, None, 0, "absent"))
+                            continue
+                        code, ms, out = run_one(folder, argv, env, deadlines.get(name, 3000))
+                        rows.append((subject, phase, name, i, code, ms, out))
+                        if code and phase != "baseline":
+                            break
+                    for f in files:
+                        if f["path"] in own:
+                            _write(folder, f["path"], own[f["path"]])
+                        else:
+                            os.remove(os.path.join(folder, f["path"]))
+                    clean = restored(before, files)
+                yield pd.DataFrame(rows, columns=[x.split()[0] for x in RUNS.split(", ")]).astype({"exit_code": "Int32"})
+        finally:
+            shutil.rmtree(folder or "", ignore_errors=True)
+
+    return subjects.select("subject_id", "phase", "files", "graders").mapInPandas(run, RUNS)
+
+
+class Runs:
+    """A table of runs in a folder. What it holds isn't run again: a stopped run goes on where it stopped."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def table(self) -> DataFrame:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        if not p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p):
+            return self.spark.createDataFrame([], RUNS)
+        return self.spark.read.schema(RUNS).parquet(self.folder)
+
+    def missing(self, subjects: DataFrame) -> DataFrame:
+        """Subjects that have no run of their phase yet."""
+        return subjects.join(self.table().select("subject_id", "phase").distinct(), ["subject_id", "phase"], "left_anti")
+
+    def add(self, subjects: DataFrame, run: Callable[[DataFrame], DataFrame], batches: int = 1, progress: Callable[[int, int], None] | None = None) -> int:
+        """Runs what is missing, in batches that are each whole in the table or absent, and says how many subjects that were. ``progress``
+        hears how many batches of how many are done."""
+        todo = materialised(self.missing(subjects), "todo")
+        n = todo.count()
+        for b in range(batches if n else 0):
+            part = todo.where(F.pmod(F.xxhash64("subject_id"), F.lit(batches)) == b)
+            parts = max(1, min(n // batches // 8 + 1, 4 * self.spark.sparkContext.defaultParallelism))
+            run(part.repartition(parts)).write.mode("append").parquet(self.folder)
+            if progress:
+                progress(b + 1, batches)
+        return n
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
