@@ -171,21 +171,62 @@ def rust_sites(data: bytes) -> tuple[list[dict], int, str | None, int]:
     return sorted(out, key=lambda s: (s["start_byte"], s["operator"])), refused, None, excluded
 
 
-def locate(files: DataFrame, language: str = "python", only_operator: str | None = None) -> DataFrame:
-    """Per file (file, content): file, sha256, candidates, refused, error, excluded_test_bytes. The operator filter runs
-    inside the tasks, before rows are made. Compiling costs more than moving, so files are dealt out first: a table in one
+def locate(files: DataFrame, language: str = "python", only_operator: str | None = None, contains: str = "") -> DataFrame:
+    """Per file (file, content): file, sha256, candidates, refused, error, excluded_test_bytes. ``contains`` takes files whose path
+    holds it; the operator filter runs inside the tasks, before rows are made. Compiling costs more than moving, so files are dealt out first: a table in one
     row group would be one task."""
 
-    def run(batches: Iterator) -> Iterator:
-        import hashlib
+    def one(name: str, data: bytes) -> tuple:
+        r = _report(name, data, language)
+        return name, r["sha256"], [s for s in r["candidates"] if only_operator in (None, s["operator"])], r["rejected_uncompilable"], r["error"], r["excluded_test_bytes"]
+
+    return _located(files.where(F.contains("file", F.lit(contains))) if contains else files, one)
+
+
+def _report(name: str, data: bytes, language: str) -> dict:
+    """A file's report, as locators print it."""
+    import hashlib
+
+    sites, refused, error, excluded = (*python_sites(data), 0) if language == "python" else rust_sites(data)
+    return {"file": name, "sha256": hashlib.sha256(data).hexdigest(), "candidates": sites, "rejected_uncompilable": refused, "error": error, "excluded_test_bytes": excluded}
+
+
+def locate_by(files: DataFrame, argv: list[str]) -> DataFrame:
+    """As ``locate``, by a program per file: {FILE} in ``argv`` is a copy of it. It prints a report as JSON (sha256, candidates,
+    rejected_uncompilable, error, excluded_test_bytes); one that fails gives a row whose error has its exit code and its last words."""
+
+    def one(name: str, data: bytes) -> tuple:
+        import json
+        import os
+        import subprocess
+        import tempfile
 
+        with tempfile.TemporaryDirectory(prefix="locate-") as folder:
+            path = os.path.join(folder, os.path.basename(name) or "source")
+            with open(path, "wb") as f:
+                f.write(data)
+            try:
+                p = subprocess.run([a.replace("{FILE}", path) for a in argv], capture_output=True, timeout=600, stdin=subprocess.DEVNULL)
+            except (OSError, subprocess.TimeoutExpired) as e:
+                return name, None, [], 0, f"spawn {argv[0]}: {e}", 0
+        if p.returncode:
+            last = (p.stderr.decode("utf-8", "replace").strip().splitlines() or ["(no stderr)"])[-1]
+            return name, None, [], 0, f"locator exited {p.returncode}: {last}", 0
+        try:
+            r = json.loads(p.stdout)
+            return name, r["sha256"], r["candidates"], r.get("rejected_uncompilable", 0), r.get("error"), r.get("excluded_test_bytes", 0)
+        except (ValueError, KeyError, TypeError) as e:
+            return name, None, [], 0, f"locator emitted unparseable JSON ({e}); first 160 bytes: {p.stdout[:160]!r}", 0
+
+    return _located(files, one)
+
+
+def _located(files: DataFrame, one) -> DataFrame:
+    def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
         for pdf in batches:
-            rows = []
-            for name, data in zip(pdf["file"], map(bytes, pdf["content"]), strict=True):
-                sites, refused, error, out = (*python_sites(data), 0) if language == "python" else rust_sites(data)
-                rows.append((name, hashlib.sha256(data).hexdigest(), [s for s in sites if only_operator in (None, s["operator"])], refused, error, out))
+            rows = [one(name, data) for name, data in zip(pdf["file"], map(bytes, pdf["content"]), strict=True)]
             yield pd.DataFrame(rows, columns=["file", "sha256", "candidates", "refused", "error", "excluded_test_bytes"])
 
     own = files.select("file", "content")
@@ -209,3 +250,15 @@ def totals(located: DataFrame) -> DataFrame:
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def main(args: list[str]) -> None:
+    """Prints the report of a file, as a locator of its own."""
+    import json
+
+    with open(args[0], "rb") as f:
+        print(json.dumps(_report(args[0], f.read(), "rust" if args[0].endswith(".rs") else "python")))
+
+
+if __name__ == "__main__":
+    main(sys.argv[1:])

@@ -27,10 +27,13 @@ def _finished(good: DataFrame, broken: Column, fixed: Column) -> DataFrame:
 
 def corpus_rows(trials: DataFrame, pristine: DataFrame, commit: str, repo: str, work: str) -> tuple[DataFrame, DataFrame]:
     """Rows of killed trials (id, file, operator, severity, start_byte, end_byte, after, line, scope, verdict, suite, tail,
-    limit_ms) against the pristine files (file, content)."""
+    limit_ms) against the pristine files (file, content). With a column ``before``, a site must hold it still: a file that has moved makes no row."""
     held = trials.where(V.killed(F.col("verdict"))).join(pristine, "file", "left")
     held = held.withColumn("data", F.when(F.col("end_byte") <= F.octet_length("content"), C.splice(F.col("content"), F.col("start_byte"), F.col("end_byte"), F.col("after"))))
     reason = F.when(F.col("content").isNull(), "no pristine file").when(F.col("data").isNull(), "candidate span is past the end of the pristine file")
+    if "before" in trials.columns:
+        holds = C.span_holds(F.col("content"), F.col("start_byte"), F.col("end_byte"), F.col("before"))
+        reason = reason.when(~F.coalesce(holds, F.lit(False)), "span no longer matches the locator's `before`")
     good, aborted = _parted(held.withColumn("reason", reason.when(~F.is_valid_utf8("data"), "splice is not utf-8")))
     good = good.withColumns({"broken": F.col("data").cast("string"), "fixed": F.col("content").cast("string"), "repo_commit": F.lit(commit), "line": F.col("line").cast("int")})
     said = R.report(F.col("verdict"), F.col("tail"), F.col("limit_ms"), work, repo)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import os
-import re
 import tempfile
 import time
 import uuid
@@ -12,9 +11,11 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-#: Folders that a scan passes by, besides dotted ones.
-SKIPPED = ("__pycache__", "target", "node_modules", "tests", "test")
+from lodestone.sources.source_tree import SourceTree
+
+TRANSCRIPT = "id string, operator string, file string, line bigint, teacher_model string, prompt string, content string, reasoning string"
 EXAMPLE = "id string, prompt string, completion string, operator string, severity string, file string, line bigint, scope string, verdict string, caused_by array<string>, repo_commit string"
 
 
@@ -36,22 +37,39 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
 
 
 def scan(spark: SparkSession, root: str, extension: str, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """(file, content) of files below ``root``, by path relative to it. Skipped folders and excluded needles are left out by
-    path; Spark reads the files before it drops them."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{extension}").load(root)
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + re.escape(root.split("://")[-1].rstrip("/")) + "/", "")
-    parts = F.split(rel, "/")
-    keep = ~F.exists(parts, lambda p: p.isin(*SKIPPED) | F.startswith(p, F.lit(".")))
-    for needle in exclude:
-        keep = keep & ~F.contains(F.col("path"), F.lit(needle))
-    return raw.where(keep).select(rel.alias("file"), "content")
+    """(file, content) of files below ``root``, by path relative to it and in path order. Skipped folders are never listed, and files of an
+    excluded needle never opened."""
+    spark.dataSource.register(SourceTree)
+    return spark.read.format("source_tree").options(root=root, extension=extension, exclude=",".join(exclude)).load()
+
+
+def bad_lines(spark: SparkSession, path: str, schema: str = EXAMPLE) -> DataFrame:
+    """(file, line, value) of the lines, from 1, of JSON Lines files that aren't rows of the schema; blank lines are no lines to it.
+
+    A split knows its lines' places, and the counts of the splits before it in its file give the rest."""
+    own = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    # written, since the places are those of this reading of the splits
+    own = own.withColumns({"task": F.spark_partition_id(), "at": F.monotonically_increasing_id()})
+    row = F.from_json("value", schema + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    wrong = (F.trim("value") != "") & (row.isNull() | row["_bad"].isNotNull())
+    own = materialised(own.select("file", "block", "task", "at", F.when(wrong, F.col("value")).alias("value")), "lines")
+    splits = own.groupBy("file", "block", "task").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return own.where("value is not null").join(splits.withColumn("before", before), ["file", "block", "task"]).select("file", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line"), "value")
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """Training rows of a JSON Lines file; a bad line is an error, blank lines are not."""
+    """Training rows of JSON Lines files; a bad line is an error that names its file and line, blank lines are not."""
+    if first := bad_lines(spark, path).orderBy("file", "line").first():
+        raise ValueError(f"{first.file} line {first.line}: {first.value[:160]}")
     return spark.read.schema(EXAMPLE).option("mode", "FAILFAST").json(path)
 
 
+def append_transcript(replies: DataFrame, path: str) -> None:
+    """Adds replies (id, operator, file, line, teacher_model, prompt, content, reasoning) to a transcript of JSON Lines, nulls kept."""
+    replies.select(*[c.split()[0] for c in TRANSCRIPT.split(", ")]).write.mode("append").option("ignoreNullFields", False).json(path)
+
+
 def write_corpus(rows: DataFrame, path: str, append: bool = False) -> None:
     """A content-addressed corpus: with ``append``, rows whose id is there already are left out."""
     if append:
@@ -74,8 +92,8 @@ def read_trials(texts: DataFrame) -> DataFrame:
 
 
 def trial_json(trials: DataFrame) -> DataFrame:
-    """Trials as JSON texts (value), in file and byte order within a partition: the verdict is a word, or an object that
-    names its suite and what goes with it. ``read_trials`` reads them."""
+    """Trials as JSON texts (value): the verdict is a word, or an object that names its suite and what goes with it.
+    ``read_trials`` reads them."""
     kind = F.col("verdict")
     own = lambda name, *fields: F.to_json(F.struct(F.struct(*fields).alias(name)))
     verdict = (
@@ -87,8 +105,9 @@ def trial_json(trials: DataFrame) -> DataFrame:
 
 
 def write_trials(trials: DataFrame, path: str) -> None:
-    """A JSON text per line; lines rather than one array, so that tasks write and read them apart."""
-    trial_json(trials).write.mode("overwrite").text(path)
+    """A JSON text per line, in order of files, lines and bytes; lines rather than one array, so that tasks write and read them apart."""
+    place = [c for c in ("file", "line", "start_byte", "operator", "id") if c in trials.columns]
+    trial_json(trials.repartitionByRange(*place).sortWithinPartitions(*place)).write.mode("overwrite").text(path)
 
 
 def write_replays(replays: DataFrame, path: str) -> None:
