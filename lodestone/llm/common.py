@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import gc
+import sys
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,9 +117,28 @@ def _by_node(edges: DataFrame, low: DataFrame) -> DataFrame:
     return left.join(low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["a", "salt"]).drop("salt")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _united(batches: Iterator) -> Iterator:
+    """(node, component) of all edges of one task."""
+    import pandas as pd
+
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for pdf in batches:
+        for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist(), strict=True):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    yield pd.DataFrame({"node": list(root), "component": [find(x) for x in list(root)]}, dtype="int64")
+
+
+def components(edges: DataFrame, finish: int = 0) -> DataFrame:
     """Distributed union-find: (node, component) for every node of ``edges`` (a, b); component is the
-    smallest node reachable.
+    smallest node reachable. With ``finish``, a graph of up to so many edges is finished in one task, by Python.
 
     Alternates large-star and small-star steps (each a grouped minimum and an equi-join, so the star of a
     hot node is combined before the shuffle and its join salted) until the edges stay the same.
@@ -134,6 +155,10 @@ def components(edges: DataFrame) -> DataFrame:
         if (now.n, now.h) == state or not now.n:
             break
         state = (now.n, now.h)
+        if now.n <= finish:
+            out = cut(e.coalesce(1).mapInPandas(_united, "node bigint, component bigint"), "components")
+            drop_cut(e)
+            return out
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = _by_node(both, low).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -143,3 +168,6 @@ def components(edges: DataFrame) -> DataFrame:
         drop_cut(e)
         e = after
     return e.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("node"), "component").unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -35,6 +35,7 @@ BLOCK_SETS = 2048
 BLOCK_ELEMENTS = 1_500_000
 PIVOTS = 16
 MOST_BROADCAST = 1_000_000  # ids of documents whose texts are looked up
+FINISH = 500_000  # edges of a graph whose components are found in one task
 ROOM = 0.15  # share of a set's elements that are counted beyond a prefix: sets that share less than it leave keep to elements of their own
 LONG_WEIGHT = 0.02  # of DivideSkip: how many lists count as long
 
@@ -168,12 +169,13 @@ def _dealt_anew(large: DataFrame, postings: DataFrame, links: DataFrame) -> Data
     """(g1, g2, node, comp): groups in which members (node, n) of clusters of several blocks meet those of other
     components. Only members that share an element of their prefixes with another component take part, in the
     clusters that such elements alone make."""
-    comps = cut(components(links), "components")
-    own = postings.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).select("node", "el", "comp").join(large.select("node").distinct(), "node", "left_semi")
+    comps = cut(components(links, FINISH), "components")
+    own = postings.join(large.select("node").distinct(), "node", "left_semi")
+    own = own.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).select("node", "el", "comp")
     own = cut(own, "own", [comps])
     mixed = own.groupBy("el").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("el")
     still = cut(own.join(mixed, "el"), "open", [own])
-    finer = cut(components(_stars(still)).select("node", F.col("component").alias("cluster")), "finer")
+    finer = cut(components(_stars(still), FINISH).select("node", F.col("component").alias("cluster")), "finer")
     large = cut(large.join(still.select("node", "comp").distinct(), "node").join(finer, "node"), "large", [still, finer])
     per = large.groupBy("cluster", "comp").agg(F.count("*").alias("c_sets"), F.sum("n").alias("c_els"))
     per = per.withColumn("c_blocks", F.greatest(F.ceil(F.col("c_sets") / BLOCK_SETS), F.ceil(F.col("c_els") / BLOCK_ELEMENTS)))
@@ -202,14 +204,16 @@ def link(docs: DataFrame, shingle: int = 5, num: int = 4, den: int = 5) -> DataF
     sets = cut(_sets(docs, shingle, num, den).withColumn("node", _node(F.col("doc_id"), F.col("k1"))), "sets")
     slim = cut(sets.select("doc_id", "node", "n", "k1", "k2"), "slim")
     classes = cut(slim.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("node").alias("node")), "classes")
-    keyed = classes.select(F.col("node").alias("_node"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
-    reps = sets.drop("doc_id").join(keyed, (F.col("node") == F.col("_node")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left_semi")
+    # the other rows of a class go by their ids, so that sets stay where they are
+    named = classes.select("k1", "k2", "n", F.col("node").alias("_node"))
+    other = slim.where("n > 0").join(named, ["k1", "k2", "n"]).where("node <> _node").select("node", "k1", "k2").distinct()
+    reps = sets.drop("doc_id").where("n > 0").join(bounded(other, MOST_BROADCAST), ["node", "k1", "k2"], "left_anti")
     # repeated rows are few: only their sets are moved to leave one of each
     key = ["node", "k1", "k2"]
     again = bounded(slim.groupBy(*key).agg(F.count("*").alias("k")).where("k > 1").drop("k"), MOST_BROADCAST)
     reps = reps.join(again, key, "left_anti").unionByName(reps.join(again, key, "left_semi").dropDuplicates(key))
     postings = cut(_postings(reps), "postings", [sets])
-    clusters = cut(components(_stars(postings)).withColumnRenamed("component", "cluster"), "clusters")
+    clusters = cut(components(_stars(postings), FINISH).withColumnRenamed("component", "cluster"), "clusters")
     clusters = clusters.join(classes.groupBy("node").agg(F.max("n").alias("n")), "node")
     sized = clusters.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n").alias("elements"))
     sized = sized.withColumn("blocks", F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("elements") / BLOCK_ELEMENTS)).cast("int"))
@@ -229,7 +233,7 @@ def link(docs: DataFrame, shingle: int = 5, num: int = 4, den: int = 5) -> DataF
         links = cut(links.unionByName(_search(groups.join(members.select("node", "els"), "node"), num, den)), "links", [links, groups])
     drop_cut(members)
     drop_cut(postings)
-    joined = components(links)
+    joined = components(links, FINISH)
     found = classes.join(joined, "node", "left").groupBy("k1", "k2").agg(F.min(F.coalesce("component", "node")).alias("c"))
     out = slim.join(found.withColumnsRenamed({"k1": "_k1", "k2": "_k2"}), (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")) & (F.col("n") > 0), "left")
     named = F.when(F.col("c") < NAMELESS, F.col("c"))
