@@ -32,6 +32,18 @@ def test_hunk_of_the_final_newline(a, b):
     assert d and patches.apply_patch_text(a, d) == b and patches.apply_patch_text(b, d, True) == a
 
 
+def test_column_hunks_are_the_hunks(spark):
+    import random
+
+    r = random.Random(6)
+    text = lambda: "\n".join(r.choice("abc") for _ in range(r.randint(0, 12))) + r.choice(["", "\n"])
+    pairs = [(text(), text()) for _ in range(300)] + [("", ""), ("", "a"), ("a\n", ""), ("a", "a\n"), ("x\n" * 500, "x\n" * 501), ("é\n", "ü")]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    got = {x.i: x.d for x in df.select("i", patches.unified_hunk(F.lit("d/f.py"), F.col("a"), F.col("b")).alias("d")).collect()}
+    assert got == {i: patches.make_hunk("d/f.py", *p) for i, p in enumerate(pairs)}
+    assert one(spark, patches.unified_hunk(F.lit("f"), F.lit(None).cast("string"), F.lit("a"))) is None
+
+
 def test_moved_hunk_applies():
     d = patches.make_hunk("f.py", "a\nb\nc\n", "a\nx\nc\n")
     assert patches.apply_patch_text("new\nlines\n" + "a\nb\nc\n", d) == "new\nlines\na\nx\nc\n"
