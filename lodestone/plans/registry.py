@@ -24,7 +24,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from lodestone.plans import phase_queries, row_queries, sampling_queries, text_queries, verdict_queries  # noqa: F401  each registers its own
+    from lodestone.plans import phase_queries, question_queries, row_queries, sampling_queries, text_queries, verdict_queries  # noqa: F401  each registers its own
 
 
 def queries() -> dict[str, Query]:
