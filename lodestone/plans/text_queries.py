@@ -86,9 +86,18 @@ def focus_last_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.table(spark, sf_dir, "documents").select("doc_id", T.focus_failure(out).alias("focus"))
 
 
-@query("""SELECT page_id, 'at ' || url || ' in repo and repo, then x/y' AS text FROM pages""")
+#: Outputs that name the work folder /tmp/w, dealt by page, and what is left: {u} is the page's address, {n} a worker's number.
+_PATHS = (
+    ("at /tmp/w/n{n}/{u} in /tmp/w and /tmp/w/w0, then x/y", "at {u} in repo and repo, then x/y"), ("File '/tmp/w/history/a.py', line 3", "File 'a.py', line 3"), ("cd /tmp/w/baseline; (/tmp/w/w{n}) /tmp/w/: done", "cd repo; (repo) repo: done"),
+    ("/var/tmp/w2/a /tmp/x/w{n}/b", "/varrepo2/a /tmp/x/w{n}/b"), ("{u}", "{u}"),
+)
+_LEFT = "list_extract(['" + "', '".join(x.replace("'", "''") for _, x in _PATHS) + f"'], page_id % {len(_PATHS)} + 1)"
+
+
+@query(f"""SELECT page_id, replace(replace({_LEFT}, '{{u}}', url), '{{n}}', CAST(page_id % 12 AS VARCHAR)) AS text FROM pages""")
 def strip_work_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.lit("at /tmp/w/n"), F.col("page_id") % 12, F.lit("/"), "url", F.lit(" in /tmp/w and /tmp/w/w0, then x/y"))
+    told = F.element_at(F.array(*[F.lit(x) for x, _ in _PATHS]), (F.col("page_id") % len(_PATHS) + 1).cast("int"))
+    text = F.replace(F.replace(told, F.lit("{u}"), F.col("url")), F.lit("{n}"), (F.col("page_id") % 12).cast("string"))
     return A.table(spark, sf_dir, "pages").select("page_id", T.strip_worktree(text, "/tmp/w/", "repo").alias("text"))
 
 
@@ -272,11 +281,20 @@ def locate_rust_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("file", "candidates", "refused", F.col("error").isNotNull().alias("failed"), "excluded", F.array_join("operators", ",").alias("operators"))
 
 
-@query("SELECT count(*) AS texts, count(*) AS applied, count(*) AS reversed FROM documents")
+_SPLIT = "regexp_extract_all({}, '[^\\n]*\\n|[^\\n]+')"
+_SIGNED = "array_to_string(list_transform({}, lambda s: '{}' || s || CASE WHEN ends_with(s, chr(10)) THEN '' ELSE chr(10) || '\\ No newline at end of file' || chr(10) END), '')"
+_ALIKE = "coalesce(list_position(list_transform(range(1, {n} + 1), lambda i: {a}[i] = {b}[i]), false), {n} + 1) - 1"
+
+
+@query(f"""WITH e AS (SELECT doc_id, text, substr(text, 1, 2) || 'é' || chr(10) || substr(text, 3) AS edited FROM documents), l AS (SELECT doc_id, {_SPLIT.format("text")} AS x, {_SPLIT.format("edited")} AS y FROM e),
+h AS (SELECT *, len(x) AS m, len(y) AS n, {_ALIKE.format(n="least(len(x), len(y))", a="x", b="y")} AS head FROM l), t AS (SELECT *, {_ALIKE.format(n="(least(m, n) - head)", a="list_reverse(x)", b="list_reverse(y)")} AS tail FROM h),
+w AS (SELECT *, greatest(head - 3, 0) AS lo, least(tail, 3) AS after FROM t), p AS (SELECT *, m - tail + after - lo AS old, n - tail + after - lo AS new FROM w)
+SELECT doc_id, sha256('--- a/a.txt' || chr(10) || '+++ b/a.txt' || chr(10) || '@@ -' || CASE WHEN old > 0 THEN lo + 1 ELSE lo END || ',' || old || ' +' || CASE WHEN new > 0 THEN lo + 1 ELSE lo END || ',' || new || ' @@' || chr(10)
+ || {_SIGNED.format("x[lo + 1 : head]", " ")} || {_SIGNED.format("x[head + 1 : m - tail]", "-")} || {_SIGNED.format("y[head + 1 : n - tail]", "+")} || {_SIGNED.format("x[m - tail + 1 : m - tail + after]", " ")}) AS diff_sha, true AS applied, true AS reversed FROM p""")
 def hunk_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A diff of each text and an edit of it leads there and back."""
+    """A diff of each text and an edit of it, which leads there and back."""
     d = A.table(spark, sf_dir, "documents")
     d = d.withColumn("edited", F.concat(F.substring("text", 1, 2), F.lit("é\n"), F.col("text").substr(F.lit(3), F.length("text"))))
     d = d.withColumn("diff", patches.unified_hunk(F.lit("a.txt"), F.col("text"), F.col("edited")))
     there, back = patches.apply_patch(F.col("text"), F.col("diff")), patches.apply_patch(F.col("edited"), F.col("diff"), reverse=True)
-    return d.agg(F.count("*").alias("texts"), F.count_if(there == F.col("edited")).alias("applied"), F.count_if(back == F.col("text")).alias("reversed"))
+    return d.select("doc_id", F.sha2("diff", 256).alias("diff_sha"), (there == F.col("edited")).alias("applied"), (back == F.col("text")).alias("reversed"))
