@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,27 +32,40 @@ def lines_of(text: Column) -> Column:
     return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(F.split(t, "\n"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body names it: within a lambda it would run again for each element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def excerpt(text: Column, line: Column, radius: int) -> Column:
     """The lines within ``radius`` of ``line`` (from 1), each numbered and ended, with ``>`` at the line itself; clamped to
     the text."""
-    rows = F.split(text, "\n")
-    lo = F.least(F.greatest(F.lit(1), line - radius), F.size(rows))
-    hi = F.greatest(F.least(F.size(rows), line + radius), lo)
-    part = F.slice(rows, lo, hi - lo + 1)
     number = lambda n: F.concat(F.repeat(F.lit(" "), F.greatest(5 - F.length(n), F.lit(0))), n)
-    return F.array_join(F.transform(part, lambda x, i: F.concat(F.when(i + lo == line, ">").otherwise(" "), number((i + lo).cast("string")), F.lit(" | "), x, F.lit("\n"))), "")
+
+    def shown(s: Column) -> Column:
+        part = F.slice(s["rows"], s["lo"], F.greatest(F.least(F.size(s["rows"]), s["line"] + radius), s["lo"]) - s["lo"] + 1)
+        return F.array_join(F.transform(part, lambda x, i: F.concat(F.when(i + s["lo"] == s["line"], ">").otherwise(" "), number((i + s["lo"]).cast("string")), F.lit(" | "), x, F.lit("\n"))), "")
+
+    first = lambda s: F.least(F.greatest(F.lit(1), s["line"] - radius), F.size(s["rows"]))
+    return let(F.struct(F.split(text, "\n").alias("rows"), line.alias("line")), lambda s: let(F.struct(s["rows"].alias("rows"), s["line"].alias("line"), first(s).alias("lo")), shown))
 
 
 def focus_failure(output: Column) -> Column:
     """The window around the last line that holds a failure mark; without one, the last lines and a note that says so."""
-    rows = lines_of(output)
-    marked = F.filter(F.transform(rows, lambda x, i: F.when(_marked(x), i)), lambda i: i.isNotNull())
-    last = F.try_element_at(marked, F.lit(-1))
-    lo, hi = F.greatest(last - BEFORE_MARK, F.lit(0)), F.least(last + AFTER_MARK, F.size(rows))
-    around = F.concat(F.when(lo > 0, F.concat(F.lit(OMITTED[0]), lo.cast("string"), F.lit(OMITTED[1]))).otherwise(""), F.array_join(F.slice(rows, lo + 1, hi - lo), "\n"))
-    first = F.greatest(F.size(rows) - NO_MARK_LINES, F.lit(0))
-    plain = F.concat(F.lit(UNMARKED[0]), (F.size(rows) - first).cast("string"), F.lit(UNMARKED[1]), F.array_join(F.slice(rows, first + 1, NO_MARK_LINES), "\n"))
-    return F.when(last.isNull(), plain).otherwise(around)
+
+    def around(s: Column) -> Column:
+        rows, last = s["rows"], s["last"]
+        lo, hi = F.greatest(last - BEFORE_MARK, F.lit(0)), F.least(last + AFTER_MARK, F.size(rows))
+        near = F.concat(F.when(lo > 0, F.concat(F.lit(OMITTED[0]), lo.cast("string"), F.lit(OMITTED[1]))).otherwise(""), F.array_join(F.slice(rows, lo + 1, hi - lo), "\n"))
+        first = F.greatest(F.size(rows) - NO_MARK_LINES, F.lit(0))
+        plain = F.concat(F.lit(UNMARKED[0]), (F.size(rows) - first).cast("string"), F.lit(UNMARKED[1]), F.array_join(F.slice(rows, first + 1, NO_MARK_LINES), "\n"))
+        return F.when(last.isNull(), plain).otherwise(near)
+
+    def last_marked(rows: Column) -> Column:
+        marked = F.filter(F.transform(rows, lambda x, i: F.when(_marked(x), i)), lambda i: i.isNotNull())
+        return F.struct(rows.alias("rows"), F.try_element_at(marked, F.lit(-1)).alias("last"))
+
+    return let(lines_of(output), lambda rows: let(last_marked(rows), around))
 
 
 def _marked(line: Column) -> Column:

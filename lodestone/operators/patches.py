@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Callable
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 CONTEXT = 3
@@ -78,39 +76,14 @@ def apply_patch_text(text: str, diff: str, reverse: bool = False) -> str | None:
     return "".join(out + rows[at:])
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def _leading(x: Column, y: Column, most: Column) -> Column:
-    """How many elements, up to ``most``, two arrays begin with alike."""
-    differs = F.array_position(F.zip_with(F.slice(x, 1, most), F.slice(y, 1, most), lambda p, q: p == q), F.lit(False))
-    return F.when(differs > 0, differs.cast("int") - 1).otherwise(most)
+def unified_hunk(path: Column, a: Column, b: Column) -> Column:
+    """By Arrow batches: as column functions over arrays of lines it took three times as long."""
 
+    @pandas_udf("string")
+    def run(p: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([None if u is None or v is None else make_hunk(t, u, v) for t, u, v in zip(p, x, y, strict=True)])
 
-def unified_hunk(path: Column, a: Column, b: Column) -> Column:
-    """``make_hunk`` as a column expression: one hunk from the first to the last line that differs; empty for equal texts, null for a null one."""
-    lines = lambda t: F.regexp_extract_all(t, F.lit(r"[^\n]*\n|[^\n]+"), F.lit(0))
-    size = lambda s, k: F.size(s[k])
-    shown = lambda sign, xs: F.array_join(F.transform(xs, lambda s: F.concat(F.lit(sign), s, F.when(F.endswith(s, F.lit("\n")), "").otherwise("\n" + NO_NEWLINE))), "")
-    part = lambda xs, lo, hi: F.slice(xs, lo + 1, F.greatest(hi - lo, F.lit(0)))  # noqa: E731  from lo to hi, from 0
-
-    def ends(s: Column) -> Column:
-        return _let(_leading(s["x"], s["y"], F.least(size(s, "x"), size(s, "y"))), lambda head: _let(
-            F.struct(s["x"].alias("x"), s["y"].alias("y"), head.alias("head"), _leading(F.reverse(s["x"]), F.reverse(s["y"]), F.least(size(s, "x"), size(s, "y")) - head).alias("tail")), drawn))
-
-    def drawn(s: Column) -> Column:
-        head, lo, after = s["head"], F.greatest(s["head"] - CONTEXT, F.lit(0)), F.least(s["tail"], F.lit(CONTEXT))
-        x_end, y_end = size(s, "x") - s["tail"], size(s, "y") - s["tail"]
-        place = lambda end: F.concat(F.when(end + after > lo, lo + 1).otherwise(lo).cast("string"), F.lit(","), (end + after - lo).cast("string"))
-        return F.concat(
-            F.lit("@@ -"), place(x_end), F.lit(" +"), place(y_end), F.lit(" @@\n"), shown(" ", part(s["x"], lo, head)), shown("-", part(s["x"], head, x_end)),
-            shown("+", part(s["y"], head, y_end)), shown(" ", part(s["x"], x_end, x_end + after)),
-        )
-
-    hunk = F.concat(F.lit("--- a/"), path, F.lit("\n+++ b/"), path, F.lit("\n"), _let(F.struct(lines(a).alias("x"), lines(b).alias("y")), ends))
-    return F.when(a == b, F.lit("")).when(a.isNotNull() & b.isNotNull(), hunk)
+    return run(path, a, b)
 
 
 def apply_patch(text: Column, diff: Column, reverse: bool = False) -> Column:
