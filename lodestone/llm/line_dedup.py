@@ -36,9 +36,10 @@ SHINGLE = 5
 SIDE = 4  # minima are SIDE squared
 SLOPES = 3  # bands are SLOPES times SIDE
 AGREE = 9  # of the minima's sketches, for a candidate
+RUN = 16  # shingles that one row of the signing takes
 SMALL = 16  # lines of a bucket whose pairs are all looked at
 BLOCK = 512  # members of a bucket that meet in a task
-MOST_BROADCAST = 2_000_000  # ids of lines whose texts are looked up
+MOST_BROADCAST = 2_000_000  # buckets of several lines; ids of lines whose texts are looked up
 _BLANK = r" \t\n\x0B\f\r"
 
 
@@ -60,12 +61,15 @@ def _units(line: Column) -> Column:
 
 def _signatures(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(id, doc, n, sketch, buckets) of distinct lines: doc their smallest, n their occurrences. A task has all shingles of
-    a line, so the shuffle gets a row of minima for each line and task."""
+    a line, so the shuffle gets a row of minima for each line and task. A row takes ``RUN`` shingles (at the end of a line, its last
+    ones again, which alter no minimum), since finding a line among the groups costs more than hashing a shingle."""
     lines = _lines(docs, least).select("doc", F.xxhash64("line").alias("id"), _units(F.col("line")).alias("units"))
-    one = lines.select("id", "doc", "units", F.explode(F.expr(f"sequence(1, greatest(octet_length(units) - {2 * SHINGLE - 1}, 1), 2)")).alias("at"))
-    one = one.select("id", "doc", "at", F.xxhash64(F.expr(f"substring(units, at, {2 * SHINGLE})")).alias("h"))
-    minima = [F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(f"m{k}") for k, c in enumerate(_constants(SIDE * SIDE))]
-    signed = one.groupBy("id").agg(F.min("doc").alias("doc"), F.count(F.when(F.col("at") == 1, 1)).alias("n"), *minima)
+    lines = lines.select("id", "doc", "units", F.greatest(F.octet_length("units") - (2 * SHINGLE - 1), F.lit(1)).alias("last"))
+    runs = lines.select("id", "doc", "units", "last", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(2 * RUN))).alias("at"))
+    shingle = lambda k: F.xxhash64(F.substring("units", F.least(F.col("at") + 2 * k, "last"), 2 * SHINGLE))
+    runs = runs.select("id", "doc", "at", *[shingle(k).alias(f"h{k}") for k in range(RUN)])
+    minima = [F.min(F.least(*[F.col(f"h{k}").bitwiseXOR(F.lit(c)) for k in range(RUN)])).alias(f"m{i}") for i, c in enumerate(_constants(SIDE * SIDE))]
+    signed = runs.groupBy("id").agg(F.min("doc").alias("doc"), F.count(F.when(F.col("at") == 1, 1)).alias("n"), *minima)
     buckets = [F.xxhash64(F.lit(b), *[F.col(f"m{k}") for k in band]) for b, band in enumerate(_bands())]
     nibbles = [F.shiftleft(F.xxhash64(f"m{k}").bitwiseAND(F.lit(15)), 4 * k) for k in range(SIDE * SIDE)]
     return signed.select("id", "doc", "n", functools.reduce(lambda x, y: x.bitwiseOR(y), nibbles).alias("sketch"), F.array(*buckets).alias("buckets"))
@@ -99,16 +103,19 @@ def _constants(n: int) -> list[int]:
 
 
 def _shingles(low: str) -> Column:
-    """The strings of SHINGLE characters of a line in lower case, one from each place; of a shorter line, itself."""
-    each = F.regexp_extract_all(F.col(low), F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    return F.when(F.length(low) < SHINGLE, F.array(low)).otherwise(each)
+    """Hashes of the strings of SHINGLE characters of a line in lower case, one from each place; of a shorter line, of itself.
+    A character is four bytes, so that a substring costs what it is long."""
+    at = lambda x: F.sequence(F.lit(1), F.greatest(F.octet_length(x) - (4 * SHINGLE - 1), F.lit(1)), F.lit(4))
+    return let(F.encode(F.col(low), "UTF-32"), lambda x: F.transform(at(x), lambda i: F.xxhash64(F.substring(x, i, F.lit(4 * SHINGLE)))))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ids whose lines are alike. Explodes of one element keep Catalyst from writing their columns out at
-    each use, which would extract shingles again and again."""
+def _verified(pairs: DataFrame, texts: DataFrame, single: bool = False) -> DataFrame:
+    """The pairs (a, b) of ids whose lines are alike; ``single`` if no b is in two pairs. Explodes of one element keep Catalyst from writing their columns out at
+    each use, which would hash shingles again and again."""
     with_a = pairs.join(texts.toDF("a", "ta"), "a")
-    both = with_a.join(texts.toDF("b", "tb"), "b").repartition("a", "b")  # a pivot has many pairs
+    both = with_a.join(texts.toDF("b", "tb"), "b")
+    if not single:
+        both = both.repartition("a", "b")  # a pivot has many pairs
     sets = both.select("a", "b", F.explode(F.array(F.struct(_shingles("ta").alias("a"), _shingles("tb").alias("b")))).alias("x"))
     sizes = sets.select("a", "b", F.explode(F.array(F.struct(F.size(F.array_intersect("x.a", "x.b")).alias("both"), F.size(F.array_union("x.a", "x.b")).alias("either")))).alias("x"))
     return sizes.where("5 * x.both >= 4 * x.either").select("a", "b")
@@ -118,7 +125,7 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that give the components of all alike pairs: each b with its least a first, then the pairs that these
     links leave apart."""
     first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = cut(_verified(first, texts), "links")
+    links = cut(_verified(first, texts, single=True), "links")
     found = cut(components(links), "components")
     apart = pairs.join(first, ["a", "b"], "left_anti")
     for c in ("a", "b"):
@@ -158,8 +165,10 @@ def similar_lines(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     others alike."""
     lines = cut(_signatures(docs, least), "lines")
     held = lines.select("id", "sketch", F.explode("buckets").alias("bucket"))
-    shared = held.groupBy("bucket").agg(F.count("*").alias("k"), F.min("id").alias("id2"), F.min_by("sketch", "id").alias("sketch2")).where("k > 1")
-    met = cut(held.join(shared, "bucket"), "met")
+    shared = bounded(held.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1"), MOST_BROADCAST)  # most buckets hold one line
+    held = cut(held.join(shared, "bucket"), "held", [shared])
+    firsts = held.groupBy("bucket").agg(F.min("id").alias("id2"), F.min_by("sketch", "id").alias("sketch2"))
+    met = cut(held.join(firsts, "bucket"), "met", [held])
     few, many = met.where(F.col("k") <= SMALL), met.where(F.col("k") > SMALL)
     twice = few.where("k = 2 and id <> id2").unionByName(few.where("k > 2").drop("id2", "sketch2").join(few.where("k > 2").select("bucket", F.col("id").alias("id2"), F.col("sketch").alias("sketch2")), "bucket").where("id < id2"))
     columns = ["id", "sketch", "id2", "sketch2"]
