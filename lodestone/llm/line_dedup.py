@@ -36,7 +36,7 @@ SHINGLE = 5
 SIDE = 4  # minima are SIDE squared
 SLOPES = 3  # bands are SLOPES times SIDE
 AGREE = 9  # of the minima's sketches, for a candidate
-RUN = 16  # shingles that one row of the signing takes
+RUN = 8  # shingles that one row of the signing takes
 SMALL = 16  # lines of a bucket whose pairs are all looked at
 BLOCK = 512  # members of a bucket that meet in a task
 MOST_BROADCAST = 2_000_000  # buckets of several lines; ids of lines whose texts are looked up
