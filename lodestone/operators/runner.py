@@ -20,6 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.operators import patches
 from lodestone.sources.files import materialised
 
 RUNS = "subject_id string, phase string, grader string, ord int, exit_code int, elapsed_ms bigint, output string"
@@ -100,33 +101,50 @@ def _listing(folder: str) -> dict[str, tuple[int, int]]:
 
 def run_subjects(subjects: DataFrame, graders: list[tuple[str, list[str], dict[str, str]]], deadlines: dict[str, int], tree: tuple[tuple[str, bytes], ...] = (), absent: bool = False) -> DataFrame:
     """Runs of subjects (subject_id, phase, files, graders): ``files`` lie over the common ``tree``, and ``graders`` are names in
-    order. A task writes the tree once and takes each subject's files back; a tree that a suite has changed is made anew, so no subject
+    order. A column ``edits`` (path, diff, reverse) is applied to what then lies there, so that subjects of a large file carry what they change alone.
+    A task writes the tree once and takes each subject's files back; a tree that a suite has changed is made anew, so no subject
     meets another's leftovers. With ``absent``, a grader whose script isn't in the tree gets a row without an exit code and is passed over."""
     by = {name: (argv, env) for name, argv, env in graders}
     own = dict(tree)
+    edited = ["edits"] if "edits" in subjects.columns else []
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        folder, clean = None, None
+        folder, clean, lines = None, None, {}
 
-        def restored(before: dict, files) -> dict:
+        def restored(before: dict, paths) -> dict:
             """What the tree must hold to be used again: all as before, but for the times of the files that were put back."""
             now = _listing(folder)
-            return before | {f["path"]: now[f["path"]] for f in files if f["path"] in own and f["path"] in now}
+            return before | {p: now[p] for p in paths if p in own and p in now}
+
+        def changed(files, edits) -> dict[str, bytes]:
+            """What the subject's files hold."""
+            out, rows = {f["path"]: bytes(f["content"]) for f in files}, {}
+            for e in edits:
+                p = e["path"]
+                if p not in rows and p not in out and p not in lines:
+                    lines[p] = patches.split(own[p].decode("utf-8"))
+                rows[p] = patches.apply_lines(rows[p] if p in rows else patches.split(out[p].decode("utf-8")) if p in out else lines[p], e["diff"], bool(e["reverse"]))
+                if rows[p] is None:
+                    raise ValueError(f"a diff of {p} does not apply")
+            return out | {p: "".join(x).encode() for p, x in rows.items()}
 
         try:
             for pdf in batches:
                 rows = []
-                for subject, phase, files, names in zip(pdf["subject_id"], pdf["phase"], pdf["files"], pdf["graders"], strict=True):
-                    if folder is None or _listing(folder) != clean:
+                edits = pdf["edits"] if edited else [()] * len(pdf)
+                for subject, phase, files, names, diffs in zip(pdf["subject_id"], pdf["phase"], pdf["files"], pdf["graders"], edits, strict=True):
+                    before = folder and _listing(folder)
+                    if folder is None or before != clean:
                         shutil.rmtree(folder or "", ignore_errors=True)
                         folder = tempfile.mkdtemp(prefix="tree-")
                         for path, content in own.items():
                             _write(folder, path, content)
-                    before = _listing(folder)
-                    for f in files:
-                        _write(folder, f["path"], bytes(f["content"]))
+                        before = _listing(folder)
+                    held = changed(files, diffs)
+                    for path, content in held.items():
+                        _write(folder, path, content)
                     for i, name in enumerate(names):
                         argv, env = by[name]
                         script = script_of(argv) if absent else None
@@ -137,17 +155,17 @@ def run_subjects(subjects: DataFrame, graders: list[tuple[str, list[str], dict[s
                         rows.append((subject, phase, name, i, code, ms, out))
                         if code and phase != "baseline":
                             break
-                    for f in files:
-                        if f["path"] in own:
-                            _write(folder, f["path"], own[f["path"]])
+                    for path in held:
+                        if path in own:
+                            _write(folder, path, own[path])
                         else:
-                            os.remove(os.path.join(folder, f["path"]))
-                    clean = restored(before, files)
+                            os.remove(os.path.join(folder, path))
+                    clean = restored(before, held)
                 yield pd.DataFrame(rows, columns=[x.split()[0] for x in RUNS.split(", ")]).astype({"exit_code": "Int32"})
         finally:
             shutil.rmtree(folder or "", ignore_errors=True)
 
-    return subjects.select("subject_id", "phase", "files", "graders").mapInPandas(run, RUNS)
+    return subjects.select("subject_id", "phase", "files", "graders", *edited).mapInPandas(run, RUNS)
 
 
 class Runs:
@@ -166,15 +184,29 @@ class Runs:
         """Subjects that have no run of their phase yet."""
         return subjects.join(self.table().select("subject_id", "phase").distinct(), ["subject_id", "phase"], "left_anti")
 
-    def add(self, subjects: DataFrame, run: Callable[[DataFrame], DataFrame], batches: int = 1, progress: Callable[[int, int], None] | None = None) -> int:
+    def add(self, subjects: DataFrame, run: Callable[[DataFrame], DataFrame], batches: int = 1, progress: Callable[[int, int], None] | None = None, alike: bool = False) -> int:
         """Runs what is missing, in batches that are each whole in the table or absent, and says how many subjects that were. ``progress``
-        hears how many batches of how many are done."""
-        todo = materialised(self.missing(subjects), "todo")
+        hears how many batches of how many are done. With ``alike``, which hermetic graders allow, subjects of the same files and graders share the runs
+        of the first of them; each still has rows of its own."""
+        todo = self.missing(subjects)
+        if alike:
+            each = F.transform("files", lambda f: F.concat(F.sha2(f["path"].cast("binary"), 256), F.sha2(f["content"], 256)))
+            todo = todo.withColumn("same", F.sha2(F.to_json(F.struct(each.alias("files"), "graders")), 256))
+        todo = materialised(todo, "todo")
         n = todo.count()
+        firsts = todo
+        if alike and n:
+            first = materialised(todo.groupBy("phase", "same").agg(F.min("subject_id").alias("subject_id")), "first")
+            firsts, runs_of = todo.join(first, ["phase", "same", "subject_id"], "left_semi"), todo.select("phase", "same", "subject_id")
+            n = first.count()
         for b in range(batches if n else 0):
-            part = todo.where(F.pmod(F.xxhash64("subject_id"), F.lit(batches)) == b)
+            part = firsts.where(F.pmod(F.xxhash64("same" if alike else "subject_id"), F.lit(batches)) == b)
             parts = max(1, min(n // batches // 8 + 1, 4 * self.spark.sparkContext.defaultParallelism))
-            run(part.repartition(parts)).write.mode("append").parquet(self.folder)
+            made = run(part.repartition(parts))
+            if alike:
+                made = materialised(made, "made").withColumnRenamed("subject_id", "by").join(first.withColumnRenamed("subject_id", "by"), ["phase", "by"])
+                made = runs_of.join(made, ["phase", "same"]).select(*[c.split()[0] for c in RUNS.split(", ")])
+            made.write.mode("append").parquet(self.folder)
             if progress:
                 progress(b + 1, batches)
         return n

@@ -111,3 +111,35 @@ def test_graders_by_name(spark):
     g = Target((shell("a", "true"), shell("b", "true", hermetic=False)))
     assert [x.name for x in g.usable(True)] == ["a"] and len(g.usable(False)) == 2
     assert gates.NULL_REPLY
+
+
+def test_commits_of_equal_trees_share_a_run(spark, tmp_path):
+    log = tmp_path / "log"
+    script = ("tests/t.sh", f"echo run >> {log}; ! grep -q bad m.txt\n".encode())
+    trees = [(str(i), [("m.txt", b"bad" if i % 2 else b"fine"), script]) for i in range(20)]
+    commits = [(str(i), str(i - 1), ["m.txt"]) for i in range(1, 20)]
+    made = spark.createDataFrame(commits, "sha string, parent string, touched array<string>"), spark.createDataFrame(trees, f"sha string, files {FILES}")
+    target = Target((Grader("suite", ("sh", "tests/t.sh")),))
+    got = {r.sha: r.outcome for r in replay.history(*made, target, {"suite": 9000}, f"file://{tmp_path}/runs").collect()}
+    assert got == {str(i): "GREEN-BEFORE" if i % 2 else "FIXED" for i in range(1, 20)}
+    # two trees as parents, and the good one as a commit behind the bad
+    assert log.read_text().count("run") == 3
+
+
+def test_scored_rows_do_not_carry_their_files(spark, tmp_path, monkeypatch):
+    held, real = [], replay.materialised
+    monkeypatch.setattr(replay, "materialised", lambda df, name: held.append(real(df, name)) or held[-1])
+    lines = [f"line {i}\n" for i in range(20_000)]
+    text = "".join(lines).encode()
+    hunk = lambda i, old, new: f"--- a/m.py\n+++ b/m.py\n@@ -{i},2 +{i},2 @@\n {lines[i - 1]}-{old}\n+{new}\n"
+    block = lambda d: f"<<<PATCH>>>\n{d}<<<END>>>\n"
+    rows = [(str(i), "m.py", block(hunk(i, "bad", f"line {i}")), block(hunk(i, "bad", f"line {i}" if i % 2 else "bad too"))) for i in range(1, 20)]
+    rows.append(("x", "n.py", block(hunk(1, "bad", "line 1")), ""))
+    for tree in ((("m.py", text),), ()):
+        folder = f"file://{tmp_path}/runs-{len(tree)}"
+        held.clear()
+        made = spark.createDataFrame(rows, "id string, file string, completion string, reply string"), spark.createDataFrame([("m.py", text)], "file string, content binary")
+        out = replay.score(*made, Target((shell("unit", "! grep -q bad m.py"),)), {"unit": 9000}, folder, tree)
+        got = {r.id: (r.score, r.suite) for r in out.collect()}
+        assert got == {str(i): ("SOLVED", None) if i % 2 else ("MISSED", "unit") for i in range(1, 20)} | {"x": ("MALFORMED", None)}
+        assert len(held) == 2 and all(f.where("pristine is not null").isEmpty() == bool(tree) for f in held)
