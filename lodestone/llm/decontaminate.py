@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RE, bounded, carried, cut, let, window_hashes
+from .common import SPACE_RE, bounded, carried, cut, let
 
 WINDOW = 8
 LEAST = 5
@@ -40,10 +40,11 @@ SLOT_RE = "zq(num|name|unit)"
 def template_words(text: Column, all_capitals: bool = False) -> Column:
     """Words with placeholders; word i is word i of ``plain_words``. Names are capitalised words inside a sentence, or with
     ``all_capitals`` all words that begin with a capital."""
-    name = r"(?<![\p{L}\p{N}])\p{Lu}\p{L}*(?:['’]\p{Lu}\p{L}*)*" if all_capitals else r"(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{Ll}+"
+    # a look ahead, or the number before a unit, comes first: most places fail there, before a look behind
+    name = r"(?=\p{Lu})(?<![\p{L}\p{N}])\p{Lu}\p{L}*(?:['’]\p{Lu}\p{L}*)*" if all_capitals else r"(?=\p{Lu})(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{Ll}+"
     t = F.regexp_replace(F.coalesce(text, F.lit("")), name, "zqname")
     t = F.regexp_replace(t, r"\d[\d.,:/]*", "zqnum")
-    t = F.regexp_replace(t, rf"(?i)(?<=zqnum ?)({UNITS})(?![\p{{L}}\p{{N}}])", "zqunit")
+    t = F.regexp_replace(t, rf"zqnum( ?)(?i:{UNITS})(?![\p{{L}}\p{{N}}])", "zqnum$1zqunit")
     return _split(t)
 
 
@@ -55,6 +56,32 @@ def _split(t: Column) -> Column:
     return F.filter(F.split(F.lower(F.regexp_replace(t, _STRIP, "")), SPACE_RE), lambda w: w != "")
 
 
+def _steps(n: int) -> list[int]:
+    """Distances at which hashes of windows are joined, until those of ``n`` words are made: of two that overlap at the end."""
+    out, m = [], 1
+    while m < n:
+        out.append(min(m, n - m))
+        m += out[-1]
+    return out
+
+
+def _joined(ws: list[Column]) -> Column:
+    """The hash of one window of words."""
+    hs = [F.xxhash64(w) for w in ws]
+    for step in _steps(len(ws)):
+        hs = [F.xxhash64(x, y) for x, y in zip(hs, hs[step:], strict=False)]
+    return hs[0]
+
+
+def _windows(ws: Column, n: int) -> Column:
+    """``_joined`` of each ``n``-word window of an array: a hash of each word and then log2(n) joins, not n words a window."""
+    out = F.transform(ws, lambda w: F.xxhash64(w))
+    for step in _steps(n):
+        size = lambda x: F.greatest(F.size(x) - step, F.lit(0))  # noqa: B023, E731
+        out = let(out, lambda x: F.zip_with(F.slice(x, F.lit(1), size(x)), F.slice(x, F.lit(1 + step), size(x)), lambda a, b: F.xxhash64(a, b)))  # noqa: B023
+    return F.when(F.size(ws) >= n, out).otherwise(F.array().cast("array<bigint>"))
+
+
 def _items(items: DataFrame) -> DataFrame:
     """(item, item_id, kind, t, p, slots, size, n_windows) of each item and kind of template; item tells texts of null
     item_id apart. slots are (place in the item, value)."""
@@ -85,7 +112,7 @@ def _item_windows(one: DataFrame) -> DataFrame:
     at = at.withColumn("way", F.explode(F.filter(F.array(*ways), lambda x: x.isNotNull()))).select("*", "way.plain", "way.dense")
     at = at.withColumn("slots", F.when(few, F.slice("slots", 1, 0)).otherwise(F.col("slots")))
     word = lambda k: F.when(F.col("plain"), F.get("p", F.col("item_pos") + k)).otherwise(F.get("t", F.col("item_pos") + k))
-    h = F.coalesce(*[F.when(F.col("size") == n, F.xxhash64(*[word(k) for k in range(n)])) for n in range(1, WINDOW + 1)])
+    h = F.coalesce(*[F.when(F.col("size") == n, _joined([word(k) for k in range(n)])) for n in range(1, WINDOW + 1)])
     return at.select(h.alias("h"), "size", "plain", "item", "kind", "item_pos", "n_windows", "slots", "dense")
 
 
@@ -150,10 +177,10 @@ def _of_sizes(lists: list[tuple[bool, int, str]]) -> Column:
         return F.array().cast("array<array<bigint>>")
 
     def both(n: int) -> Column:
-        second = lambda first: F.when(F.expr("t = t2"), F.array().cast("array<bigint>")).otherwise(F.zip_with(window_hashes(F.col("t2"), n), first, lambda x, y: F.when(x != y, x)))
-        return let(window_hashes(F.col("t"), n), lambda first: F.array(first, second(first)))
+        second = lambda first: F.when(F.expr("t = t2"), F.array().cast("array<bigint>")).otherwise(F.zip_with(_windows(F.col("t2"), n), first, lambda x, y: F.when(x != y, x)))
+        return let(_windows(F.col("t"), n), lambda first: F.array(first, second(first)))
 
-    return F.flatten(F.array(*[F.array(window_hashes(F.col("p"), n)) if plain else both(n) for plain, n, c in lists if c != "t2"]))
+    return F.flatten(F.array(*[F.array(_windows(F.col("p"), n)) if plain else both(n) for plain, n, c in lists if c != "t2"]))
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:

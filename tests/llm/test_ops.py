@@ -385,6 +385,18 @@ def test_quality_fit_of_few_rows(spark):
     assert got[0].kept
 
 
+def test_decontamination_windows_are_joined_from_halves(spark):
+    """A window's hash costs log2 of its words and is that of the item's window."""
+    ws = [f"w{i % 5}" for i in range(11)] + ["é", "x"]
+    one = spark.createDataFrame([(ws,)], "ws array<string>")
+    for n in range(1, 9):
+        got = one.select(decontaminate._windows(F.col("ws"), n)).first()[0]
+        want = one.select(F.array(*[decontaminate._joined([F.get("ws", F.lit(i + k)) for k in range(n)]) for i in range(len(ws) - n + 1)])).first()[0]
+        assert got == want and len({tuple(ws[i : i + n]) for i in range(len(got))}) == len(set(got))
+        assert one.select(decontaminate._windows(F.lit([]).cast("array<string>"), n)).first()[0] == []
+    assert one.select(decontaminate._windows(F.col("ws"), 8).alias("h"))._jdf.queryExecution().analyzed().toString().count("xxhash64") == 4
+
+
 def test_decontamination(spark, docs, empty):
     item = "If Anna has 12 apples and gives 3 apples to Ben then how many apples does Anna keep in total"
     same = "we read: If Anna has 40 apples and gives 7 apples to Carl then how many apples does Anna keep in total right"
