@@ -10,8 +10,9 @@ otherwise; the query and the pipeline take every line that isn't blank (``ALL``)
    similarity sought misses once in 200 times. In buckets of up to ``SMALL`` lines all pairs are looked at; in larger ones a
    pivot meets all others, in rounds, and is out then. When the pairs that are left cost no more than a
    pass, or rounds no longer halve them, they are looked at in blocks, so no bucket is left unsearched by its size.
-3. Candidates count when the exact Jaccard similarity of their shingle sets is 0.8 or more. Each line meets its first
-   candidate, and others only where components are still apart.
+3. Candidates count when the exact Jaccard similarity of their shingle sets is 0.8 or more. A bitmap of each candidate's shingles
+   bounds it from above, which spares most texts of pairs that fall short and loses none. Each line meets its first candidate,
+   and others only where components are still apart.
 4. Distributed union-find makes components; of each, the occurrence in the smallest doc_id (then by line hash, then by
    text hash and place) stays.
 
@@ -38,6 +39,7 @@ SLOPES = 3  # bands are SLOPES times SIDE
 AGREE = 9  # of the minima's sketches, for a candidate
 RUN = 8  # shingles that one row of the signing takes
 SMALL = 16  # lines of a bucket whose pairs are all looked at
+WORDS = 16  # of 64 bits, in the bitmap of a line's shingles
 BLOCK = 512  # members of a bucket that meet in a task
 MOST_BROADCAST = 2_000_000  # buckets of several lines; ids of lines whose texts are looked up
 _BLANK = r" \t\n\x0B\f\r"
@@ -109,6 +111,25 @@ def _shingles(low: str) -> Column:
     return let(F.encode(F.col(low), "UTF-32"), lambda x: F.transform(at(x), lambda i: F.xxhash64(F.substring(x, i, F.lit(4 * SHINGLE)))))
 
 
+def _bitmaps(texts: DataFrame) -> DataFrame:
+    """(id, bits): per line a struct of n, its places of shingles, and ``WORDS`` words with a bit for the hash of each."""
+    lines = texts.select("id", F.encode("low", "UTF-32").alias("units")).withColumn("last", F.greatest(F.octet_length("units") - (4 * SHINGLE - 1), F.lit(1)))
+    runs = lines.select("id", "units", "last", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(4 * RUN))).alias("at"))
+    shingle = lambda k: F.xxhash64(F.substring("units", F.least(F.col("at") + 4 * k, "last"), F.lit(4 * SHINGLE)))
+    runs = runs.select("id", "last", *[shingle(k).alias(f"h{k}") for k in range(RUN)])
+    runs = runs.select("id", "last", *[F.expr(f"shiftleft(1L, cast(h{k} & 63 as int))").alias(f"bit{k}") for k in range(RUN)], *[F.shiftrightunsigned(f"h{k}", 6).bitwiseAND(F.lit(WORDS - 1)).alias(f"at{k}") for k in range(RUN)])
+    part = lambda w: functools.reduce(lambda x, y: x.bitwiseOR(y), [F.when(F.col(f"at{k}") == w, F.col(f"bit{k}")).otherwise(F.lit(0).cast("bigint")) for k in range(RUN)])
+    words = runs.groupBy("id").agg(F.max("last").alias("last"), *[F.bit_or(part(w)).alias(f"w{w}") for w in range(WORDS)])
+    return words.select("id", F.struct(F.floor((F.col("last") + 3) / 4).alias("n"), *[f"w{w}" for w in range(WORDS)]).alias("bits"))
+
+
+def _near(x: str, y: str) -> Column:
+    """Whether lines of these bitmaps may be alike. Sets of a and b elements at 0.8 or more differ in (a + b) / 9 elements at
+    most, each bit in which the bitmaps differ needs one of its own, and a line has at least as many places as elements."""
+    apart = functools.reduce(lambda a, b: a + b, [F.bit_count(F.col(f"{x}.w{w}").bitwiseXOR(F.col(f"{y}.w{w}"))) for w in range(WORDS)])
+    return 9 * apart <= F.col(f"{x}.n") + F.col(f"{y}.n")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, single: bool = False) -> DataFrame:
     """The pairs (a, b) of ids whose lines are alike; ``single`` if no b is in two pairs. Explodes of one element keep Catalyst from writing their columns out at
     each use, which would hash shingles again and again."""
@@ -134,29 +155,31 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _pairs(met: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b, of rows (id, sketch, id2, sketch2) whose sketches agree."""
+    """Distinct (a, b), a < b, of rows (id, sketch, id2, sketch2) whose sketches agree and, with columns bits and bits2, whose bitmaps do."""
+    if "bits" in met.columns:
+        met = met.where(_near("bits", "bits2"))
     some = met.where((F.col("id") != F.col("id2")) & (_agree(F.col("sketch"), F.col("sketch2")) >= AGREE))
     return some.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
 
 def _open(at: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of the buckets (bucket, id, sketch) that span components still: with component, k, the bucket's members, and main
+    """Rows of the buckets (bucket, id, sketch, bits) that span components still: with component, k, the bucket's members, and main
     the component that has most, k_main, of them."""
-    own = at.select("bucket", "id", "sketch").join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    own = at.select("bucket", "id", "sketch", "bits").join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     counts = own.groupBy("bucket", "component").agg(F.count("*").alias("c"))
     wide = counts.groupBy("bucket").agg(F.sum("c").alias("k"), F.max("c").alias("k_main"), F.max_by("component", "c").alias("main")).where("k_main < k")
     return own.join(wide, "bucket")
 
 
 def _met(at: DataFrame) -> DataFrame:
-    """(id, sketch, id2, sketch2) of members of a bucket that are of different components, each once a bucket. A bucket
+    """(id, sketch, bits, id2, sketch2, bits2) of members of a bucket that are of different components, each once a bucket. A bucket
     is dealt into blocks of ``BLOCK``, and block meets block, so that no task has a large bucket. Members of the
     main component only meet the others."""
     block = lambda n: F.pmod(F.xxhash64(F.lit(5), "id"), n).cast("int")
     sized = at.withColumn("n_rest", F.ceil((F.col("k") - F.col("k_main")) / BLOCK)).withColumn("n_all", F.ceil(F.col("k") / BLOCK)).withColumn("rest", F.col("component") != F.col("main"))
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
-    left = sized.where("rest").select("bucket", block(F.col("n_rest")).alias("i"), upto("n_all").alias("j"), "id", "sketch", F.col("component").alias("c1"))
-    right = sized.select("bucket", block(F.col("n_all")).alias("j"), upto("n_rest").alias("i"), F.col("id").alias("id2"), F.col("sketch").alias("sketch2"), F.col("component").alias("c2"), "rest")
+    left = sized.where("rest").select("bucket", block(F.col("n_rest")).alias("i"), upto("n_all").alias("j"), "id", "sketch", "bits", F.col("component").alias("c1"))
+    right = sized.select("bucket", block(F.col("n_all")).alias("j"), upto("n_rest").alias("i"), F.col("id").alias("id2"), F.col("sketch").alias("sketch2"), F.col("bits").alias("bits2"), F.col("component").alias("c2"), "rest")
     return left.join(right, ["bucket", "i", "j"]).where("c1 <> c2 and (not rest or id < id2)")
 
 
@@ -176,27 +199,31 @@ def similar_lines(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     some = bounded(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(many.select("id")).distinct(), MOST_BROADCAST)
     texts = _lines(docs, least).select(F.xxhash64("line").alias("id"), "line").join(some, "id", "left_semi")
     texts = cut(texts.groupBy("id").agg(F.min("line").alias("line")).select("id", F.lower("line").alias("low")), "texts", [some])
+    bits = cut(_bitmaps(texts), "bitmaps")
+    near = pairs.join(bits.toDF("a", "bits"), "a").join(bits.toDF("b", "bits2"), "b").where(_near("bits", "bits2"))
+    pairs = cut(near.select("a", "b"), "pairs", [pairs])
     links = _linked(pairs, texts)
     drop_cut(pairs)
     found = cut(components(links), "components")
     # large buckets: more pivots, then what is left
-    at, left, most = cut(_open(many.where("id <> id2"), found), "open", [met]), None, 4 * lines.count()
+    at, left, most = cut(_open(many.where("id <> id2").join(bits, "id"), found), "open", [met]), None, 4 * lines.count()
     while True:
         work, left = left, at.select("bucket", "k", "k_main").distinct().agg(F.sum(F.expr("(k - k_main) * k"))).first()[0] or 0
         if not left:
             break
         last = left <= most or work is not None and 2 * left > work
         if last:
-            met = _met(at).select(columns)
+            met = _met(at).select(*columns, "bits", "bits2")
         else:
             pivots = at.groupBy("bucket").agg(F.min("id").alias("id2"), F.min_by("sketch", "id").alias("sketch2"), F.min_by("component", "id").alias("c2"))
+            pivots = pivots.join(bits.toDF("id2", "bits2"), "id2")
             met = cut(at.join(pivots, "bucket").where("id <> id2"), "met", [at])
-        links = cut(links.unionByName(_verified(_pairs(met if last else met.where("component <> c2").select(columns)), texts)), "links", [links, found])
+        links = cut(links.unionByName(_verified(_pairs(met if last else met.where("component <> c2").select(*columns, "bits", "bits2")), texts)), "links", [links, found])
         found = cut(components(links), "components")
         if last:
             break
         at = cut(_open(met, found), "open", [met])
-    for x in (texts, links, at):
+    for x in (texts, bits, links, at):
         drop_cut(x)
     return lines, found
 

@@ -1,6 +1,7 @@
 """Line dedup of a whole table against brute force; empty tables in every stage; columns whose names clash."""
 
 import collections
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,3 +73,22 @@ def test_clashing_columns(spark):
     assert plain(mixing.taken(noisy).select("doc_id", "size")) == plain(mixing.taken(documents).select("doc_id", "size"))
     mine, other = (quality_classifier.score_documents(d, labels).select("doc_id", "held_out", F.round("score", 9), "predicted") for d in (noisy, documents))
     assert plain(mine) == plain(other)
+
+
+def test_line_dedup_bitmaps_bound_pairs(spark):
+    """Of lines that share a passage, the texts of pairs that fall well short aren't met; no alike pair is lost."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9)))
+    passage = [word() for _ in range(22)]
+    rows = [" ".join(passage + [word() for _ in range(rng.choice((0, 1, 2, 4, 12, 18)))]) for _ in range(60)] + ["ab", "ab\U0001f600cdé", "abababababababab" * 9, "abababababababab" * 20]
+    texts = spark.createDataFrame(list(enumerate(rows)), "id long, low string")
+    bits = line_dedup._bitmaps(texts)
+    both = bits.toDF("a", "bits").crossJoin(bits.toDF("b", "bits2")).where("a < b")
+    near = {(r.a, r.b) for r in both.where(line_dedup._near("bits", "bits2")).select("a", "b").collect()}
+    sets = [{x[i : i + 5] for i in range(max(len(x) - 4, 1))} for x in rows]
+    pairs = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for b in range(len(rows)) for a in range(b)}
+    alike, short = {p for p, j in pairs.items() if j >= 0.8}, {p for p, j in pairs.items() if j < 0.65}
+    assert len(alike) > 100 and alike <= near
+    assert len(short) > 100 and len(short & near) <= len(short) / 20
+    links = line_dedup._verified(spark.createDataFrame(sorted(near), "a long, b long"), texts)
+    assert {(r.a, r.b) for r in links.collect()} == alike
