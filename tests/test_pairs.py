@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.operators import pair_samples, sampling
+from lodestone.operators import pair_samples, rows, sampling
 
 TRIAL = "id bigint, file string, scope string, start_byte bigint, operator string, verdict string"
 
@@ -106,3 +106,18 @@ def test_draws_of_64_bits(spark):
 def test_numbered_rows(spark):
     rows = spark.range(1000).select((F.col("id") * 7 % 1000).alias("id")).repartition(5)
     assert {(r.id, r.n) for r in sampling.numbered(rows, ["id"], "n").collect()} == {(i, i) for i in range(1000)}
+
+
+def test_rows_of_a_hot_file_are_dealt(spark, monkeypatch):
+    """A file of many trials is copied, so that no task has them all; every trial meets its file once, and those without a file stay."""
+    monkeypatch.setattr(rows, "FILE_ROWS", 50)
+    trials = spark.range(1000).select(F.when(F.col("id") % 100 == 1, None).when(F.col("id") % 100 == 2, "gone").otherwise("hot").alias("file"), "id")
+    trials = trials.unionByName(spark.createDataFrame([("cold", 2000)], "file string, id long"))
+    pristine = spark.createDataFrame([("hot", b"h"), ("cold", b"c"), ("unused", b"u")], "file string, content binary")
+    held = rows._with_files(trials, pristine)
+    assert held.columns == ["file", "id", "content"]
+    got = {r.id: (r.file, r.content) for r in held.collect()}
+    want = {i: (None, None) if i % 100 == 1 else ("gone", None) if i % 100 == 2 else ("hot", b"h") for i in range(1000)} | {2000: ("cold", b"c")}
+    assert held.count() == 1001 and {i: (f, None if c is None else bytes(c)) for i, (f, c) in got.items()} == want
+    parts = held.where("file = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1
