@@ -93,10 +93,10 @@ def history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.concat(F.lit("s"), F.col("o_custkey") % 5).alias("suite"), F.lit("FAILED here").alias("tail"), path.alias("file"), (key % LINES + 1).cast("int").alias("line"))
     # a parent is a name of its own for each child here, since each child changes another line
     h = h.withColumn("parent", F.concat_ws("@", "parent", "sha"))
-    source = _source(F.col("file"))
-    width = F.length("file") + 5
+    source, width = F.col("source"), F.length("file") + 5
     broken = F.concat(F.substring(source, F.lit(1), (F.col("line") - 1) * width), F.lit("XYZ"), source.substr((F.col("line") - 1) * width + 4, F.lit(1 << 20)))
-    blobs = h.where(~F.contains("file", F.lit("m4"))).select("sha", "file", source.alias("text")).unionByName(h.where(~F.contains("file", F.lit("m4"))).select(F.col("parent").alias("sha"), "file", broken.alias("text")))
+    versions = F.array(F.struct("sha", source.alias("text")), F.struct(F.col("parent").alias("sha"), broken.alias("text")))
+    blobs = h.where(~F.contains("file", F.lit("m4"))).withColumn("source", _source(F.col("file"))).select("file", F.explode(versions).alias("x")).select("x.sha", "file", "x.text")
     replays = h.select("sha", "parent", "outcome", "suite", "tail", F.array(F.struct("file", "line")).alias("touched"))
     good, _ = rows.history_rows(replays, blobs, REPO, WORK)
     return good.withColumn("caused_by", F.regexp_replace(F.array_join("caused_by", ","), "@.*$", ""))

@@ -121,3 +121,11 @@ def test_rows_of_a_hot_file_are_dealt(spark, monkeypatch):
     assert held.count() == 1001 and {i: (f, None if c is None else bytes(c)) for i, (f, c) in got.items()} == want
     parts = held.where("file = 'hot'").groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) > 1
+
+
+def test_history_rows_reads_its_sources_once_a_join(spark):
+    """The replays and either join of versions read the orders once; each version isn't a scan and a source of its own."""
+    from lodestone.plans.row_queries import history_rows
+
+    plan = history_rows(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3
