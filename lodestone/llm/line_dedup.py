@@ -3,16 +3,16 @@
 Lines of ``least`` code points or more, and blank ones never, take part. The functions start at ``LEAST`` unless told
 otherwise; the query and the pipeline take every line that isn't blank (``ALL``).
 
-1. Equal lines are one node. A line's signature is made of minima of hashes of the shingles that are verified later: all
-   its strings of ``SHINGLE`` characters of the line in lower case (signed as UTF-16 units; of a shorter line, itself). 16 minima
-   make 12 bands of four, the buckets, and a sketch of 64 bits, four of each minimum.
-2. Lines that share a bucket are candidates where their sketches agree in ``AGREE`` places or more, which a pair of the
-   similarity sought misses once in 200 times. In buckets of up to ``SMALL`` lines all pairs are looked at; in larger ones a
-   pivot meets all others, in rounds, and is out then. When the pairs that are left cost no more than a
-   pass, or rounds no longer halve them, they are looked at in blocks, so no bucket is left unsearched by its size.
-3. Candidates count when the exact Jaccard similarity of their shingle sets is 0.8 or more. A bitmap of each candidate's shingles
-   bounds it from above, which spares most texts of pairs that fall short and loses none. Each line meets its first candidate,
-   and others only where components are still apart.
+1. Equal lines are one node, and are made so before they are signed. A line's signature is made of minima of hashes of the shingles
+   that are verified later: all its strings of ``SHINGLE`` characters of the line in lower case (signed as UTF-16 units; of a shorter
+   line, itself). 49 minima make 28 bands of seven (49 for short lines), the buckets, and a sketch of 192 bits, four of a minimum. Bands are that long because
+   unrelated lines share a tenth of their shingles, so that those of shorter ones meet in numbers that grow with the square of the table.
+2. Each line first meets the least line of a bucket, of these the one that most of its buckets have. Buckets that span components still
+   are searched further: a pivot meets all others, in rounds, and is out then. When the pairs that are left cost no more than a
+   pass, or rounds no longer halve them, they are looked at in blocks, so no bucket is left unsearched by its size. There lines are
+   candidates where their sketches agree in ``AGREE`` places or more, which by the binomial fewer than one in 200 pairs of the similarity sought miss.
+3. Candidates count when the exact Jaccard similarity of their shingle sets is 0.8 or more. A bitmap of a line's shingles
+   bounds it from above, which spares most texts of pairs that fall short and loses none.
 4. Distributed union-find makes components; of each, the occurrence in the smallest doc_id (then by line hash, then by
    text hash and place) stays.
 
@@ -34,14 +34,16 @@ from .common import bounded, carried, components, cut, doc_key, drop_cut, let
 LEAST = 30
 ALL = 1
 SHINGLE = 5
-SIDE = 4  # minima are SIDE squared
-SLOPES = 3  # bands are SLOPES times SIDE
-AGREE = 9  # of the minima's sketches, for a candidate
-RUN = 8  # shingles that one row of the signing takes
-SMALL = 16  # lines of a bucket whose pairs are all looked at
+SIDE = 7  # minima are SIDE squared
+SLOPES = 4  # bands are SLOPES times SIDE
+SHORT = 128  # bytes of UTF-16 up to which a line has the bands of all slopes: of few shingles, minima vary together
+HASHES = 4  # of a shingle, by turns for the minima
+NIBBLES = 48  # minima in the sketch
+AGREE = 31  # of them, for a candidate
+RUN = 4  # shingles that one row of the signing takes
 WORDS = 16  # of 64 bits, in the bitmap of a line's shingles
 BLOCK = 512  # members of a bucket that meet in a task
-MOST_BROADCAST = 2_000_000  # buckets of several lines; ids of lines whose texts are looked up
+MOST_BROADCAST = 1_000_000  # buckets of several lines; ids of lines whose texts are looked up
 _BLANK = r" \t\n\x0B\f\r"
 
 
@@ -62,44 +64,54 @@ def _units(line: Column) -> Column:
 
 
 def _signatures(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(id, doc, n, sketch, buckets) of distinct lines: doc their smallest, n their occurrences. A task has all shingles of
-    a line, so the shuffle gets a row of minima for each line and task. A row takes ``RUN`` shingles (at the end of a line, its last
-    ones again, which alter no minimum), since finding a line among the groups costs more than hashing a shingle."""
-    lines = _lines(docs, least).select("doc", F.xxhash64("line").alias("id"), _units(F.col("line")).alias("units"))
-    lines = lines.select("id", "doc", "units", F.greatest(F.octet_length("units") - (2 * SHINGLE - 1), F.lit(1)).alias("last"))
-    runs = lines.select("id", "doc", "units", "last", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(2 * RUN))).alias("at"))
+    """(id, doc, n, sketch, buckets) of distinct lines: doc their smallest, n their occurrences. Lines become distinct first, each task's
+    before they are shuffled, and what deals them out by id serves the minima too. A row takes ``RUN`` shingles (at the end of a line, its last
+    ones again, which alter no minimum), since finding a line among the groups costs more than hashing a shingle. Further hashes of a
+    shingle are made of its first."""
+    lines = _lines(docs, least).groupBy(F.xxhash64("line").alias("id")).agg(F.min("doc").alias("doc"), F.count("*").alias("n"), F.first("line").alias("line"))
+    lines = lines.select("id", "doc", "n", _units(F.col("line")).alias("units"))
+    lines = lines.select("id", "doc", "n", "units", F.greatest(F.octet_length("units") - (2 * SHINGLE - 1), F.lit(1)).alias("last"))
+    runs = lines.select("id", "doc", "n", "units", "last", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(2 * RUN))).alias("at"))
     shingle = lambda k: F.xxhash64(F.substring("units", F.least(F.col("at") + 2 * k, "last"), 2 * SHINGLE))
-    runs = runs.select("id", "doc", "at", *[shingle(k).alias(f"h{k}") for k in range(RUN)])
-    minima = [F.min(F.least(*[F.col(f"h{k}").bitwiseXOR(F.lit(c)) for k in range(RUN)])).alias(f"m{i}") for i, c in enumerate(_constants(SIDE * SIDE))]
-    signed = runs.groupBy("id").agg(F.min("doc").alias("doc"), F.count(F.when(F.col("at") == 1, 1)).alias("n"), *minima)
+    runs = runs.select("id", "doc", "n", "last", *[shingle(k).alias(f"h0_{k}") for k in range(RUN)])
+    runs = runs.select("*", *[F.xxhash64(F.lit(j), f"h0_{k}").alias(f"h{j}_{k}") for j in range(1, HASHES) for k in range(RUN)])
+    size = SIDE * SIDE
+    minima = [F.min(F.least(*[F.col(f"h{i % HASHES}_{k}").bitwiseXOR(F.lit(c)) for k in range(RUN)])).alias(f"m{i}") for i, c in enumerate(_constants(size))]
+    signed = runs.groupBy("id").agg(F.min("doc").alias("doc"), F.min("n").alias("n"), F.min("last").alias("last"), *minima)
     buckets = [F.xxhash64(F.lit(b), *[F.col(f"m{k}") for k in band]) for b, band in enumerate(_bands())]
-    nibbles = [F.shiftleft(F.xxhash64(f"m{k}").bitwiseAND(F.lit(15)), 4 * k) for k in range(SIDE * SIDE)]
-    return signed.select("id", "doc", "n", functools.reduce(lambda x, y: x.bitwiseOR(y), nibbles).alias("sketch"), F.array(*buckets).alias("buckets"))
+    usual = F.array(*buckets[: SLOPES * SIDE])
+    buckets = F.when(F.col("last") <= SHORT, F.concat(usual, F.array(*buckets[SLOPES * SIDE :]))).otherwise(usual)
+    nibbles = [F.shiftleft(F.xxhash64(f"m{k}").bitwiseAND(F.lit(15)), 4 * (k % 16)) for k in range(NIBBLES)]
+    words = [functools.reduce(lambda x, y: x.bitwiseOR(y), nibbles[k : k + 16]).alias(f"s{k // 16}") for k in range(0, NIBBLES, 16)]
+    return signed.select("id", "doc", "n", F.struct(*words).alias("sketch"), buckets.alias("buckets"))
 
 
-def _agree(a: Column, b: Column) -> Column:
+def _agree(a: str, b: str) -> Column:
     """In how many of their places two sketches agree."""
-    x = a.bitwiseXOR(b)
-    odd = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
-    return F.lit(SIDE * SIDE) - F.bit_count(odd.bitwiseAND(F.lit(0x1111111111111111)))
+
+    def apart(w: int) -> Column:
+        x = F.col(f"{a}.s{w}").bitwiseXOR(F.col(f"{b}.s{w}"))
+        odd = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
+        return F.bit_count(odd.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return F.lit(NIBBLES) - functools.reduce(lambda x, y: x + y, [apart(w) for w in range(NIBBLES // 16)])
 
 
 def _bands() -> list[list[int]]:
-    """Places of minima in each band: sloped lines of the affine plane over the field of ``SIDE`` = 4 elements, on which
-    the minima are points. Two bands share one minimum at most."""
+    """Places of minima in each band: sloped lines of the affine plane over the integers modulo ``SIDE``, a prime, on which
+    the minima are points; those of short lines alone come last. Two bands share one minimum at most."""
     cells = range(SIDE)
-    times = ((0, 0, 0, 0), (0, 1, 2, 3), (0, 2, 3, 1), (0, 3, 1, 2))
-    return [[SIDE * x + (times[slope][x] ^ shift) for x in cells] for slope in cells[1 : 1 + SLOPES] for shift in cells]
+    return [[SIDE * x + (slope * x + shift) % SIDE for x in cells] for slope in [*cells[1:], 0] for shift in cells]
 
 
 def _constants(n: int) -> list[int]:
-    """Signed 64-bit numbers whose first four bits all differ. The hash least by ``h xor c`` is the one that shares c's leading
-    bits longest, so each constant looks first at shingles of its own."""
+    """Signed 64-bit numbers; those of one hash differ in their first five bits. The hash least by ``h xor c`` is the one that shares c's
+    leading bits longest, so each constant looks first at shingles of its own."""
     out = []
     for k in range(n):
         z = ((k + 1) * 0x9E3779B97F4A7C15) & (1 << 64) - 1
         z = ((z ^ z >> 30) * 0xBF58476D1CE4E5B9) & (1 << 64) - 1
-        z = (z & (1 << 60) - 1) | (7 * k % 16) << 60
+        z = (z & (1 << 59) - 1) | (11 * (k // HASHES) % 32) << 59
         out.append(z - (1 << 64) if z >> 63 else z)
     return out
 
@@ -142,44 +154,30 @@ def _verified(pairs: DataFrame, texts: DataFrame, single: bool = False) -> DataF
     return sizes.where("5 * x.both >= 4 * x.either").select("a", "b")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) that give the components of all alike pairs: each b with its least a first, then the pairs that these
-    links leave apart."""
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = cut(_verified(first, texts, single=True), "links")
-    found = cut(components(links), "components")
-    apart = pairs.join(first, ["a", "b"], "left_anti")
-    for c in ("a", "b"):
-        apart = apart.join(found.toDF(c, f"c{c}"), c, "left").withColumn(f"c{c}", F.coalesce(f"c{c}", c))
-    return cut(links.unionByName(_verified(apart.where("ca <> cb").select("a", "b"), texts)), "links", [links, found])
-
-
 def _pairs(met: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b, of rows (id, sketch, id2, sketch2) whose sketches agree and, with columns bits and bits2, whose bitmaps do."""
-    if "bits" in met.columns:
-        met = met.where(_near("bits", "bits2"))
-    some = met.where((F.col("id") != F.col("id2")) & (_agree(F.col("sketch"), F.col("sketch2")) >= AGREE))
+    """Distinct (a, b), a < b, of rows (id, sketch, id2, sketch2) whose sketches agree."""
+    some = met.where((F.col("id") != F.col("id2")) & (_agree("sketch", "sketch2") >= AGREE))
     return some.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
 
 def _open(at: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of the buckets (bucket, id, sketch, bits) that span components still: with component, k, the bucket's members, and main
+    """Rows of the buckets (bucket, id) that span components still: with component, k, the bucket's members, and main
     the component that has most, k_main, of them."""
-    own = at.select("bucket", "id", "sketch", "bits").join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    own = at.select("bucket", "id").join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     counts = own.groupBy("bucket", "component").agg(F.count("*").alias("c"))
     wide = counts.groupBy("bucket").agg(F.sum("c").alias("k"), F.max("c").alias("k_main"), F.max_by("component", "c").alias("main")).where("k_main < k")
     return own.join(wide, "bucket")
 
 
 def _met(at: DataFrame) -> DataFrame:
-    """(id, sketch, bits, id2, sketch2, bits2) of members of a bucket that are of different components, each once a bucket. A bucket
+    """(id, sketch, id2, sketch2) of members of a bucket that are of different components, each once a bucket. A bucket
     is dealt into blocks of ``BLOCK``, and block meets block, so that no task has a large bucket. Members of the
     main component only meet the others."""
     block = lambda n: F.pmod(F.xxhash64(F.lit(5), "id"), n).cast("int")
     sized = at.withColumn("n_rest", F.ceil((F.col("k") - F.col("k_main")) / BLOCK)).withColumn("n_all", F.ceil(F.col("k") / BLOCK)).withColumn("rest", F.col("component") != F.col("main"))
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
-    left = sized.where("rest").select("bucket", block(F.col("n_rest")).alias("i"), upto("n_all").alias("j"), "id", "sketch", "bits", F.col("component").alias("c1"))
-    right = sized.select("bucket", block(F.col("n_all")).alias("j"), upto("n_rest").alias("i"), F.col("id").alias("id2"), F.col("sketch").alias("sketch2"), F.col("bits").alias("bits2"), F.col("component").alias("c2"), "rest")
+    left = sized.where("rest").select("bucket", block(F.col("n_rest")).alias("i"), upto("n_all").alias("j"), "id", "sketch", F.col("component").alias("c1"))
+    right = sized.select("bucket", block(F.col("n_all")).alias("j"), upto("n_rest").alias("i"), F.col("id").alias("id2"), F.col("sketch").alias("sketch2"), F.col("component").alias("c2"), "rest")
     return left.join(right, ["bucket", "i", "j"]).where("c1 <> c2 and (not rest or id < id2)")
 
 
@@ -187,43 +185,41 @@ def similar_lines(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     """(lines, found): lines (id, doc, n, sketch, buckets) of distinct lines; found (node, component) of those that have
     others alike."""
     lines = cut(_signatures(docs, least), "lines")
-    held = lines.select("id", "sketch", F.explode("buckets").alias("bucket"))
-    shared = bounded(held.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1"), MOST_BROADCAST)  # most buckets hold one line
+    held = lines.select("id", F.explode("buckets").alias("bucket"))
+    shared = held.repartition("bucket").groupBy("bucket").agg(F.min("id").alias("id2"), F.count("*").alias("k")).where("k > 1").select("bucket", "id2")
+    shared = bounded(shared, MOST_BROADCAST)  # most buckets hold one line
     held = cut(held.join(shared, "bucket"), "held", [shared])
-    firsts = held.groupBy("bucket").agg(F.min("id").alias("id2"), F.min_by("sketch", "id").alias("sketch2"))
-    met = cut(held.join(firsts, "bucket"), "met", [held])
-    few, many = met.where(F.col("k") <= SMALL), met.where(F.col("k") > SMALL)
-    twice = few.where("k = 2 and id <> id2").unionByName(few.where("k > 2").drop("id2", "sketch2").join(few.where("k > 2").select("bucket", F.col("id").alias("id2"), F.col("sketch").alias("sketch2")), "bucket").where("id < id2"))
-    columns = ["id", "sketch", "id2", "sketch2"]
-    pairs = cut(_pairs(twice.select(columns).unionByName(many.select(columns))), "pairs")
-    some = bounded(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(many.select("id")).distinct(), MOST_BROADCAST)
+    some = bounded(held.select("id").distinct(), MOST_BROADCAST)
     texts = _lines(docs, least).select(F.xxhash64("line").alias("id"), "line").join(some, "id", "left_semi")
     texts = cut(texts.groupBy("id").agg(F.min("line").alias("line")).select("id", F.lower("line").alias("low")), "texts", [some])
-    bits = cut(_bitmaps(texts), "bitmaps")
-    near = pairs.join(bits.toDF("a", "bits"), "a").join(bits.toDF("b", "bits2"), "b").where(_near("bits", "bits2"))
-    pairs = cut(near.select("a", "b"), "pairs", [pairs])
-    links = _linked(pairs, texts)
-    drop_cut(pairs)
+    # each line meets the least line of a bucket, the one with which it shares most
+    stars = held.where("id <> id2").repartition("id").groupBy("id", "id2").agg(F.count("*").alias("k"))
+    links = cut(_verified(stars.groupBy("id").agg(F.max_by("id2", "k").alias("a")).select("a", F.col("id").alias("b")), texts, single=True), "links")
     found = cut(components(links), "components")
-    # large buckets: more pivots, then what is left
-    at, left, most = cut(_open(many.where("id <> id2").join(bits, "id"), found), "open", [met]), None, 4 * lines.count()
+    # buckets of several components: more pivots, then what is left
+    at, left, most = cut(_open(held, found), "open", [held]), None, 4 * lines.count()
+    sketches, bits = lines.select("id", "sketch"), None
     while True:
         work, left = left, at.select("bucket", "k", "k_main").distinct().agg(F.sum(F.expr("(k - k_main) * k"))).first()[0] or 0
         if not left:
             break
+        if bits is None:
+            some = at.select("id").distinct()
+            sketches, bits = cut(sketches.join(some, "id", "left_semi"), "sketches"), cut(_bitmaps(texts.join(some, "id", "left_semi")), "bitmaps")
         last = left <= most or work is not None and 2 * left > work
         if last:
-            met = _met(at).select(*columns, "bits", "bits2")
+            met = _met(at.join(sketches, "id"))
         else:
-            pivots = at.groupBy("bucket").agg(F.min("id").alias("id2"), F.min_by("sketch", "id").alias("sketch2"), F.min_by("component", "id").alias("c2"))
-            pivots = pivots.join(bits.toDF("id2", "bits2"), "id2")
+            pivots = at.groupBy("bucket").agg(F.min("id").alias("id2"), F.min_by("component", "id").alias("c2"))
             met = cut(at.join(pivots, "bucket").where("id <> id2"), "met", [at])
-        links = cut(links.unionByName(_verified(_pairs(met if last else met.where("component <> c2").select(*columns, "bits", "bits2")), texts)), "links", [links, found])
+        pairs = met if last else met.where("component <> c2").select("id", "id2").distinct().join(sketches, "id").join(sketches.toDF("id2", "sketch2"), "id2")
+        near = cut(_pairs(pairs), "pairs").join(bits.toDF("a", "bits"), "a").join(bits.toDF("b", "bits2"), "b").where(_near("bits", "bits2"))
+        links = cut(links.unionByName(_verified(near.select("a", "b"), texts)), "links", [links, found])
         found = cut(components(links), "components")
         if last:
             break
         at = cut(_open(met, found), "open", [met])
-    for x in (texts, bits, links, at):
+    for x in (texts, links, at):
         drop_cut(x)
     return lines, found
 

@@ -92,3 +92,15 @@ def test_line_dedup_bitmaps_bound_pairs(spark):
     assert len(short) > 100 and len(short & near) <= len(short) / 20
     links = line_dedup._verified(spark.createDataFrame(sorted(near), "a long, b long"), texts)
     assert {(r.a, r.b) for r in links.collect()} == alike
+
+
+def test_lines_that_share_a_passage_seldom_share_a_bucket(spark):
+    """Lines well below the similarity sought meet seldom: pairs in a bucket don't grow with the square of the table."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9)))
+    passage = [word() for _ in range(12)]
+    rows = [" ".join(passage + [word() for _ in range(9)]) for _ in range(100)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    buckets = {r.doc: set(r.buckets) for r in line_dedup._signatures(docs).collect()}
+    met = sum(bool(buckets[a] & buckets[b]) for b in range(len(rows)) for a in range(b))
+    assert len(buckets) == 100 and met <= 0.1 * 4950, met
