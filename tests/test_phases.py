@@ -143,3 +143,53 @@ def test_scored_rows_do_not_carry_their_files(spark, tmp_path, monkeypatch):
         got = {r.id: (r.score, r.suite) for r in out.collect()}
         assert got == {str(i): ("SOLVED", None) if i % 2 else ("MISSED", "unit") for i in range(1, 20)} | {"x": ("MALFORMED", None)}
         assert len(held) == 2 and all(f.where("pristine is not null").isEmpty() == bool(tree) for f in held)
+
+
+def test_suites_that_judge_lines_share_runs_and_scores_stay(spark, tmp_path):
+    text = lambda k: "".join(f"def f{k}_{i}():\n    return {i}\n" for i in range(40))
+    files = {f"m{k}.py": text(k).encode() for k in range(3)}
+    hunk = lambda k, i, old, new: f"--- a/m{k}.py\n+++ b/m{k}.py\n@@ -1,2 +1,2 @@\n def f{k}_{i}():\n-{old}\n+{new}\n"
+    block = lambda d: f"<<<PATCH>>>\n{d}<<<END>>>\n"
+    replies = ("    return {i}", "    return bad", "    return 1", None)
+    rows = []
+    for k in range(3):
+        for i in range(40):
+            good, reply = f"    return {i}", replies[i % 4]
+            rows.append((f"{k}-{i}", f"m{k}.py", block(hunk(k, i, "    bad" if i % 5 else "    dull", good)), "no" if reply is None else block(hunk(k, i, "    bad", reply.format(i=i)))))
+    rows.append(("lost", "n.py", block(hunk(0, 1, "    bad", "    return 1")), "no"))
+    made = spark.createDataFrame(rows, "id string, file string, completion string, reply string"), spark.createDataFrame(list(files.items()), "file string, content binary")
+    log, tree = tmp_path / "log", (*files.items(), ("tests/a.sh", b"! grep -q never *.py\n"))
+    got, runs = {}, {}
+    for name, lines, more in (("trees", False, ()), ("lines", True, ()), ("red", True, (("old.py", b"bad\n"),))):
+        log.write_text("")
+        suites = (Grader("a", ("sh", "tests/a.sh"), lines=lines), shell("b", f"echo run >> {log}; ! grep -q bad *.py", lines=lines))
+        out = replay.score(*made, Target(suites), {"a": 9000, "b": 9000}, f"file://{tmp_path}/runs-{name}", (*tree, *more)).collect()
+        got[name], runs[name] = {r.id: (r.score, r.suite, r.why) for r in out}, log.read_text().count("run")
+    assert got["lines"] == got["trees"] and {s for s, _, _ in got["trees"].values()} == {"SOLVED", "MISSED", "MALFORMED", "BAD-ROW"}
+    # broken: the clean tree, and two kinds of lines in each of three files; repaired: none and two kinds
+    assert runs["lines"] <= 1 + 6 + 9 < 100 < runs["trees"]
+    # a suite that is red on the clean tree is run on every row's whole tree
+    assert runs["red"] > 100 and {s for s, _, _ in got["red"].values()} == {"MISSED", "MALFORMED"}
+
+
+def test_diffs_are_applied_by_where_lines_stand():
+    import random
+
+    from lodestone.operators import patches
+
+    draw, tried = random.Random(7), 0
+    for _ in range(2000):
+        lines = [draw.choice("abc\n").strip() + "\n" for _ in range(draw.randint(0, 9))]
+        other = lambda x: [draw.choice("abz") + "\n" if draw.random() < 0.2 else s for s in x if draw.random() < 0.9]
+        one, two = other(lines), other(other(lines))
+        first, second = (patches.make_hunk("f", "".join(x), "".join(y)) for x, y in ((one, lines), (one, two)))
+        text = patches.Text("".join(lines))
+        want, got = patches.apply_lines(lines, first, True), text.apply(first, True)
+        assert (got is None) == (want is None) and (want is None or text.lines(got) == want)
+        if want is not None:
+            want, got = patches.apply_lines(want, second), text.apply(second, pieces=got)
+            assert (got is None) == (want is None)
+            if want is not None:
+                tried += 1
+                assert text.lines(got) == want and text.fresh(got) == "".join(s for s in want if s not in lines)
+    assert tried > 500
