@@ -111,7 +111,7 @@ def _tried(rows: DataFrame, pristine: DataFrame, own: str, reply: str | None = N
     return both.mapInPandas(run, rows.schema.add("fits", "boolean").add("fresh", "string"))
 
 
-def _by_lines(runs: runner.Runs, pristine: DataFrame, target: Target, deadlines: dict[str, int], tree: tuple[tuple[str, bytes], ...]) -> bool:
+def _by_lines(runs: runner.Runs, pristine: DataFrame, target: Target, deadlines: dict[str, int], tree: runner.Tree) -> bool:
     """Whether only the lines that an edit brings in can make a suite red: all suites judge lines by themselves, and are green, in a run, on the whole clean tree."""
     if not target.graders or not all(g.hermetic and g.lines for g in target.graders) or not pristine.where(~F.col("file").isin([path for path, _ in tree])).isEmpty():
         return False
@@ -120,7 +120,7 @@ def _by_lines(runs: runner.Runs, pristine: DataFrame, target: Target, deadlines:
     return gates.baseline_verdict(gates.baseline(runs.table().where("phase = 'baseline'"))).first().passed
 
 
-def score(rows: DataFrame, pristine: DataFrame, target: Target, deadlines: dict[str, int], folder: str, tree: tuple[tuple[str, bytes], ...] = (), batches: int = 1) -> DataFrame:
+def score(rows: DataFrame, pristine: DataFrame, target: Target, deadlines: dict[str, int], folder: str, tree: runner.Tree = (), batches: int = 1) -> DataFrame:
     """(id, file, score, why, suite) of rows (id, file, completion, reply) against the pristine files (file, content) of the ``tree``.
 
     Suites that judge lines by themselves run on the lines that a row's edits bring in, once for all rows that bring in the same, and on the rest of the
@@ -171,7 +171,7 @@ def require_yield(scores: DataFrame) -> None:
         raise RuntimeError("zero rows were scored")
 
 
-def responders_hold(rows: DataFrame, pristine: DataFrame, target: Target, deadlines: dict[str, int], folder: str, tree: tuple[tuple[str, bytes], ...]) -> DataFrame:
+def responders_hold(rows: DataFrame, pristine: DataFrame, target: Target, deadlines: dict[str, int], folder: str, tree: runner.Tree) -> DataFrame:
     """(responder, score, n): how the scoring judges the replies that test it; refuses unless the oracle solves every row."""
     out = None
     for kind in ("oracle", "null", "cheat"):

@@ -193,3 +193,21 @@ def test_diffs_are_applied_by_where_lines_stand():
                 tried += 1
                 assert text.lines(got) == want and text.fresh(got) == "".join(s for s in want if s not in lines)
     assert tried > 500
+
+
+def test_trials_carry_no_files_and_tasks_read_the_tree_from_broadcasts(spark, tmp_path, monkeypatch):
+    held, real = [], runner.materialised
+    monkeypatch.setattr(runner, "materialised", lambda df, name: held.append(real(df, name)) or held[-1])
+    source = "".join(f"def f_{i}(x):\n    if x < 3:\n        return 'é', x + {i}\n    return x\n" for i in range(50)).encode()
+    files = spark.createDataFrame([("src/a.py", source), ("src/b.py", SOURCE)], "file string, content binary")
+    target, got = Target((shell("fast", "! grep -q '<=' src/*.py"), shell("core", "! grep -qs 'return None' src/a.py"))), []
+    with runner.shipped(files) as sent:
+        assert sorted(path for path, _ in sent) == ["src/a.py", "src/b.py"] and not any(isinstance(content, bytes) for _, content in sent)
+        for i, tree in enumerate((sent, (("src/a.py", source), ("src/b.py", SOURCE)), (("src/b.py", SOURCE),))):
+            held.clear()
+            trials, _, _ = campaign.campaign(locators.locate(files), files, target, tree, f"file://{tmp_path}/runs-{i}", limit=20)
+            got.append(sorted((r.file, r.operator, r.start_byte, r.verdict, r.suite or "") for r in trials.collect()))
+            todo = [f for f in held if "splices" in f.columns]
+            # only files that aren't in the tree are carried, and they alone
+            assert len(todo) == 1 and todo[0].where("size(files) = 0 and size(splices) = 1").count() == (20, 20, 7)[i]
+    assert got[0] == got[1] == got[2] and {(v, s) for _, _, _, v, s in got[0]} == {("FAILED", "fast"), ("FAILED", "core"), ("SURVIVED", "")}
